@@ -44,19 +44,27 @@ def project(df: DataFrame, mapping: Mapping) -> DataFrame:
     return df.select(*[convert(F.col(s), kind).alias(t) for s, t, kind in mapping])
 
 
-def conversion_failures(mapping: Mapping) -> Column:
-    """Reasons for the values of a source row that are present but do not convert."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(s).isNotNull() & convert(F.col(s), kind).isNull(),
-                    F.lit(f"BAD_VALUE:{t}"),
-                )
-                for s, t, kind in mapping
-                if kind not in ("string", "title")
-            ]
-        )
+def reasons(pairs: Iterable[tuple[str, Column]]) -> Column:
+    """The names of all conditions that hold for a row, in order."""
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(c, F.array(F.lit(name))).otherwise(none) for name, c in pairs])
+
+
+def may_fail(df: DataFrame, column: str, kind: str) -> bool:
+    """Whether a value of ``column`` can be present and yet not convert to ``kind``."""
+    if kind in ("string", "title"):
+        return False
+    return kind == "date8" or df.schema[column].dataType != T.DataType.fromDDL(kind)
+
+
+def project_checked(df: DataFrame, mapping: Mapping) -> DataFrame:
+    """:func:`project` plus ``bad_values``, naming the columns whose value did not convert."""
+    risky = [(s, t) for s, t, kind in mapping if may_fail(df, s, kind)]
+    converted = [convert(F.col(s), kind).alias(t) for s, t, kind in mapping]
+    present = [F.col(s).isNotNull().alias(f"_had_{t}") for s, t in risky]
+    bad = [(f"BAD_VALUE:{t}", F.col(f"_had_{t}") & F.col(t).isNull()) for _, t in risky]
+    return df.select(*converted, *present).select(
+        *[t for _, t, _ in mapping], reasons(bad).alias("bad_values")
     )
 
 

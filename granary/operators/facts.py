@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.calendar import FIRST_DAY, LAST_DAY
-from granary.functions.clean import conversion_failures, convert, date_key
+from granary.functions.clean import date_key, project_checked, reasons
 from granary.operators.dedup import latest_per_key
 from granary.operators.scd2 import asof_lookup, current_rows
 
@@ -28,11 +28,7 @@ REQUIRED = [
 
 def type_transactions(raw: DataFrame) -> DataFrame:
     """Model columns of the transactions, and ``bad_values`` naming what did not convert."""
-    mapping = schemas.TRANSACTION_MAP
-    return raw.select(
-        *[convert(F.col(s), kind).alias(t) for s, t, kind in mapping],
-        conversion_failures(mapping).alias("bad_values"),
-    )
+    return project_checked(raw, schemas.TRANSACTION_MAP)
 
 
 def latest_transactions(typed: DataFrame) -> DataFrame:
@@ -123,11 +119,9 @@ def reject_reasons(
 
     ``rules`` adds pairs of a reason and the condition under which a row fails.
     """
-    missing = [F.when(F.col(c).isNull(), F.lit(f"MISSING:{c}")) for c in REQUIRED]
     keys = F.col("customer_sk").isNull() | F.col("product_sk").isNull()
-    more = [F.when(failed, F.lit(reason)) for reason, failed in rules]
-    own = F.array_compact(F.array(F.when(keys, F.lit(unresolved)), *missing, *more))
-    return F.concat(own, F.col("bad_values"))
+    missing = [(f"MISSING:{c}", F.col(c).isNull()) for c in REQUIRED]
+    return F.concat(reasons([(unresolved, keys), *missing, *rules]), "bad_values")
 
 
 def flag_rejects(

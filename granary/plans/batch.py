@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from granary import schemas
 from granary.functions.calendar import FIRST_DAY, LAST_DAY, dim_time
 from granary.functions.clean import parse_date
 from granary.operators import quality
-from granary.operators.dims import DIMENSIONS, build_dimension
+from granary.operators.dims import BY_NAME, build_dimension
 from granary.operators.facts import flag_rejects, rejected_rows, transform_fact, valid_rows
 from granary.operators.scd2 import (
     CUSTOMER_TRACKED,
@@ -23,7 +24,7 @@ from granary.operators.scd2 import (
     stage_customers,
     stage_products,
 )
-from granary.session import stage
+from granary.session import at_once, path_exists, stage
 from granary.sinks.tables import (
     LoadResult,
     batch_name,
@@ -102,15 +103,17 @@ def extract_all(
     full: bool,
 ) -> dict[str, int]:
     """Land the wanted tables; those with a watermark only for the batch window."""
-    rows = {}
-    for table in wanted:
+
+    def land(table: str) -> int:
         df = source[table]
         if table in WATERMARKS and not full:
             df = in_window(df, WATERMARKS[table], batch_date)
         path = landing_path(root, table, batch_date)
-        rows[table] = write_landing(stamp_extract(df, table, batch_date, batch_ts), path)
-        log.info("landed %s: %d rows", table, rows[table])
-    return rows
+        rows = write_landing(stamp_extract(df, table, batch_date, batch_ts), path)
+        log.info("landed %s: %d rows", table, rows)
+        return rows
+
+    return dict(zip(wanted, at_once(*[partial(land, t) for t in wanted]), strict=True))
 
 
 def run_batch(
@@ -153,18 +156,20 @@ def run_batch(
             raise ValueError(f"{table} is neither part of this batch nor loaded yet")
         return df
 
-    for spec in DIMENSIONS:
+    def keep(name: str, source_table: str, built: DataFrame) -> None:
+        made[name] = stage(built, name)
+        read[name] = landed[source_table]
+
+    def plain(name: str) -> None:
+        spec = BY_NAME[name]
         if spec.source in wanted:
             parent = known(spec.parent) if spec.parent else None
-            built = build_dimension(
-                spec, raw(spec.source), batch_ts, parent, house.table(spec.name)
-            )
-            made[spec.name] = stage(built, spec.name)
-            read[spec.name] = landed[spec.source]
+            stored = house.table(name)
+            keep(name, spec.source, build_dimension(spec, raw(spec.source), batch_ts, parent, stored))
 
     yesterday = batch_date - dt.timedelta(days=1)
 
-    def history(name: str, staged: DataFrame, key: str, tracked: list[str], sk: str) -> DataFrame:
+    def history(name: str, staged: DataFrame, key: str, tracked: list[str], sk: str) -> None:
         existing = house.table(name)
         if existing is not None:
             # The folders this batch may write: current versions, and those
@@ -174,20 +179,23 @@ def run_batch(
                 F.col("valid_to").isNull() | (F.col("valid_to") == F.lit(yesterday))
             )
         built = scd2_build(existing, staged, name, [key], tracked, sk, batch_date, batch_ts)
-        return stage(built, name)
+        keep(name, name.upper(), built)
 
-    if "DIM_PRODUCT" in wanted:
-        staged = stage_products(raw("DIM_PRODUCT"), known("dim_product_family"))
-        made["dim_product"] = history(
-            "dim_product", staged, "product_bk", PRODUCT_TRACKED, "product_sk"
-        )
-        read["dim_product"] = landed["DIM_PRODUCT"]
-    if "DIM_CUSTOMER" in wanted:
-        staged = stage_customers(raw("DIM_CUSTOMER"), known("dim_city"))
-        made["dim_customer"] = history(
-            "dim_customer", staged, "customer_bk", CUSTOMER_TRACKED, "customer_sk"
-        )
-        read["dim_customer"] = landed["DIM_CUSTOMER"]
+    def geography_and_customers() -> None:
+        for name in ("dim_continent", "dim_country", "dim_region", "dim_city"):
+            plain(name)
+        if "DIM_CUSTOMER" in wanted:
+            staged = stage_customers(raw("DIM_CUSTOMER"), known("dim_city"))
+            history("dim_customer", staged, "customer_bk", CUSTOMER_TRACKED, "customer_sk")
+
+    def products() -> None:
+        for name in ("dim_product_line", "dim_product_family"):
+            plain(name)
+        if "DIM_PRODUCT" in wanted:
+            staged = stage_products(raw("DIM_PRODUCT"), known("dim_product_family"))
+            history("dim_product", staged, "product_bk", PRODUCT_TRACKED, "product_sk")
+
+    at_once(geography_and_customers, products)
 
     calendar = house.table("dim_time")
     if calendar is None:
@@ -231,10 +239,13 @@ def run_batch(
 
     loads: list[LoadResult] = []
     if not dry_run:
-        for name, df in made.items():
+
+        def load(name: str) -> LoadResult:
             index = LOOKUP_COLUMNS.get(name, [])
-            load = load_history if name in ("dim_product", "dim_customer") else load_dimension
-            loads.append(load(df, house.path(name), name, batch_id, batch_ts, index=index))
+            write = load_history if name in ("dim_product", "dim_customer") else load_dimension
+            return write(made[name], house.path(name), name, batch_id, batch_ts, index=index)
+
+        loads += at_once(*[partial(load, name) for name in made])
         if flagged is not None:
             result = load_fact(
                 valid_rows(flagged),
@@ -246,11 +257,11 @@ def run_batch(
             )
             loads.append(result)
             read["fact_transactions"] = landed["FACT_TXN"]
-            verify_written(house, flagged, batch_id, batch_date).raise_for_failures()
+            verify_written(house, flagged, batch_id, batch_date, full).raise_for_failures()
 
     rows = [
         (batch_id, r.table, read.get(r.table, r.rows_loaded), r.rows_loaded, r.rows_rejected)
-        for r in loads
+        for r in sorted(loads, key=lambda r: r.table)
     ]
     audit = spark.createDataFrame(rows, schemas.target_schema("batch_audit"))
     if rows:
@@ -263,29 +274,29 @@ def run_batch(
 
 
 def verify_written(
-    house: Warehouse, flagged: DataFrame, batch_id: str, batch_date: dt.date
+    house: Warehouse, flagged: DataFrame, batch_id: str, batch_date: dt.date, full: bool
 ) -> quality.Report:
-    """Compare the batch with what the fact table and the quarantine now hold of it."""
-    days = flagged.agg(F.min("time_sk").alias("lo"), F.max("time_sk").alias("hi")).first()
-    fact = house.table("fact_transactions")
-    if fact is None or days["lo"] is None:
-        fact = valid_rows(flagged).limit(0)
-    else:
-        fact = fact.filter(F.col("time_sk").between(days["lo"], days["hi"]))
-    loaded = fact.filter(F.col("batch_id") == batch_id).select("net_amount")
-    path = house.path("quarantine_fact_transactions")
-    schema = schemas.target_schema("quarantine_fact_transactions").add("batch_date", "date")
-    held = (
-        house.spark.read.schema(schema)
-        .parquet(path)
-        .filter((F.col("batch_date") == F.lit(batch_date)) & (F.col("batch_id") == batch_id))
-        .select(
-            F.get_json_object("raw_data", "$.net_amount")
-            .try_cast("decimal(18,4)")
-            .alias("net_amount")
+    """Compare the batch with what the fact table and the quarantine now hold of it.
+
+    A nightly batch reads back the folder of its one day, not the list of all.
+    """
+    schema = schemas.target_schema("fact_transactions")
+    root = house.path("fact_transactions")
+    day = batch_window(batch_date)[0]
+    path = root if full else f"{root}/time_sk={day:%Y%m%d}"
+    held = [valid_rows(flagged).select("net_amount").limit(0)]
+    if path_exists(house.spark, path):
+        fact = house.spark.read.option("basePath", root).schema(schema).parquet(path)
+        held.append(fact.filter(F.col("batch_id") == batch_id).select("net_amount"))
+    path = house.path("quarantine_fact_transactions") + f"/batch_date={batch_date}"
+    if path_exists(house.spark, path):
+        records = house.spark.read.schema(
+            schemas.target_schema("quarantine_fact_transactions")
+        ).parquet(path)
+        amount = F.get_json_object("raw_data", "$.net_amount").try_cast("decimal(18,4)")
+        held.append(
+            records.filter(F.col("batch_id") == batch_id).select(amount.alias("net_amount"))
         )
-    )
-    checks = quality.reconcile(
-        flagged, loaded.unionByName(held), "fact_transactions", "net_amount", "net_amount"
-    )
+    written = reduce(DataFrame.unionByName, held)
+    checks = quality.reconcile(flagged, written, "fact_transactions", "net_amount", "net_amount")
     return quality.Report.collect("fact_transactions", batch_id, checks)

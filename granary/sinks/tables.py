@@ -11,14 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.clean import align
-from granary.operators.keys import load_key, same_key
 from granary.operators.facts import quarantine_records
+from granary.operators.keys import load_key, same_key
+from granary.session import path_exists, stage
 
 
 @dataclass(frozen=True)
@@ -41,17 +41,16 @@ def stamp_load(df: DataFrame, batch_id: str, batch_ts: dt.datetime) -> DataFrame
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame | None:
     """A warehouse table under its schema, or ``None`` before its first load."""
+    if not path_exists(spark, path):
+        return None
     schema = schemas.target_schema(table)
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def with_equality_index(writer: DataFrameWriter, columns: Sequence[str]) -> DataFrameWriter:
-    """Bloom filters on ``columns``, so that a lookup by value skips row groups."""
+    """Bloom filters on ``columns``, sized by their values, so that a lookup skips row groups."""
+    if columns:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     for c in columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     return writer
@@ -128,8 +127,6 @@ def merge_into(
     partition left without rows is emptied by its last row moving away, which
     needs its folder dropped by the caller.
     """
-    from granary.session import stage
-
     target = spark.read.parquet(path)
     updates = stage(updates, "merge-updates")
     replaced = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)

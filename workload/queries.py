@@ -23,7 +23,7 @@ from granary.operators import dedup, facts, keys, quality, scd2
 from granary.operators.dims import BY_NAME, build_dimension
 from granary.plans import marts
 from granary.plans.batch import run_batch
-from granary.session import scratch_path, stage
+from granary.session import at_once, scratch_path, stage
 from granary.sinks import tables as sinks
 from granary.sources import extract, landing
 from workload import source_tables as given
@@ -76,8 +76,9 @@ def _dims(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]
         out[name] = stage(built, name)
         return out[name]
 
-    for n in names:
-        make(n)
+    products = [n for n in names if n.startswith("dim_product")]
+    others = [n for n in names if n not in products]
+    at_once(lambda: [make(n) for n in others], lambda: [make(n) for n in products])
     return out
 
 
