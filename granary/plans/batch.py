@@ -24,7 +24,7 @@ from granary.operators.scd2 import (
     stage_customers,
     stage_products,
 )
-from granary.session import at_once, path_exists, stage
+from granary.session import at_once, batch_folder, path_exists, stage
 from granary.sinks.tables import (
     LoadResult,
     batch_name,
@@ -137,8 +137,29 @@ def run_batch(
     stored. ``dry_run`` stops after the checks. A failed critical check raises
     before anything is loaded. Running a batch again gives the same tables.
     """
-    house = Warehouse(spark, root)
     batch_id = batch_name(batch_date, batch_ts)
+    with batch_folder(spark, batch_id):
+        return _run(
+            spark, source, root, batch_id, batch_date, batch_ts, full,
+            tables, dry_run, mode, open_first, max_unresolved,
+        )
+
+
+def _run(
+    spark: SparkSession,
+    source: Mapping[str, DataFrame],
+    root: str,
+    batch_id: str,
+    batch_date: dt.date,
+    batch_ts: dt.datetime,
+    full: bool,
+    tables: Collection[str] | None,
+    dry_run: bool,
+    mode: str,
+    open_first: bool,
+    max_unresolved: float | None,
+) -> BatchResult:
+    house = Warehouse(spark, root)
     wanted = [t for t in schemas.SOURCE_DDL if tables is None or t in tables]
     landed = extract_all(source, wanted, house.root, batch_date, batch_ts, full)
 
@@ -254,6 +275,7 @@ def run_batch(
                 house.path("quarantine_fact_transactions"),
                 batch_id,
                 batch_date,
+                None if full else yesterday,
             )
             loads.append(result)
             read["fact_transactions"] = landed["FACT_TXN"]

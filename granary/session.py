@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+_batch_folder: ContextVar[str | None] = ContextVar("batch_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,8 +30,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/granary/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, or under that of the running batch."""
+    folder = _batch_folder.get()
+    if folder is None:
+        folder = f"{shared_folder(spark)}/granary/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def batch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """Keep what is staged inside in one folder, and delete that at the end."""
+    folder = scratch_path(spark, name)
+    before = _batch_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _batch_folder.reset(before)
+        delete_path(spark, folder)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -44,12 +62,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    files, place = _hadoop(spark, path)
+    return files.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _hadoop(spark, path)
+    files.delete(place, True)
 
 
 def at_once(*work: Callable[[], object]) -> list:
     """Run independent steps side by side, so that small jobs do not wait for each other."""
     with ThreadPoolExecutor(max_workers=max(1, len(work))) as pool:
-        return [f.result() for f in [pool.submit(w) for w in work]]
+        return [f.result() for f in [pool.submit(copy_context().run, w) for w in work]]

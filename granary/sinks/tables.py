@@ -18,7 +18,7 @@ from granary import schemas
 from granary.functions.clean import align
 from granary.operators.facts import quarantine_records
 from granary.operators.keys import load_key, same_key
-from granary.session import path_exists, stage
+from granary.session import delete_path, path_exists, stage
 
 
 @dataclass(frozen=True)
@@ -123,19 +123,26 @@ def merge_into(
     """Upsert into a table partitioned by ``partition``, rewriting touched partitions only.
 
     A partition is touched if an update goes to it or a replaced row lies in it.
-    The touched part is merged, staged and written over just those folders; a
-    partition left without rows is emptied by its last row moving away, which
-    needs its folder dropped by the caller.
+    Its values, at most one per folder, come to the driver, so that only those
+    folders are read, merged and staged; then they are written over, and a
+    folder whose last row moved elsewhere is deleted.
     """
     target = spark.read.parquet(path)
     updates = stage(updates, "merge-updates")
     replaced = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
-    touched = replaced.unionByName(updates.select(partition)).distinct()
-    part = target.join(touched, partition, "left_semi")
+    touched = _values(replaced.unionByName(updates.select(partition)), partition)
+    part = target.filter(F.col(partition).isin(touched))
     merged = stage(merge_upsert(part, updates, keys), "merge-result")
+    filled = _values(merged, partition)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
+    for value in set(touched) - set(filled):
+        delete_path(spark, f"{path}/{partition}={value}")
+
+
+def _values(df: DataFrame, column: str) -> list:
+    return [r[0] for r in df.select(column).distinct().collect()]
 
 
 def write_clustered(
@@ -144,6 +151,7 @@ def write_clustered(
     columns: Sequence[str],
     tie: str,
     partition: str | None = None,
+    whole: bool = False,
     index: Sequence[str] = (),
     files: int | None = None,
 ) -> int:
@@ -151,7 +159,8 @@ def write_clustered(
 
     ``tie``, a column of many values, joins the range boundaries: where many
     rows share the same ``columns`` they are still cut into several parts. With
-    ``partition`` the folders of that column are replaced, others stay.
+    ``partition`` the folders found in ``df`` are replaced and others stay,
+    unless the ``whole`` table is to be replaced.
     """
     bounds = [*columns, tie]
     ranged = df.repartitionByRange(files, *bounds) if files else df.repartitionByRange(*bounds)
@@ -159,7 +168,9 @@ def write_clustered(
     def write(d: DataFrame) -> None:
         writer = with_equality_index(d.write.mode("overwrite"), index)
         if partition:
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+            writer = writer.partitionBy(partition).option(
+                "partitionOverwriteMode", "static" if whole else "dynamic"
+            )
         writer.parquet(path)
 
     return counted_write(ranged.sortWithinPartitions(*columns), write)
@@ -172,13 +183,16 @@ def load_fact(
     quarantine_path: str,
     batch_id: str,
     batch_date: dt.date,
+    day: dt.date | None = None,
 ) -> LoadResult:
     """Write good rows to the fact and the others to the quarantine.
 
-    The fact is kept in folders by day, ordered by customer inside, and a batch
-    replaces the days it holds; the quarantine is kept by batch day. Loading a
-    batch again therefore leaves each row in place once.
+    The fact is kept in folders by day, ordered by customer inside. A nightly
+    batch, of one ``day``, replaces that folder, a full one the table; the
+    quarantine is replaced for the batch day. Loading a batch again therefore
+    leaves each row in place once, also where it finds no rows any more.
     """
+    spark = valid.sparkSession
     schema = schemas.target_schema("fact_transactions")
     keyed = valid.withColumn("transaction_sk", load_key(batch_date))
     loaded = write_clustered(
@@ -187,8 +201,11 @@ def load_fact(
         ["time_sk", "customer_sk"],
         tie="transaction_bk",
         partition="time_sk",
+        whole=day is None,
         index=["transaction_bk"],
     )
+    if day is not None and loaded == 0:
+        delete_path(spark, f"{path}/time_sk={day:%Y%m%d}")
     records = align(quarantine_records(rejected), schemas.target_schema("quarantine_fact_transactions"))
     refused = counted_write(
         records.withColumn("batch_date", F.lit(batch_date)),
@@ -197,6 +214,8 @@ def load_fact(
         .partitionBy("batch_date")
         .parquet(quarantine_path),
     )
+    if refused == 0:
+        delete_path(spark, f"{quarantine_path}/batch_date={batch_date}")
     return LoadResult("fact_transactions", loaded, refused, batch_id)
 
 

@@ -1,0 +1,125 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from granary.operators.dedup import dedup_by_key, latest_per_key
+from granary.operators.keys import (
+    assign_surrogate_keys,
+    bucket_histogram,
+    fill_surrogate_keys,
+    load_key,
+    lookup_surrogate_key,
+    number_rows,
+)
+from granary.operators.ranking import global_rank
+from helpers import dicts, plan
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1024])
+def test_numbers_are_dense(spark, buckets):
+    df = spark.range(1000).select(F.concat(F.lit("K"), "id").alias("k"))
+    got = sorted(r.sk for r in number_rows(df, ["k"], "sk", 5, buckets).collect())
+    assert got == list(range(6, 1006))
+
+
+def test_numbers_do_not_depend_on_the_layout(spark):
+    df = spark.range(500).select(F.concat(F.lit("K"), "id").alias("k"))
+    once = dicts(number_rows(df.repartition(3), ["k"], "sk"))
+    assert once == dicts(number_rows(df.repartition(7, "k"), ["k"], "sk"))
+
+
+def test_known_keys_stay(spark):
+    existing = spark.createDataFrame([("a", 10), ("b", 20)], "k string, sk long")
+    df = spark.createDataFrame([("b",), ("c",), ("d",)], "k string")
+    got = dict(dicts(assign_surrogate_keys(df, ["k"], "sk", existing), "k", "sk"))
+    assert got["b"] == 20 and {got["c"], got["d"]} == {21, 22}
+
+
+def test_composite_key_with_null(spark):
+    existing = spark.createDataFrame([("r", None, 4)], "k string, p long, sk long")
+    df = spark.createDataFrame([("r", None), ("r", 1)], "k string, p long")
+    assert dicts(assign_surrogate_keys(df, ["k", "p"], "sk", existing), "p", "sk") == [(1, 5), (None, 4)]
+
+
+def test_empty_dimension(spark):
+    existing = spark.createDataFrame([], "k string, sk long")
+    df = spark.createDataFrame([("a",)], "k string")
+    assert dicts(assign_surrogate_keys(df, ["k"], "sk", existing), "sk") == [(1,)]
+
+
+def test_fill_continues_from_the_highest(spark):
+    df = spark.createDataFrame([("a", 3), ("b", None), ("c", None)], "k string, sk long")
+    assert dicts(fill_surrogate_keys(df, ["k"], "sk"), "sk") == [(3,), (4,), (5,)]
+
+
+def test_lookup_keeps_rows(spark):
+    dim = spark.createDataFrame([("x", 2), ("x", 1), ("y", 3)], "c string, sk long")
+    df = spark.createDataFrame([("x",), ("z",), (None,)], "c string")
+    got = dicts(lookup_surrogate_key(df, dim, "c", "sk", unique=False), "c", "sk")
+    assert got == [("x", 1), ("z", None), (None, None)]
+
+
+def test_load_keys_differ_between_batches(spark):
+    df = spark.range(100).repartition(5)
+    first = {r.k for r in df.select(load_key(dt.date(2024, 1, 1)).alias("k")).collect()}
+    second = {r.k for r in df.select(load_key(dt.date(2024, 1, 2)).alias("k")).collect()}
+    assert len(first | second) == 200 and max(first) < min(second)
+
+
+def test_histogram_is_even(spark):
+    df = spark.range(10_000).select(F.concat(F.lit("K"), "id").alias("k"))
+    rows = [r.rows_in_bucket for r in bucket_histogram(df, ["k"], 20).collect()]
+    assert len(rows) == 20 and sum(rows) == 10_000 and max(rows) < 1.3 * min(rows)
+
+
+def test_latest_wins_and_ties_are_settled(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "p"), ("a", 2, "q"), ("a", 2, "r"), ("b", 1, "s")], "k string, d int, v string"
+    )
+    for part in (1, 3, 5):
+        out = latest_per_key(df.repartition(part), ["k"], [F.col("d").desc()])
+        assert dicts(out) == [("a", 2, "q"), ("b", 1, "s")]
+
+
+def test_rows_without_key_are_not_copies(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 2), ("a", 1), ("a", 2)], "k string, v int")
+    assert dicts(dedup_by_key(df, ["k"])) == [("a", 1), (None, 1), (None, 2)]
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3 > 0).cast("string").alias("k"), "id")
+    out = dedup_by_key(df, ["k"])
+    text = plan(out)
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+    assert out.count() == 2
+
+
+def _ranks(values):
+    return {v: 1 + sum(w > v for w in values) for v in values}
+
+
+@pytest.mark.parametrize("buckets", [2, 16, 64])
+def test_rank_of_the_whole_table(spark, buckets):
+    rng = random.Random(7)
+    values = [rng.choice([5, 5, 5, rng.randint(0, 400)]) for _ in range(900)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int").repartition(6)
+    got = global_rank(df, "v", "rk", buckets=buckets).collect()
+    expected = _ranks(values)
+    assert len(got) == 900 and all(r.rk == expected[r.v] for r in got)
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_top_ranks_with_ties(spark, k):
+    values = [9, 9, 8, 7, 7, 7, 1, 0, 0]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(3)
+    expected = _ranks(values)
+    assert sorted(r.v for r in global_rank(df, "v", "rk", top=k).collect()) == sorted(
+        v for v in values if expected[v] <= k
+    )
+
+
+def test_nulls_rank_last(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,), (None,)], "v int")
+    assert dicts(global_rank(df, "v", "rk")) == [(1, 2), (2, 1), (None, 3), (None, 3)]
