@@ -133,12 +133,17 @@ def flag_rejects(
     return fact.withColumn("reasons", reject_reasons(rules, unresolved))
 
 
+def is_valid() -> Column:
+    """Whether a flagged row may be loaded."""
+    return F.size("reasons") == 0
+
+
 def valid_rows(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(F.size("reasons") == 0)
+    return flagged.filter(is_valid())
 
 
 def rejected_rows(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(F.size("reasons") > 0)
+    return flagged.filter(~is_valid())
 
 
 def quarantine_records(rejected: DataFrame) -> DataFrame:

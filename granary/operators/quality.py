@@ -108,14 +108,27 @@ def _rows_of(one_row: DataFrame, checks: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*checks))).select(*CHECK_COLUMNS)
 
 
+def _counts(rules: Sequence[Rule], among: Column | None = None) -> list[Column]:
+    """Aggregates for ``rules``: rows looked at and failures of each, ``among`` some rows."""
+    if among is None:
+        return [
+            F.count("*").alias("_total"),
+            *[F.count_if(r.failed).alias(f"_f{i}") for i, r in enumerate(rules)],
+        ]
+    return [
+        F.count_if(among).alias("_total"),
+        *[F.count_if(among & r.failed).alias(f"_f{i}") for i, r in enumerate(rules)],
+    ]
+
+
+def _counted(rules: Sequence[Rule]) -> list[Column]:
+    total = F.col("_total")
+    return [_rule_struct(r, F.col(f"_f{i}"), total) for i, r in enumerate(rules)]
+
+
 def row_checks(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All ``rules`` in one aggregate over ``df``."""
-    counts = [F.count_if(r.failed).alias(f"_f{i}") for i, r in enumerate(rules)]
-    total = F.col("_total")
-    return _rows_of(
-        df.agg(F.count("*").alias("_total"), *counts),
-        [_rule_struct(r, F.col(f"_f{i}"), total) for i, r in enumerate(rules)],
-    )
+    return _rows_of(df.agg(*_counts(rules)), _counted(rules))
 
 
 def unique_check(df: DataFrame, columns: Sequence[str], severity: str = CRITICAL) -> DataFrame:
@@ -310,35 +323,44 @@ def fact_rules() -> list[Rule]:
 
 
 def fact_suite(
-    valid: DataFrame,
-    whole: DataFrame,
+    flagged: DataFrame,
+    valid: Column,
     dim_customer: DataFrame,
     dim_product: DataFrame,
     dim_time: DataFrame,
     source_totals: DataFrame,
     max_unresolved: float = MAX_UNRESOLVED,
 ) -> DataFrame:
-    """Fifteen checks and two reconciliations of a fact batch.
+    """Fifteen checks and two reconciliations of a fact batch, in three passes.
 
-    Rules on single rows and uniqueness look at ``valid``, the rows to be
-    loaded. The share of unresolved keys and the totals look at ``whole``, which
-    still holds the rejected rows. ``source_totals`` is one row as
-    :func:`totals` gives it.
+    Rules on single rows and uniqueness look at the ``valid`` rows, which are to
+    be loaded. The share of unresolved keys and the totals look at all rows,
+    with the rejected ones. ``source_totals`` is one row as :func:`totals` gives
+    it. Single-row rules and totals share one aggregate.
     """
-    rows = row_checks(valid, fact_rules())
-    unique = unique_check(valid, ["transaction_bk"])
+    rules = fact_rules()
+    one = flagged.agg(
+        *_counts(rules, valid),
+        F.count("*").alias("_rows"),
+        F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(38,4)").alias("_amount"),
+    )
+    sides = _reconciliations(
+        "fact_transactions",
+        "net_amount",
+        (source_totals.select("row_count").scalar(), F.col("_rows")),
+        (source_totals.select("amount_total").scalar(), F.col("_amount")),
+    )
+    rows = _rows_of(one, [*_counted(rules), *sides])
+    unique = unique_check(flagged.filter(valid), ["transaction_bk"])
     keys = integrity_checks(
-        whole,
+        flagged,
         [
             Reference("customer_sk", dim_customer, "customer_sk", max_rate=max_unresolved),
             Reference("product_sk", dim_product, "product_sk", max_rate=max_unresolved),
             Reference("time_sk", dim_time, "time_sk", max_rate=max_unresolved),
         ],
     )
-    sums = reconcile_totals(
-        source_totals, totals(whole, "net_amount"), "fact_transactions", "net_amount"
-    )
-    return rows.unionByName(unique).unionByName(keys).unionByName(sums)
+    return rows.unionByName(unique).unionByName(keys)
 
 
 @dataclass

@@ -16,7 +16,13 @@ from granary.functions.calendar import FIRST_DAY, LAST_DAY, dim_time
 from granary.functions.clean import parse_date
 from granary.operators import quality
 from granary.operators.dims import BY_NAME, build_dimension
-from granary.operators.facts import flag_rejects, rejected_rows, transform_fact, valid_rows
+from granary.operators.facts import (
+    flag_rejects,
+    is_valid,
+    rejected_rows,
+    transform_fact,
+    valid_rows,
+)
 from granary.operators.scd2 import (
     CUSTOMER_TRACKED,
     PRODUCT_TRACKED,
@@ -246,12 +252,12 @@ def _run(
         reason = "NO_VERSION" if mode == "asof" else "UNRESOLVED_FK"
         flagged = stage(flag_rejects(fact, unresolved=reason), "fact")
         suite = quality.fact_suite(
-            valid_rows(flagged),
             flagged,
+            is_valid(),
             versions("dim_customer"),
             versions("dim_product"),
             calendar,
-            source_totals(raw("FACT_TXN")),
+            stage(source_totals(raw("FACT_TXN")), "source-totals"),
             quality.MAX_UNRESOLVED if max_unresolved is None else max_unresolved,
         )
         report = quality.Report.collect("fact_transactions", batch_id, suite)

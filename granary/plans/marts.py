@@ -1,13 +1,15 @@
 """Analytical marts over the warehouse tables.
 
-Each function takes the tables by name. The fact is joined to its dimensions
-left to right; stored dimensions carry their real size, so Spark broadcasts the
-small ones and the fact is shuffled only for one that is not.
+Each function takes the tables by name. The fact is summed as early as its keys
+allow: by surrogate keys of few values, map-side, before names are looked up
+and the sums are brought to their final groups. A client or city with a third of
+all rows is then a few rows per task, and most joins see sums, not facts.
+Stored dimensions carry their real size, so Spark broadcasts the small ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,67 +26,56 @@ def _settled(tables: Tables) -> DataFrame:
     return tables["fact_transactions"].filter(F.col("transaction_status") == "SETTLED")
 
 
-def _with_time(fact: DataFrame, tables: Tables, columns: list[str]) -> DataFrame:
-    return fact.join(tables["dim_time"].select("time_sk", *columns), "time_sk")
+def _add(rows: DataFrame, tables: Tables, table: str, key: str, *columns: str) -> DataFrame:
+    """Join columns of a dimension by its key; history counts with its current rows only."""
+    dim = tables[table]
+    if "is_current" in dim.columns:
+        dim = current_rows(dim)
+    return rows.join(dim.select(key, *columns), key)
 
 
-def _with_country(fact: DataFrame, tables: Tables, customer: list[str]) -> DataFrame:
-    """Join the current customer, its city, region and country.
+def _add_country(rows: DataFrame, tables: Tables) -> DataFrame:
+    rows = _add(rows, tables, "dim_city", "city_sk", "region_sk")
+    rows = _add(rows, tables, "dim_region", "region_sk", "country_sk")
+    return _add(rows, tables, "dim_country", "country_sk", "continent_sk", "country_name")
 
-    The customer's own city is used, as the marts define it, not the fact's.
-    """
-    return (
-        fact.drop("city_sk")
-        .join(current_rows(tables["dim_customer"]).select("customer_sk", "city_sk", *customer), "customer_sk")
-        .join(tables["dim_city"].select("city_sk", "region_sk"), "city_sk")
-        .join(tables["dim_region"].select("region_sk", "country_sk"), "region_sk")
-        .join(
-            tables["dim_country"].select("country_sk", "continent_sk", "country_name"), "country_sk"
-        )
-    )
 
+def _average(total: str, count: str) -> Column:
+    """Quotient of a summed amount and its count, with the places an average of amounts has."""
+    exact = F.sum(total).cast("decimal(26,4)") / F.sum(count).cast("decimal(11,0)")
+    return exact.cast("decimal(22,8)")
 
-def _with_continent(fact: DataFrame, tables: Tables) -> DataFrame:
-    return fact.join(tables["dim_continent"].select("continent_sk", "continent_name"), "continent_sk")
 
+def _revenue(tables: Tables, amount: str, counted: str, more: Sequence[str]) -> DataFrame:
+    """Settled sums with all names the revenue marts group by.
 
-def _with_product(fact: DataFrame, tables: Tables) -> DataFrame:
-    return (
-        fact.join(
-            current_rows(tables["dim_product"]).select("product_sk", "product_family_sk"),
-            "product_sk",
-        )
-        .join(
-            tables["dim_product_family"].select(
-                "product_family_sk", "product_line_sk", "product_family_name"
-            ),
-            "product_family_sk",
-        )
-        .join(
-            tables["dim_product_line"].select("product_line_sk", "product_line_name"),
-            "product_line_sk",
-        )
+    Three joins by row find month, city and product family; their combinations
+    are few, so the sums over them are small before the other names are added.
+    """
+    rows = _settled(tables).select(
+        "time_sk", "customer_sk", "product_sk", "transaction_type", amount, counted, *more
     )
-
-
-def _revenue_rows(tables: Tables) -> DataFrame:
-    rows = _with_time(_settled(tables), tables, ["year", "month_number", "month_name"])
-    rows = _with_continent(_with_country(rows, tables, []), tables)
-    return _with_product(rows, tables)
-
-
-def _sum(column: str, name: str) -> Column:
-    return F.sum(column).alias(name)
-
-
-def _avg(column: str, name: str) -> Column:
-    return F.avg(column).alias(name)
+    rows = _add(rows, tables, "dim_time", "time_sk", "year", "month_number", "month_name")
+    rows = _add(rows, tables, "dim_customer", "customer_sk", "city_sk")
+    rows = _add(rows, tables, "dim_product", "product_sk", "product_family_sk")
+    sums = rows.groupBy(
+        "year", "month_number", "month_name", "city_sk", "product_family_sk", "transaction_type"
+    ).agg(
+        F.count(counted).alias("_counted"),
+        F.count(amount).alias("_amounts"),
+        *[F.sum(c).alias(c) for c in [amount, *more]],
+    )
+    sums = _add(_add_country(sums, tables), tables, "dim_continent", "continent_sk", "continent_name")
+    sums = _add(
+        sums, tables, "dim_product_family", "product_family_sk", "product_line_sk", "product_family_name"
+    )
+    return _add(sums, tables, "dim_product_line", "product_line_sk", "product_line_name")
 
 
 def monthly_revenue(tables: Tables) -> DataFrame:
     """Settled net revenue by month, continent, country, product line, family and type."""
     return (
-        _revenue_rows(tables)
+        _revenue(tables, "net_amount", "transaction_type", ["fee_amount", "quantity"])
         .groupBy(
             "year",
             "month_number",
@@ -96,11 +87,11 @@ def monthly_revenue(tables: Tables) -> DataFrame:
             "transaction_type",
         )
         .agg(
-            F.count("*").alias("nb_transactions"),
-            _sum("net_amount", "revenue_eur"),
-            _avg("net_amount", "avg_transaction_eur"),
-            _sum("fee_amount", "total_fees_eur"),
-            _sum("quantity", "total_quantity"),
+            F.sum("_counted").alias("nb_transactions"),
+            F.sum("net_amount").alias("revenue_eur"),
+            _average("net_amount", "_amounts").alias("avg_transaction_eur"),
+            F.sum("fee_amount").alias("total_fees_eur"),
+            F.sum("quantity").alias("total_quantity"),
         )
     )
 
@@ -108,7 +99,7 @@ def monthly_revenue(tables: Tables) -> DataFrame:
 def monthly_revenue_eur(tables: Tables) -> DataFrame:
     """Settled revenue in euro by month, country, continent and product line."""
     return (
-        _revenue_rows(tables)
+        _revenue(tables, "amount_eur", "transaction_sk", ["fee_amount"])
         .groupBy(
             "year",
             "month_number",
@@ -118,26 +109,34 @@ def monthly_revenue_eur(tables: Tables) -> DataFrame:
             "product_line_name",
         )
         .agg(
-            F.count("transaction_sk").alias("total_transactions"),
-            _sum("amount_eur", "total_revenue_eur"),
-            _avg("amount_eur", "avg_transaction_eur"),
-            _sum("fee_amount", "total_fees_eur"),
+            F.sum("_counted").alias("total_transactions"),
+            F.sum("amount_eur").alias("total_revenue_eur"),
+            _average("amount_eur", "_amounts").alias("avg_transaction_eur"),
+            F.sum("fee_amount").alias("total_fees_eur"),
         )
     )
 
 
 def _client_volumes(tables: Tables) -> DataFrame:
+    """Settled sums per client; the fact is summed by customer before any join."""
     client = ["customer_bk", "customer_name", "customer_type", "segment"]
-    return (
-        _with_country(_settled(tables), tables, client)
-        .groupBy(*client, "country_name")
+    sums = (
+        _settled(tables)
+        .groupBy("customer_sk")
         .agg(
-            F.count("*").alias("nb_transactions"),
-            _sum("net_amount", "total_volume_eur"),
-            _avg("net_amount", "avg_transaction_eur"),
-            _sum("fee_amount", "total_fees_generated"),
+            F.count("*").alias("_rows"),
+            F.count("net_amount").alias("_amounts"),
+            F.sum("net_amount").alias("net_amount"),
+            F.sum("fee_amount").alias("fee_amount"),
         )
     )
+    sums = _add_country(_add(sums, tables, "dim_customer", "customer_sk", "city_sk", *client), tables)
+    return sums.groupBy(*client, "country_name").agg(
+        F.sum("_rows").alias("nb_transactions"),
+        F.sum("net_amount").alias("total_volume_eur"),
+        _average("net_amount", "_amounts").alias("avg_transaction_eur"),
+        F.sum("fee_amount").alias("total_fees_generated"),
+    )
 
 
 def top_clients(tables: Tables, top: int | None = None) -> DataFrame:
@@ -149,13 +148,13 @@ def top_clients(tables: Tables, top: int | None = None) -> DataFrame:
 def channel_analysis(tables: Tables) -> DataFrame:
     """Volume by quarter, channel, status and type."""
     return (
-        _with_time(tables["fact_transactions"], tables, ["year", "quarter"])
+        _add(tables["fact_transactions"], tables, "dim_time", "time_sk", "year", "quarter")
         .groupBy("year", "quarter", "channel", "transaction_status", "transaction_type")
         .agg(
             F.count("*").alias("nb_transactions"),
-            _sum("net_amount", "total_volume_eur"),
-            _sum("fee_amount", "total_fees_eur"),
-            _avg("net_amount", "avg_amount_eur"),
+            F.sum("net_amount").alias("total_volume_eur"),
+            F.sum("fee_amount").alias("total_fees_eur"),
+            F.avg("net_amount").alias("avg_amount_eur"),
             F.min("net_amount").alias("min_amount_eur"),
             F.max("net_amount").alias("max_amount_eur"),
         )
@@ -173,8 +172,8 @@ def quality_kpi(tables: Tables) -> DataFrame:
         F.count_if(F.col("product_sk").isNull()).alias("null_product_sk"),
         F.count_if(net < 0).alias("negative_amounts"),
         F.count_if(F.col("gross_amount") < net).alias("gross_lt_net"),
-        _sum("net_amount", "total_volume_eur"),
-        _avg("net_amount", "avg_transaction_eur"),
+        F.sum("net_amount").alias("total_volume_eur"),
+        F.avg("net_amount").alias("avg_transaction_eur"),
     )
 
 

@@ -22,7 +22,7 @@ from granary.functions.clean import (
 from granary.operators import dedup, facts, keys, quality, scd2
 from granary.operators.dims import BY_NAME, build_dimension
 from granary.plans import marts
-from granary.plans.batch import run_batch
+from granary.plans.batch import run_batch, source_totals
 from granary.session import at_once, scratch_path, stage
 from granary.sinks import tables as sinks
 from granary.sources import extract, landing
@@ -688,12 +688,12 @@ def _suite(spark, sf_dir) -> DataFrame:
     tables = _facts(spark, sf_dir, "dim_time")
     flagged = stage(facts.flag_rejects(tables["fact_transactions"]), "fact")
     return quality.fact_suite(
-        facts.valid_rows(flagged),
         flagged,
+        facts.is_valid(),
         tables["dim_customer"],
         tables["dim_product"],
         tables["dim_time"],
-        quality.totals(_latest(spark, sf_dir), "net_amount"),
+        stage(source_totals(given.source(spark, sf_dir, "FACT_TXN")), "source-totals"),
     )
 
 
