@@ -33,14 +33,7 @@ def type_transactions(raw: DataFrame) -> DataFrame:
 
 def latest_transactions(typed: DataFrame) -> DataFrame:
     """The newest version of each transaction; ties go by amount, product and quantity."""
-    order = [
-        F.col("txn_date").desc_nulls_last(),
-        F.col("net_amount").desc_nulls_last(),
-        F.col("gross_amount").desc_nulls_last(),
-        F.col("product_bk").asc(),
-        F.col("quantity").desc_nulls_last(),
-        F.col("currency_code").asc(),
-    ]
+    order = ["-txn_date", "-net_amount", "-gross_amount", "product_bk", "-quantity", "currency_code"]
     return latest_per_key(typed, ["transaction_bk"], order)
 
 

@@ -36,7 +36,9 @@ def stage_products(raw: DataFrame, dim_product_family: DataFrame) -> DataFrame:
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
-    return dim.filter("is_current")
+    """Current versions. They have no closing day, so a table kept by it skips its history."""
+    rows = dim.filter("is_current")
+    return rows.filter("valid_to is null") if "valid_to" in dim.columns else rows
 
 
 def _differs(old: str, new: str, tracked: Sequence[str]) -> Column:

@@ -79,7 +79,7 @@ def test_latest_wins_and_ties_are_settled(spark):
         [("a", 1, "p"), ("a", 2, "q"), ("a", 2, "r"), ("b", 1, "s")], "k string, d int, v string"
     )
     for part in (1, 3, 5):
-        out = latest_per_key(df.repartition(part), ["k"], [F.col("d").desc()])
+        out = latest_per_key(df.repartition(part), ["k"], ["-d"])
         assert dicts(out) == [("a", 2, "q"), ("b", 1, "s")]
 
 
