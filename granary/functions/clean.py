@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,11 @@ NULL_TEXT = "UNKNOWN"
 NULL_NUMBER = -1
 
 
+def stamp(ts: dt.datetime) -> Column:
+    """A constant timestamp, the same whatever the time zone of session or driver."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_date(col: Column) -> Column:
     """A date from ``yyyyMMdd`` or ``yyyy-MM-dd`` text; null where it is neither."""
     return F.coalesce(F.try_to_date(col, "yyyyMMdd"), F.try_to_date(col, "yyyy-MM-dd"))

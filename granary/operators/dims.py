@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary import schemas
-from granary.functions.clean import Mapping, align, project, with_key
+from granary.functions.clean import Mapping, align, project, stamp, with_key
 from granary.operators.dedup import dedup_by_key
 from granary.operators.keys import assign_surrogate_keys, lookup_surrogate_key, same_key
 
@@ -111,12 +111,12 @@ def build_dimension(
         rows = lookup_surrogate_key(
             rows, parent, spec.parent_code, spec.parent_sk, unique=spec.parent != "dim_region"
         )
-    stamp = F.lit(batch_ts).cast("timestamp_ntz")
+    now = stamp(batch_ts)
     keyed = assign_surrogate_keys(rows, spec.natural_key, spec.sk, existing, ["created_at"])
     schema = schemas.target_schema(spec.name)
     out = align(
         keyed.withColumns(
-            {"created_at": F.coalesce("created_at", stamp), "updated_at": stamp}
+            {"created_at": F.coalesce("created_at", now), "updated_at": now}
         ),
         schema,
     )

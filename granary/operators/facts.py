@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.calendar import FIRST_DAY, LAST_DAY
-from granary.functions.clean import date_key, project_checked, reasons
+from granary.functions.clean import date_key, project_checked, reasons, stamp
 from granary.operators.dedup import latest_per_key
 from granary.operators.scd2 import asof_lookup, current_rows
 
@@ -98,7 +98,7 @@ def transform_fact(
         {
             "source_system": F.lit(schemas.SOURCE_SYSTEM),
             "batch_id": F.lit(batch_id),
-            "loaded_at": F.lit(batch_ts).cast("timestamp_ntz"),
+            "loaded_at": stamp(batch_ts),
         }
     )
     columns = [c for c in schemas.target_schema("fact_transactions").names if c != "transaction_sk"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.calendar import FIRST_DAY, LAST_DAY
-from granary.functions.clean import align, project, with_key
+from granary.functions.clean import align, project, stamp, with_key
 from granary.operators.dedup import dedup_by_key
 from granary.operators.keys import fill_surrogate_keys, lookup_surrogate_key, number_rows
 from granary.session import stage
@@ -89,7 +89,7 @@ def scd2_apply(
     schema = schemas.target_schema(table)
     existing = align(existing, schema)
     is_current = F.coalesce("is_current", F.lit(False))
-    day, stamp = F.lit(batch_date), F.lit(batch_ts).cast("timestamp_ntz")
+    day, now = F.lit(batch_date), stamp(batch_ts)
 
     old = existing.filter(is_current).select(*keys, F.struct(*schema.names).alias("old"))
     new = staged.select(*keys, F.struct(*staged.columns).alias("new"))
@@ -106,13 +106,13 @@ def scd2_apply(
             fields.append(value.cast(f.dataType).alias(f.name))
         return F.struct(*fields)
 
-    opened = {"valid_from": day, "is_current": F.lit(True), "updated_at": stamp}
-    first = version("new", **opened, created_at=stamp)
+    opened = {"valid_from": day, "is_current": F.lit(True), "updated_at": now}
+    first = version("new", **opened, created_at=now)
     in_place = version(
         "new", **opened, **{sk: F.col(f"old.{sk}")}, created_at=F.col("old.created_at")
     )
     closed = version(
-        "old", valid_to=F.date_sub(day, 1), is_current=F.lit(False), updated_at=stamp
+        "old", valid_to=F.date_sub(day, 1), is_current=F.lit(False), updated_at=now
     )
     kept = version("old")
     rows = (
@@ -133,12 +133,12 @@ def scd2_initial(
     staged: DataFrame, table: str, batch_date: dt.date, batch_ts: dt.datetime
 ) -> DataFrame:
     """First load: every staged row is a current version."""
-    stamp = F.lit(batch_ts).cast("timestamp_ntz")
+    now = stamp(batch_ts)
     opened = {
         "valid_from": F.lit(batch_date),
         "is_current": F.lit(True),
-        "created_at": stamp,
-        "updated_at": stamp,
+        "created_at": now,
+        "updated_at": now,
     }
     return align(staged.withColumns(opened), schemas.target_schema(table))
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas
@@ -134,20 +134,22 @@ def run_batch(
     mode: str = "current",
     open_first: bool = False,
     max_unresolved: float | None = None,
+    reject_rules: Sequence[tuple[str, Column]] = (),
 ) -> BatchResult:
     """Run one batch into the warehouse under ``root``.
 
     ``full`` reads whole source tables (the first load), otherwise the tables
     with a watermark are read for the day before ``batch_date``. ``tables``
     limits the batch to some source tables; dimensions left out are used as
-    stored. ``dry_run`` stops after the checks. A failed critical check raises
-    before anything is loaded. Running a batch again gives the same tables.
+    stored. ``dry_run`` stops after the checks. ``reject_rules``, pairs of a
+    reason and a condition, send more rows to quarantine. A failed critical
+    check raises before anything is loaded. Running a batch again gives the same tables.
     """
     batch_id = batch_name(batch_date, batch_ts)
     with batch_folder(spark, batch_id):
         return _run(
             spark, source, root, batch_id, batch_date, batch_ts, full,
-            tables, dry_run, mode, open_first, max_unresolved,
+            tables, dry_run, mode, open_first, max_unresolved, reject_rules,
         )
 
 
@@ -164,6 +166,7 @@ def _run(
     mode: str,
     open_first: bool,
     max_unresolved: float | None,
+    reject_rules: Sequence[tuple[str, Column]],
 ) -> BatchResult:
     house = Warehouse(spark, root)
     wanted = [t for t in schemas.SOURCE_DDL if tables is None or t in tables]
@@ -250,7 +253,7 @@ def _run(
             batch_id, batch_ts, mode, open_first, first, last,
         )
         reason = "NO_VERSION" if mode == "asof" else "UNRESOLVED_FK"
-        flagged = stage(flag_rejects(fact, unresolved=reason), "fact")
+        flagged = stage(flag_rejects(fact, reject_rules, reason), "fact")
         suite = quality.fact_suite(
             flagged,
             is_valid(),

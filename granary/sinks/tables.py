@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas
-from granary.functions.clean import align
+from granary.functions.clean import align, stamp
 from granary.operators.facts import quarantine_records
 from granary.operators.keys import load_key, same_key
 from granary.session import delete_path, path_exists, stage
@@ -35,7 +35,7 @@ def batch_name(batch_date: dt.date, batch_ts: dt.datetime) -> str:
 
 def stamp_load(df: DataFrame, batch_id: str, batch_ts: dt.datetime) -> DataFrame:
     return df.withColumns(
-        {"_batch_id": F.lit(batch_id), "_loaded_at": F.lit(batch_ts).cast("timestamp_ntz")}
+        {"_batch_id": F.lit(batch_id), "_loaded_at": stamp(batch_ts)}
     )
 
 
@@ -131,14 +131,18 @@ def merge_into(
     updates = stage(updates, "merge-updates")
     replaced = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
     touched = _values(replaced.unionByName(updates.select(partition)), partition)
-    part = target.filter(F.col(partition).isin(touched))
+    part = target.filter(
+        F.col(partition).isin([v for v in touched if v is not None])
+        | (F.col(partition).isNull() & F.lit(None in touched))
+    )
     merged = stage(merge_upsert(part, updates, keys), "merge-result")
     filled = _values(merged, partition)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
     for value in set(touched) - set(filled):
-        delete_path(spark, f"{path}/{partition}={value}")
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        delete_path(spark, f"{path}/{partition}={folder}")
 
 
 def _values(df: DataFrame, column: str) -> list:

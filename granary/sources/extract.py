@@ -64,26 +64,50 @@ def row_hash(partitions: int) -> str:
     return f"ORA_HASH(ROWID, {partitions - 1})"
 
 
+def window_condition(watermark: str, batch_date: dt.date, text_dates: bool = False) -> str:
+    """The batch window as a condition the source evaluates.
+
+    ``text_dates`` compares against ``yyyyMMdd`` text instead of a date.
+    """
+    lo, hi = batch_window(batch_date)
+    spell = "'{0:%Y%m%d}'" if text_dates else "DATE '{0}'"
+    return f"t.{watermark} >= {spell.format(lo)} AND t.{watermark} < {spell.format(hi)}"
+
+
 def extract_query(
     table: str,
     partitions: int = PARTITIONS,
     watermark: str | None = None,
     batch_date: dt.date | None = None,
     text_dates: bool = False,
+    bucket: str | None = None,
 ) -> str:
     """The query the source runs: whole table, or the batch window of ``watermark``.
 
-    ``text_dates`` compares against ``yyyyMMdd`` text instead of a date.
+    ``bucket`` is the source's expression for the split column, by default
+    :func:`row_hash`.
     """
-    query = f"SELECT t.*, {row_hash(partitions)} AS {BUCKET_COLUMN} FROM {table} t"
+    bucket = bucket or row_hash(partitions)
+    query = f"SELECT t.*, {bucket} AS {BUCKET_COLUMN} FROM {table} t"
     if watermark is None:
         return query
-    lo, hi = batch_window(batch_date)
-    if text_dates:
-        lo_text, hi_text = f"'{lo:%Y%m%d}'", f"'{hi:%Y%m%d}'"
-    else:
-        lo_text, hi_text = f"DATE '{lo}'", f"DATE '{hi}'"
-    return f"{query} WHERE t.{watermark} >= {lo_text} AND t.{watermark} < {hi_text}"
+    return f"{query} WHERE {window_condition(watermark, batch_date, text_dates)}"
+
+
+def bounds_query(query: str, column: str, default: tuple[int, int]) -> str:
+    """Least and greatest value of ``column``, found by the source."""
+    return (
+        f"SELECT COALESCE(MIN({column}), {default[0]}) AS lower_bound,"
+        f" COALESCE(MAX({column}), {default[1]}) AS upper_bound FROM ({query}) q"
+    )
+
+
+def net_total_query(
+    table: str, amount: str, watermark: str, batch_date: dt.date, text_dates: bool = False
+) -> str:
+    """Sum of ``amount`` over the batch window, computed by the source."""
+    condition = window_condition(watermark, batch_date, text_dates)
+    return f"SELECT COALESCE(SUM(t.{amount}), 0) AS net_total FROM {table} t WHERE {condition}"
 
 
 def jdbc_options(
@@ -124,18 +148,18 @@ def read_jdbc(
     batch_date: dt.date | None = None,
     text_dates: bool = False,
     custom_schema: str | None = None,
+    bucket: str | None = None,
 ) -> DataFrame:
     """A source table as a frame read over ``partitions`` connections.
 
     A hash bucket has known bounds; for any other split column the source is
-    asked for them.
+    asked for them, and one row comes back.
     """
-    query = extract_query(table, partitions, watermark, batch_date, text_dates)
-    if column == BUCKET_COLUMN:
-        bounds = (0, partitions - 1)
-    else:
-        whole = spark.read.format("jdbc").options(**jdbc_options(connection, query)).load()
-        row = partition_bounds(whole, column, (0, partitions - 1)).first()
-        bounds = (row["lower_bound"], row["upper_bound"])
+    query = extract_query(table, partitions, watermark, batch_date, text_dates, bucket)
+    bounds = (0, partitions - 1)
+    if column != BUCKET_COLUMN:
+        asked = jdbc_options(connection, bounds_query(query, column, bounds))
+        row = spark.read.format("jdbc").options(**asked).load().first()
+        bounds = (int(row[0]), int(row[1]))
     options = jdbc_options(connection, query, column, bounds, partitions, custom_schema)
     return spark.read.format("jdbc").options(**options).load()

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from granary.functions.clean import stamp
+
 
 def extract_id(table: str, batch_date: dt.date, batch_ts: dt.datetime) -> str:
     return f"{table}_{batch_date:%Y%m%d}_{batch_ts:%H%M%S}"
@@ -19,7 +21,7 @@ def stamp_extract(
     """Add when, in which extract and from which table a row was read."""
     return df.withColumns(
         {
-            "_extracted_at": F.lit(batch_ts).cast("timestamp_ntz"),
+            "_extracted_at": stamp(batch_ts),
             "_batch_id": F.lit(extract_id(table, batch_date, batch_ts)),
             "_source_table": F.lit(table),
         }

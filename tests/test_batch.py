@@ -3,6 +3,7 @@ import os
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary.operators.quality import DataQualityError
 from granary.plans import marts
@@ -132,6 +133,18 @@ def test_critical_failure_stops_before_loading(spark, folder):
     assert Warehouse(spark, folder).tables() == {}
 
 
+def test_reject_rules_send_rows_to_quarantine(spark, folder):
+    bad = small_source(spark) | {
+        "FACT_TXN": source(spark, "FACT_TXN", [txn("T1"), txn("T2", NET_AMT=D("-1"))]),
+    }
+    rules = [("NEGATIVE", F.col("net_amount") < 0)]
+    run_batch(spark, bad, folder, DAY, TS, full=True, reject_rules=rules)
+    house = Warehouse(spark, folder)
+    assert dicts(house.table("fact_transactions"), "transaction_bk") == [("T1",)]
+    held = house.table("quarantine_fact_transactions")
+    assert dicts(held, "transaction_bk", "quarantine_reason") == [("T2", "NEGATIVE")]
+
+
 def test_too_many_unresolved_keys_stop_the_batch(spark, folder):
     bad = small_source(spark) | {
         "FACT_TXN": source(spark, "FACT_TXN", [txn("T1"), txn("T2", cust="NOBODY")]),

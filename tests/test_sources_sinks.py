@@ -22,6 +22,18 @@ def test_full_and_incremental_query():
     assert "ORA_HASH(ROWID, 39)" in text
 
 
+def test_aggregates_run_at_the_source():
+    query = extract.extract_query("ERP.X", bucket="MOD(ID, 20)")
+    assert extract.bounds_query(query, "ID", (0, 19)) == (
+        "SELECT COALESCE(MIN(ID), 0) AS lower_bound, COALESCE(MAX(ID), 19) AS upper_bound"
+        " FROM (SELECT t.*, MOD(ID, 20) AS ROWID_HASH FROM ERP.X t) q"
+    )
+    assert extract.net_total_query("ERP.F", "NET", "TXN_DT", DAY, text_dates=True) == (
+        "SELECT COALESCE(SUM(t.NET), 0) AS net_total FROM ERP.F t"
+        " WHERE t.TXN_DT >= '20240101' AND t.TXN_DT < '20240102'"
+    )
+
+
 def test_jdbc_options():
     options = extract.jdbc_options(
         {"url": "jdbc:x"}, "SELECT 1", "ROWID_HASH", (0, 19), 20, "LAT decimal(10,6)"
@@ -122,6 +134,24 @@ def test_merge_into_touches_only_what_it_must(spark, folder):
     assert not os.path.exists(f"{path}/p=2")
 
 
+def test_merge_into_and_out_of_the_null_partition(spark, folder):
+    path = f"{folder}/m"
+    rows = [("a", None), ("b", 1), ("c", 2)]
+    spark.createDataFrame(rows, "k string, p int").write.partitionBy("p").parquet(path)
+    sinks.merge_into(spark, path, spark.createDataFrame([("a", 1), ("c", None)], "k string, p int"), ["k"], "p")
+    assert dicts(spark.read.parquet(path), "k", "p") == [("a", 1), ("b", 1), ("c", None)]
+
+
+def test_stamps_do_not_depend_on_the_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        df = landing.stamp_extract(spark.range(1), "T", DAY, TS)
+        assert df.first()["_extracted_at"] == TS
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_clustering_splits_a_hot_pair(spark, folder):
     df = spark.range(4000).select(
         F.concat(F.lit("T"), "id").alias("bk"),
