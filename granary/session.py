@@ -12,9 +12,16 @@ from contextvars import ContextVar, copy_context
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+_marked: set[str] = set()
 _batch_folder: ContextVar[str | None] = ContextVar("batch_folder", default=None)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -29,11 +36,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _fallback[app]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; the driver's JVM deletes it when it ends."""
+    folder = f"{shared_folder(spark)}/granary/{spark.sparkContext.applicationId}"
+    if folder not in _marked:
+        files, place = _hadoop(spark, folder)
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _marked.add(folder)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, or under that of the running batch."""
-    folder = _batch_folder.get()
-    if folder is None:
-        folder = f"{shared_folder(spark)}/granary/{spark.sparkContext.applicationId}"
+    folder = _batch_folder.get() or _application_folder(spark)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
@@ -62,12 +78,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, place = _hadoop(spark, path)
     return files.exists(place)

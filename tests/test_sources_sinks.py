@@ -51,6 +51,13 @@ def test_jdbc_options():
     assert "partitionColumn" not in extract.jdbc_options({}, "SELECT 1")
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_splits_hold_each_row_once(spark, parts):
+    df = spark.sql("select case when id > 3 then id end as id from range(50)")
+    sizes = extract.split_sizes(df, extract.split_predicates("id", 5, 40, parts)).collect()
+    assert len(sizes) == parts and sum(r.rows_in_split for r in sizes) == 50
+
+
 def test_bounds(spark):
     assert tuple(extract.partition_bounds(spark.range(3, 9), "id", (0, 20)).first()) == (3, 8)
     assert tuple(extract.partition_bounds(spark.range(0), "id", (0, 20)).first()) == (0, 20)

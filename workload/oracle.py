@@ -255,6 +255,14 @@ def oracle_sql() -> dict[str, str]:
         "incremental_window": f"select TXN_ID, TXN_DT, NET_AMT from FACT_TXN where {_window('TXN_DT')}",
         "partition_bounds": "select coalesce(min(l_orderkey),0) lower_bound,"
         " coalesce(max(l_orderkey),20) upper_bound from lineitem",
+        "scan_splits": """
+            select cast(split as int) split, count(l_orderkey) rows_in_split
+            from (select unnest(range(20)) split) s
+              left join (select l_orderkey,
+                  (select count(*) from (select unnest(range(1,20)) i) c
+                    where l_orderkey >= lo + (hi + 1 - lo) * i // 20) part
+                from lineitem, (select min(l_orderkey) lo, max(l_orderkey) hi from lineitem) b) l
+              on part = split group by split""",
         "source_net_total": "select cast(coalesce(sum(NET_AMT),0) as decimal(38,4)) net_total"
         f" from FACT_TXN where {_window('TXN_DT')}",
         "landing_roundtrip": "select * from FACT_TXN",

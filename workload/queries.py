@@ -169,6 +169,15 @@ def partition_bounds(spark, sf_dir):
     return extract.partition_bounds(lines, "l_orderkey", (0, SCAN_BUCKETS))
 
 
+@query
+def scan_splits(spark, sf_dir):
+    """Rows of each part of a partitioned read, cut by the bounds of the order key."""
+    lines = given.read(spark, sf_dir, "lineitem")
+    row = extract.partition_bounds(lines, "l_orderkey", (0, SCAN_BUCKETS)).first()
+    predicates = extract.split_predicates("l_orderkey", *row, SCAN_BUCKETS)
+    return extract.split_sizes(lines, predicates)
+
+
 @query
 def bucket_histogram(spark, sf_dir):
     """Rows per hash bucket of the transaction key."""
