@@ -50,10 +50,15 @@ def project(df: DataFrame, mapping: Mapping) -> DataFrame:
     return df.select(*[convert(F.col(s), kind).alias(t) for s, t, kind in mapping])
 
 
+def where_true(pairs: Iterable[tuple[Column, Column]]) -> Column:
+    """The texts whose condition holds for a row, in order, as an array."""
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(c, F.array(text)).otherwise(none) for text, c in pairs])
+
+
 def reasons(pairs: Iterable[tuple[str, Column]]) -> Column:
     """The names of all conditions that hold for a row, in order."""
-    none = F.array().cast("array<string>")
-    return F.concat(none, *[F.when(c, F.array(F.lit(name))).otherwise(none) for name, c in pairs])
+    return where_true([(F.lit(name), c) for name, c in pairs])
 
 
 def may_fail(df: DataFrame, column: str, kind: str) -> bool:
@@ -64,13 +69,19 @@ def may_fail(df: DataFrame, column: str, kind: str) -> bool:
 
 
 def project_checked(df: DataFrame, mapping: Mapping) -> DataFrame:
-    """:func:`project` plus ``bad_values``, naming the columns whose value did not convert."""
+    """:func:`project`, and what did not convert.
+
+    ``bad_values`` names the columns, ``bad_raw`` holds their text at the source.
+    """
     risky = [(s, t) for s, t, kind in mapping if may_fail(df, s, kind)]
     converted = [convert(F.col(s), kind).alias(t) for s, t, kind in mapping]
-    present = [F.col(s).isNotNull().alias(f"_had_{t}") for s, t in risky]
-    bad = [(f"BAD_VALUE:{t}", F.col(f"_had_{t}") & F.col(t).isNull()) for _, t in risky]
-    return df.select(*converted, *present).select(
-        *[t for _, t, _ in mapping], reasons(bad).alias("bad_values")
+    raw = [F.col(s).cast("string").alias(f"_raw_{t}") for s, t in risky]
+    failed = {t: F.col(f"_raw_{t}").isNotNull() & F.col(t).isNull() for _, t in risky}
+    text = [(F.concat(F.lit(f"{s}="), f"_raw_{t}"), failed[t]) for s, t in risky]
+    return df.select(*converted, *raw).select(
+        *[t for _, t, _ in mapping],
+        reasons([(f"BAD_VALUE:{t}", failed[t]) for _, t in risky]).alias("bad_values"),
+        where_true(text).alias("bad_raw"),
     )
 
 

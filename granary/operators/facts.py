@@ -14,6 +14,9 @@ from granary.functions.clean import date_key, project_checked, reasons, stamp
 from granary.operators.dedup import latest_per_key
 from granary.operators.scd2 import asof_lookup, current_rows
 
+# What did not convert, see project_checked.
+CHECKED = ["bad_values", "bad_raw"]
+
 # Columns a fact row needs before it may be loaded.
 REQUIRED = [
     "transaction_bk",
@@ -27,7 +30,7 @@ REQUIRED = [
 
 
 def type_transactions(raw: DataFrame) -> DataFrame:
-    """Model columns of the transactions, and ``bad_values`` naming what did not convert."""
+    """Model columns of the transactions, and what of them did not convert."""
     return project_checked(raw, schemas.TRANSACTION_MAP)
 
 
@@ -88,7 +91,7 @@ def transform_fact(
     """Source transactions as fact rows, plus the columns the reject rules look at.
 
     Beyond the fact table's columns the result keeps ``txn_date``, the two
-    business keys and ``bad_values``; loading drops them.
+    business keys and what did not convert; loading drops them.
     """
     rows = latest_transactions(type_transactions(raw)).withColumns(
         {"amount_eur": amount_eur(), "time_sk": date_key(F.col("txn_date"))}
@@ -102,7 +105,7 @@ def transform_fact(
         }
     )
     columns = [c for c in schemas.target_schema("fact_transactions").names if c != "transaction_sk"]
-    return rows.select(*columns, "txn_date", "customer_bk", "product_bk", "bad_values")
+    return rows.select(*columns, "txn_date", "customer_bk", "product_bk", *CHECKED)
 
 
 def reject_reasons(
@@ -114,7 +117,9 @@ def reject_reasons(
     """
     keys = F.col("customer_sk").isNull() | F.col("product_sk").isNull()
     missing = [(f"MISSING:{c}", F.col(c).isNull()) for c in REQUIRED]
-    return F.concat(reasons([(unresolved, keys), *missing, *rules]), "bad_values")
+    amounts = F.col("net_amount").isNotNull() & F.col("exchange_rate_to_eur").isNotNull()
+    too_large = ("BAD_VALUE:amount_eur", F.col("amount_eur").isNull() & amounts)
+    return F.concat(reasons([(unresolved, keys), *missing, too_large, *rules]), "bad_values")
 
 
 def flag_rejects(
@@ -140,7 +145,10 @@ def rejected_rows(flagged: DataFrame) -> DataFrame:
 
 
 def quarantine_records(rejected: DataFrame) -> DataFrame:
-    """Rejected rows as quarantine records: key, reasons, the whole row as JSON, batch, time."""
+    """Rejected rows as quarantine records: key, reasons, the whole row as JSON, batch, time.
+
+    The JSON holds the text of values that did not convert under ``bad_raw``.
+    """
     payload = [c for c in rejected.columns if c not in ("reasons", "bad_values")]
     return rejected.select(
         "transaction_bk",

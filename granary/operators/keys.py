@@ -94,11 +94,16 @@ def fill_surrogate_keys(
 def load_key(batch_date: dt.date) -> Column:
     """A unique key per written row of a fact batch, without a shuffle.
 
-    The days since the calendar began fill the bits above 2**50, the row's
-    place in the written partitions the rest, which leaves room for 131,072
-    partitions. Keys grow with the batch and have gaps.
+    From the top: days since the calendar began (14 bits), number of the written
+    partition (21), place in it (28). Keys grow with the batch and have gaps; a
+    batch too large for them fails rather than repeat one.
     """
-    return F.lit((batch_date - FIRST_DAY).days * 2**50).cast("long") + F.monotonically_increasing_id()
+    day = (batch_date - FIRST_DAY).days
+    part = F.spark_partition_id().cast("long")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    key = F.lit(day * 2**49).cast("long") + part * 2**28 + place
+    fits = (part < 2**21) & (place < 2**28)
+    return F.when(fits, key).otherwise(F.raise_error(F.lit("more rows or partitions than load keys")))
 
 
 def lookup_surrogate_key(

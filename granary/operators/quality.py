@@ -301,11 +301,21 @@ def schema_checks(df: DataFrame, expected: T.StructType) -> DataFrame:
     )
 
 
-def source_checks(df: DataFrame, mapping: Mapping, table: str) -> DataFrame:
+def missing_columns(df: DataFrame, expected: T.StructType) -> list[str]:
+    """Names of ``expected`` that ``df`` lacks; letter case does not count."""
+    have = {c.lower() for c in df.columns}
+    return [n for n in expected.names if n.lower() not in have]
+
+
+def source_checks(
+    df: DataFrame, mapping: Mapping, table: str, severity: str = CRITICAL
+) -> DataFrame:
     """Conversion and length of a source table's columns, in one aggregate."""
     longest = schemas.MAX_LENGTH.get(table, {})
-    rules = [convertible(s, kind) for s, _, kind in mapping if kind not in ("string", "title")]
-    rules += [fits_length(s, longest[t]) for s, t, _ in mapping if t in longest]
+    rules = [
+        convertible(s, kind, severity) for s, _, kind in mapping if kind not in ("string", "title")
+    ]
+    rules += [fits_length(s, longest[t], severity) for s, t, _ in mapping if t in longest]
     return row_checks(df, rules)
 
 

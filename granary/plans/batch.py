@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.calendar import FIRST_DAY, LAST_DAY, dim_time
+from granary.functions.clean import Mapping as ColumnMapping
 from granary.functions.clean import parse_date
 from granary.operators import quality
 from granary.operators.dims import BY_NAME, build_dimension
@@ -61,6 +62,7 @@ class BatchResult:
     loads: list[LoadResult]
     report: quality.Report | None
     audit: DataFrame
+    source_reports: list[quality.Report]
 
 
 class Warehouse:
@@ -87,9 +89,10 @@ def source_totals(raw: DataFrame) -> DataFrame:
     Derived without the fact's own code: per key the greatest pair of day and
     amount. Rows without a key count one by one.
     """
-    pair = F.struct(parse_date(F.col("TXN_DT")).alias("d"), F.col("NET_AMT").alias("a"))
+    amount = F.col("NET_AMT").try_cast("decimal(18,4)")
+    pair = F.struct(parse_date(F.col("TXN_DT").cast("string")).alias("d"), amount.alias("a"))
     per_key = raw.groupBy("TXN_ID").agg(
-        F.max(pair).alias("last"), F.count("*").alias("n"), F.sum("NET_AMT").alias("all")
+        F.max(pair).alias("last"), F.count("*").alias("n"), F.sum(amount).alias("all")
     )
     keyless = F.col("TXN_ID").isNull()
     return per_key.agg(
@@ -108,7 +111,11 @@ def extract_all(
     batch_ts: dt.datetime,
     full: bool,
 ) -> dict[str, int]:
-    """Land the wanted tables; those with a watermark only for the batch window."""
+    """Land the wanted tables as they are; those with a watermark only for the batch window."""
+    for table in wanted:
+        lacking = quality.missing_columns(source[table], schemas.source_schema(table))
+        if lacking:
+            raise quality.DataQualityError(f"{table} lacks {', '.join(lacking)}")
 
     def land(table: str) -> int:
         df = source[table]
@@ -119,7 +126,7 @@ def extract_all(
         log.info("landed %s: %d rows", table, rows)
         return rows
 
-    return dict(zip(wanted, at_once(*[partial(land, t) for t in wanted]), strict=True))
+    return dict(zip(wanted, at_once(*[partial(land, t) for t in wanted], limit=4), strict=True))
 
 
 def run_batch(
@@ -174,8 +181,18 @@ def _run(
 
     def raw(table: str) -> DataFrame:
         path = landing_path(house.root, table, batch_date)
-        return read_landing(spark, path, schemas.source_schema(table))
-
+        return read_landing(spark, path, source[table].schema)
+
+    def inspect(table: str, mapping: ColumnMapping, model: str) -> None:
+        """Warn of values that do not convert or fit; the fact rejects such rows itself."""
+        checks = quality.source_checks(raw(table), mapping, model, quality.WARNING)
+        report = quality.Report.collect(table, batch_id, checks)
+        for c in report.checks:
+            if not c["passed"]:
+                log.warning("%s %s: %s", table, c["name"], c["message"])
+        reports.append(report)
+
+    reports: list[quality.Report] = []
     made: dict[str, DataFrame] = {}
     read: dict[str, int] = {}
 
@@ -195,6 +212,7 @@ def _run(
         if spec.source in wanted:
             parent = known(spec.parent) if spec.parent else None
             stored = house.table(name)
+            inspect(spec.source, spec.mapping, name)
             keep(name, spec.source, build_dimension(spec, raw(spec.source), batch_ts, parent, stored))
 
     yesterday = batch_date - dt.timedelta(days=1)
@@ -215,6 +233,7 @@ def _run(
         for name in ("dim_continent", "dim_country", "dim_region", "dim_city"):
             plain(name)
         if "DIM_CUSTOMER" in wanted:
+            inspect("DIM_CUSTOMER", schemas.CUSTOMER_MAP, "dim_customer")
             staged = stage_customers(raw("DIM_CUSTOMER"), known("dim_city"))
             history("dim_customer", staged, "customer_bk", CUSTOMER_TRACKED, "customer_sk")
 
@@ -222,6 +241,7 @@ def _run(
         for name in ("dim_product_line", "dim_product_family"):
             plain(name)
         if "DIM_PRODUCT" in wanted:
+            inspect("DIM_PRODUCT", schemas.PRODUCT_MAP, "dim_product")
             staged = stage_products(raw("DIM_PRODUCT"), known("dim_product_family"))
             history("dim_product", staged, "product_bk", PRODUCT_TRACKED, "product_sk")
 
@@ -301,7 +321,7 @@ def _run(
         ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_date").parquet(
             house.path("batch_audit")
         )
-    return BatchResult(batch_id, loads, report, audit)
+    return BatchResult(batch_id, loads, report, audit, reports)
 
 
 def verify_written(

@@ -234,7 +234,10 @@ VIEWS = {
 
 
 def create_views(spark: SparkSession, tables: Tables) -> None:
-    """Offer tables and marts to SQL as temporary views."""
+    """Offer tables and marts to SQL as temporary views.
+
+    Call it after each batch: the ranked clients are computed here.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     for name, mart in VIEWS.items():

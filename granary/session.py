@@ -88,7 +88,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
-def at_once(*work: Callable[[], object]) -> list:
+def at_once(*work: Callable[[], object], limit: int = 8) -> list:
     """Run independent steps side by side, so that small jobs do not wait for each other."""
-    with ThreadPoolExecutor(max_workers=max(1, len(work))) as pool:
+    with ThreadPoolExecutor(max_workers=limit) as pool:
         return [f.result() for f in [pool.submit(copy_context().run, w) for w in work]]

@@ -145,6 +145,39 @@ def test_reject_rules_send_rows_to_quarantine(spark, folder):
     assert dicts(held, "transaction_bk", "quarantine_reason") == [("T2", "NEGATIVE")]
 
 
+def test_source_types_may_differ(spark, folder):
+    """Amounts as text and doubles, ids as decimals: converted, and refused where they do not fit."""
+    given = small_source(spark)
+    txns = given["FACT_TXN"].withColumns(
+        {
+            "NET_AMT": F.when(F.col("TXN_ID") == "T3", "n/a").otherwise(F.col("NET_AMT").cast("string")),
+            "GROSS_AMT": F.col("GROSS_AMT").cast("double"),
+        }
+    )
+    products = given["DIM_PRODUCT"].withColumn(
+        "MATURITY_DT", F.when(F.col("PRODUCT_ID") == "PR1", "never").otherwise(F.col("MATURITY_DT"))
+    )
+    cities = given["LKP_CITY"].withColumn("CITY_ID", F.col("CITY_ID").cast("decimal(38,0)"))
+    changed = given | {"FACT_TXN": txns, "DIM_PRODUCT": products, "LKP_CITY": cities}
+    result = run_batch(spark, changed, folder, DAY, TS, full=True)
+    house = Warehouse(spark, folder)
+    assert dicts(house.table("fact_transactions"), "transaction_bk") == [("T1",), ("T2",), ("T4",)]
+    held = house.table("quarantine_fact_transactions")
+    assert dicts(held, "transaction_bk", "quarantine_reason") == [
+        ("T3", "MISSING:net_amount,BAD_VALUE:net_amount")
+    ]
+    assert '"bad_raw":["NET_AMT=n/a"]' in held.first().raw_data
+    failed = [(r.table, c["name"]) for r in result.source_reports for c in r.checks if not c["passed"]]
+    assert failed == [("DIM_PRODUCT", "type:MATURITY_DT")]
+
+
+def test_missing_source_column_stops_the_batch(spark, folder):
+    bad = small_source(spark)
+    bad["LKP_CITY"] = bad["LKP_CITY"].drop("LAT", "LNG")
+    with pytest.raises(DataQualityError, match="LKP_CITY lacks LAT, LNG"):
+        run_batch(spark, bad, folder, DAY, TS, full=True)
+
+
 def test_too_many_unresolved_keys_stop_the_batch(spark, folder):
     bad = small_source(spark) | {
         "FACT_TXN": source(spark, "FACT_TXN", [txn("T1"), txn("T2", cust="NOBODY")]),

@@ -91,12 +91,14 @@ def test_each_row_goes_one_way(spark):
         txn(None),
         txn(None, NET_AMT=D("5")),
         txn("NONET", NET_AMT=None),
+        txn("HUGE", NET_AMT=D("99999999999999"), GROSS_AMT=D("99999999999999"), FX_RATE_EUR=D("2")),
     ]
     flagged = facts.flag_rejects(fact(spark, *rows)).cache()
     assert dicts(facts.valid_rows(flagged), "transaction_bk") == [("OK",)]
     assert dicts(facts.rejected_rows(flagged), "transaction_bk", "reasons") == sorted(
         [
             ("BADDAY", ["MISSING:time_sk", "BAD_VALUE:txn_date"]),
+            ("HUGE", ["BAD_VALUE:amount_eur"]),
             ("NOCUST", ["UNRESOLVED_FK"]),
             ("NONET", ["MISSING:net_amount"]),
             ("NOPROD", ["UNRESOLVED_FK"]),

@@ -61,8 +61,12 @@ def test_project_renames_casts_and_titles(spark):
 
 def test_bad_values_are_named(spark):
     raw = source(spark, "FACT_TXN", [txn("A"), txn("B", day="20241301"), txn("C", day=None)])
-    got = {r.transaction_bk: r.bad_values for r in project_checked(raw, schemas.TRANSACTION_MAP).collect()}
-    assert got == {"A": [], "B": ["BAD_VALUE:txn_date"], "C": []}
+    out = project_checked(raw, schemas.TRANSACTION_MAP)
+    assert dicts(out, "transaction_bk", "bad_values", "bad_raw") == [
+        ("A", [], []),
+        ("B", ["BAD_VALUE:txn_date"], ["TXN_DT=20241301"]),
+        ("C", [], []),
+    ]
 
 
 def test_bad_values_of_text_columns(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.operators import quality as q
-from helpers import dicts, plan, source, txn
+from helpers import plan, source, txn
 
 
 def only(checks):

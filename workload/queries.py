@@ -271,7 +271,7 @@ def dedup_by_key(spark, sf_dir):
 @query
 def fact_dedup(spark, sf_dir):
     """The newest version of each transaction."""
-    return _latest(spark, sf_dir).drop("bad_values")
+    return _latest(spark, sf_dir).drop(*facts.CHECKED)
 
 
 # ---------------------------------------------------------------- keys and dimensions
@@ -593,7 +593,7 @@ def publish_swap(spark, sf_dir):
 
 
 def _clustered(spark, sf_dir) -> str:
-    rows = _latest(spark, sf_dir).drop("bad_values")
+    rows = _latest(spark, sf_dir).drop(*facts.CHECKED)
     rows = rows.withColumn("time_sk", date_key(F.col("txn_date")))
     path = scratch_path(spark, "clustered")
     sinks.write_clustered(
