@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import fertility, language_id, licenses, packing, quality_ranking, toxicity
+from granary.llm import decontamination, fertility, language_id, licenses, line_dedup, packing, quality_ranking, toxicity
 from granary.llm.common import as_bytes, in_bucket, table
 
 
@@ -23,6 +23,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_before", "lines_removed")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", licenses.scan(F.col("text")).alias("s")).select("doc_id", "s.*")
 
@@ -46,6 +55,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_language_id, op3_best_fit_packing, op5_license_scan, op7_quality_ranking,
+    q.__name__: q for q in (op2_language_id, op3_best_fit_packing, op4_template_decontamination, op5_license_scan,
+                            op6_line_dedup, op7_quality_ranking,
                             op8_fertility_rules, op9_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": """
+        with d as (select doc_id, source, text, string_split(text, chr(10)) as parts from documents),
+        l as (select doc_id, source, unnest(parts) as line, generate_subscripts(parts, 1) as pos from d),
+        k as (select *, trim(line) as key, regexp_matches(line, '\\S\\s+\\S+\\s+\\S') as long_enough from l),
+        b as (select key, min(doc_id) as first from k where long_enough group by key having count(distinct source) >= 10),
+        m as (select k.*, b.key is not null and k.long_enough and k.doc_id <> b.first as gone from k left join b using (key))
+        select doc_id, coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '') as text,
+               count(*)::bigint as lines_before, count(*) filter (where gone)::bigint as lines_removed
+        from m group by doc_id
+    """,
+}
