@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, fertility, language_id, licenses, line_dedup, packing, quality_ranking, toxicity
+from granary.llm import decontamination, fertility, language_id, licenses, line_dedup, ngram_join, packing, quality_ranking, toxicity
 from granary.llm.common import as_bytes, in_bucket, table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.similar_documents(table(spark, sf_dir, "documents"), 4, 85)
+    return found.withColumnRenamed("component", "component_id")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = in_bucket("doc_id", 3, 1)
@@ -55,7 +60,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_language_id, op3_best_fit_packing, op4_template_decontamination, op5_license_scan,
+    q.__name__: q for q in (op1_ngram_join, op2_language_id, op3_best_fit_packing, op4_template_decontamination, op5_license_scan,
                             op6_line_dedup, op7_quality_ranking,
                             op8_fertility_rules, op9_toxicity)}
 ORACLE_SQL: dict[str, str] = {
