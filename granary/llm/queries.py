@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, fertility, language_id, licenses, line_dedup, ngram_join, packing, quality_ranking, toxicity
+from granary.llm import decontamination, fertility, language_id, licenses, line_dedup, ngram_join, packing, quality_ranking, recurrent_lm, toxicity
 from granary.llm.common import as_bytes, in_bucket, table
 
 
@@ -59,10 +59,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_ngram_join, op2_language_id, op3_best_fit_packing, op4_template_decontamination, op5_license_scan,
                             op6_line_dedup, op7_quality_ranking,
-                            op8_fertility_rules, op9_toxicity)}
+                            op8_fertility_rules, op9_toxicity, op10_recurrent_lm)}
 ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": """
         with d as (select doc_id, source, text, string_split(text, chr(10)) as parts from documents),
