@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import functions as F
+
+from granary.llm import licenses
+from tests.llm.cases import awkward, with_clashes
+
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+       "(the \"Software\"), to deal in the Software without restriction.\nThe above copyright notice and this permission notice shall be "
+       "included in all\ncopies or substantial portions of the Software.\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.")
+
+
+def scan(text):
+    found = licenses.recognise(text, {licenses.normalise(s): k for s, k in licenses.SENTENCES.items()})
+    return licenses.match_rules([f[0] for f in found], licenses.RULES), found
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("Foo bar.\nLicensed under CC BY-NC 4.0.\nMore.", ["CC-BY-NC"]),
+    ("This work is licensed under the GNU General Public License, version 3.", ["GPL"]),
+    ("Copyright 2020 A. All rights reserved. Released under the MIT License.", ["MIT", "Proprietary"]),
+    ("licensed under the apache license, version 2.0", ["Apache"]),
+    (MIT, ["MIT"]),
+    ("The licensed driver reserved a table.", []),
+    ("\n".join(reversed(MIT.split("\n"))), []),  # the sentences, but not in the rule's order
+])
+def test_rules(text, expected):
+    assert scan(text)[0] == expected
+
+
+def test_places(spark):
+    text = "Ünd so.\nLicensed under CC BY 4.0. End."
+    ((licence, start, end),) = scan(text)[1]
+    assert licence == "cc-by" and text[start:end] == "Licensed under CC BY 4.0."
+
+
+def test_awkward_rows(spark):
+    docs = with_clashes(awkward(spark).withColumn("text", F.when(F.col("doc_id") == 6, F.concat("text", F.lit("\nAll rights reserved."))).otherwise(F.col("text"))))
+    got = {r.doc_id: r.s for r in docs.select("doc_id", licenses.scan(F.col("text")).alias("s")).collect()}
+    assert got[6].licenses == ["Proprietary"] and all(got[k].licenses == [] for k in got if k != 6)
+    assert docs.limit(0).select(licenses.scan(F.col("text"))).collect() == []
+
+
+def test_whole_table_as_without_the_anchors(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: r.s.licenses for r in docs.select("doc_id", licenses.scan(F.col("text")).alias("s")).collect()}
+    assert got == {r.doc_id: scan(r.text)[0] for r in docs.collect()}
+    assert any(got.values())
