@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary import schemas
-from granary.functions.calendar import FIRST_DAY, LAST_DAY
 from granary.functions.clean import date_key, project_checked, reasons, stamp
 from granary.operators.dedup import latest_per_key
 from granary.operators.scd2 import asof_lookup, current_rows
@@ -52,8 +51,8 @@ def resolve_keys(
     dim_product: DataFrame,
     mode: str = "current",
     open_first: bool = False,
-    first: dt.date = FIRST_DAY,
-    last: dt.date = LAST_DAY,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
 ) -> DataFrame:
     """Add customer, city and product keys.
 
@@ -85,8 +84,8 @@ def transform_fact(
     batch_ts: dt.datetime,
     mode: str = "current",
     open_first: bool = False,
-    first: dt.date = FIRST_DAY,
-    last: dt.date = LAST_DAY,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
 ) -> DataFrame:
     """Source transactions as fact rows, plus the columns the reject rules look at.
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.functions.calendar import FIRST_DAY
 
 
 def hash_bucket(columns: Sequence[str], buckets: int) -> Column:
@@ -91,21 +89,28 @@ def fill_surrogate_keys(
     return kept.unionByName(number_rows(fresh, keys, sk, highest, buckets))
 
 
-def load_key(batch_date: dt.date) -> Column:
+def load_key(run: int) -> Column:
     """A unique key per written row of a fact batch, without a shuffle.
 
-    From the top: days since the calendar began (14 bits), number of the written
-    partition (21), place in it (28). Keys grow with the batch and have gaps; a
+    From the top: number of the run (14 bits), number of the written partition
+    (21), place in it (28). Every run has a number of its own, also one for a day
+    loaded before, so keys never repeat; they grow with the runs and have gaps. A
     batch too large for them fails rather than repeat one.
     """
-    day = (batch_date - FIRST_DAY).days
+    if not 0 <= run < 2**14:
+        raise ValueError(f"run {run} has no keys left")
     part = F.spark_partition_id().cast("long")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    key = F.lit(day * 2**49).cast("long") + part * 2**28 + place
+    key = F.lit(run * 2**49).cast("long") + part * 2**28 + place
     fits = (part < 2**21) & (place < 2**28)
     return F.when(fits, key).otherwise(F.raise_error(F.lit("more rows or partitions than load keys")))
 
 
+def run_of(key: Column) -> Column:
+    """The run a load key was made in."""
+    return F.shiftright(key, 49)
+
+
 def lookup_surrogate_key(
     df: DataFrame, dim: DataFrame, on: str, sk: str, unique: bool = True
 ) -> DataFrame:

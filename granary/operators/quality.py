@@ -340,13 +340,15 @@ def fact_suite(
     dim_time: DataFrame,
     source_totals: DataFrame,
     max_unresolved: float = MAX_UNRESOLVED,
+    referring: Column | None = None,
 ) -> DataFrame:
     """Fifteen checks and two reconciliations of a fact batch, in three passes.
 
     Rules on single rows and uniqueness look at the ``valid`` rows, which are to
     be loaded. The share of unresolved keys and the totals look at all rows,
     with the rejected ones. ``source_totals`` is one row as :func:`totals` gives
-    it. Single-row rules and totals share one aggregate.
+    it. Single-row rules and totals share one aggregate. The share of unresolved
+    keys is that among the ``referring`` rows, by default all.
     """
     rules = fact_rules()
     one = flagged.agg(
@@ -363,7 +365,7 @@ def fact_suite(
     rows = _rows_of(one, [*_counted(rules), *sides])
     unique = unique_check(flagged.filter(valid), ["transaction_bk"])
     keys = integrity_checks(
-        flagged,
+        flagged if referring is None else flagged.filter(referring),
         [
             Reference("customer_sk", dim_customer, "customer_sk", max_rate=max_unresolved),
             Reference("product_sk", dim_product, "product_sk", max_rate=max_unresolved),

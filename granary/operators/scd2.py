@@ -170,17 +170,22 @@ def asof_lookup(
     day: str,
     take: Sequence[str],
     open_first: bool = False,
-    first: dt.date = FIRST_DAY,
-    last: dt.date = LAST_DAY,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
 ) -> DataFrame:
     """Add ``take`` of the version of ``key`` valid on ``day``; null where there is none.
 
     Versions are laid out per year of their validity, cut to ``first`` ..
     ``last``, so key and year join by equality. A key with a long history is
     then compared within one year only, and a key with many rows is spread over
-    the years. A batch passes its own date range to keep the layout small.
-    With ``open_first`` a key's first version also covers the time before it.
+    the years. A version without a closing day is open without end. A batch
+    passes its own date range; where none is given the first and last day of
+    ``df`` are asked for. With ``open_first`` a key's first version also covers
+    the time before it.
     """
+    if first is None or last is None:
+        ends = df.agg(F.min(day), F.max(day)).first()
+        first, last = first or ends[0] or FIRST_DAY, last or ends[1] or LAST_DAY
     start = F.col("valid_from")
     if open_first:
         begins = F.min("valid_from").over(Window.partitionBy(key))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import time
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial, reduce
+from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +16,12 @@ from pyspark.sql import functions as F
 from granary import schemas
 from granary.functions.calendar import FIRST_DAY, LAST_DAY, dim_time
 from granary.functions.clean import Mapping as ColumnMapping
-from granary.functions.clean import parse_date
+from granary.functions.clean import null_normalize, parse_date
 from granary.operators import quality
 from granary.operators.dims import BY_NAME, build_dimension
 from granary.operators.facts import (
     flag_rejects,
     is_valid,
-    rejected_rows,
     transform_fact,
     valid_rows,
 )
@@ -31,17 +32,20 @@ from granary.operators.scd2 import (
     stage_customers,
     stage_products,
 )
-from granary.session import at_once, batch_folder, path_exists, stage
+from granary.operators.keys import run_of
+from granary.session import at_once, batch_folder, delete_path, put_in_place, recover, stage
 from granary.sinks.tables import (
     LoadResult,
+    StagedFact,
     batch_name,
     load_dimension,
-    load_fact,
     load_history,
+    publish_fact,
     read_table,
+    stage_fact,
 )
 from granary.sources.extract import batch_window, in_window
-from granary.sources.landing import landing_path, read_landing, stamp_extract, write_landing
+from granary.sources.landing import extract_id, landing_path, read_landing, stamp_extract, write_landing
 
 log = logging.getLogger(__name__)
 
@@ -52,6 +56,11 @@ WATERMARKS = {
     "FACT_TXN": "TXN_DT",
 }
 
+HISTORIES = ("dim_product", "dim_customer")
+
+# Days beyond these are taken for wrong, and a row of such a day is refused.
+CALENDAR_LIMITS = (dt.date(1900, 1, 1), dt.date(2199, 12, 31))
+
 # Columns that analysts look up by value.
 LOOKUP_COLUMNS = {"dim_product": ["product_bk", "isin_code"], "dim_customer": ["customer_bk"]}
 
@@ -77,6 +86,15 @@ class Warehouse:
     def table(self, table: str) -> DataFrame | None:
         return read_table(self.spark, self.path(table), table)
 
+    def next_run(self) -> int:
+        """Number of the next run, one more than that of any run so far."""
+        last = [
+            t.agg(F.max(c)).first()[0]
+            for t, c in ((self.table("batch_audit"), F.col("run")), (self.table("fact_transactions"), run_of(F.col("transaction_sk"))))
+            if t is not None
+        ]
+        return max([n for n in last if n is not None], default=0) + 1
+
     def tables(self) -> dict[str, DataFrame]:
         """All model tables loaded so far."""
         found = {t: self.table(t) for t in schemas.TARGET_DDL}
@@ -87,22 +105,40 @@ def source_totals(raw: DataFrame) -> DataFrame:
     """What the fact has to add up to: rows and net amount of the newest version of each key.
 
     Derived without the fact's own code: per key the greatest pair of day and
-    amount. Rows without a key count one by one.
+    amount, as one number, so that Spark sums by hash. Rows without a key count
+    one by one.
     """
     amount = F.col("NET_AMT").try_cast("decimal(18,4)")
-    pair = F.struct(parse_date(F.col("TXN_DT").cast("string")).alias("d"), amount.alias("a"))
-    per_key = raw.groupBy("TXN_ID").agg(
-        F.max(pair).alias("last"), F.count("*").alias("n"), F.sum(amount).alias("all")
-    )
+    day = F.date_diff(parse_date(F.col("TXN_DT").cast("string")), F.lit("0001-01-01").cast("date")) + 1
+    # Days above, amounts below; a null amount comes before any other of its day.
+    shift = F.lit(Decimal(10) ** 15)
+    below = F.coalesce(amount.cast("decimal(38,4)") + shift, F.lit(0)).cast("decimal(38,4)")
+    pair = (F.coalesce(day, F.lit(0)).cast("decimal(8,0)") * F.lit(Decimal(10) ** 16) + below).cast("decimal(38,4)")
+    last = F.pmod("pair", F.lit(Decimal(10) ** 16))
+    per_key = raw.groupBy("TXN_ID").agg(F.max(pair).alias("pair"), F.count("*").alias("n"), F.sum(amount).alias("all"))
     keyless = F.col("TXN_ID").isNull()
     return per_key.agg(
         F.sum(F.when(keyless, F.col("n")).otherwise(1)).cast("long").alias("row_count"),
-        F.sum(F.when(keyless, F.col("all")).otherwise(F.col("last.a")))
-        .cast("decimal(38,4)")
-        .alias("amount_total"),
+        F.sum(F.when(keyless, F.col("all")).when(last > 0, last - shift)).cast("decimal(38,4)").alias("amount_total"),
     ).na.fill(0)
 
 
+@dataclass(frozen=True)
+class Landed:
+    """What one table's extract wrote, and how long it took."""
+
+    rows: int
+    extract_id: str
+    seconds: float
+
+
+def window_of(df: DataFrame, table: str, batch_date: dt.date, full: bool, look_back: int) -> DataFrame:
+    """What a batch reads of a source table: all of it, or its window and the rows without a readable date."""
+    if table not in WATERMARKS or full:
+        return df
+    return in_window(df, WATERMARKS[table], batch_date, look_back, undated=True)
+
+
 def extract_all(
     source: Mapping[str, DataFrame],
     wanted: Collection[str],
@@ -110,21 +146,20 @@ def extract_all(
     batch_date: dt.date,
     batch_ts: dt.datetime,
     full: bool,
-) -> dict[str, int]:
+    look_back: int = 0,
+) -> dict[str, Landed]:
     """Land the wanted tables as they are; those with a watermark only for the batch window."""
     for table in wanted:
         lacking = quality.missing_columns(source[table], schemas.source_schema(table))
         if lacking:
             raise quality.DataQualityError(f"{table} lacks {', '.join(lacking)}")
 
-    def land(table: str) -> int:
-        df = source[table]
-        if table in WATERMARKS and not full:
-            df = in_window(df, WATERMARKS[table], batch_date)
+    def land(table: str) -> Landed:
+        df, began = window_of(source[table], table, batch_date, full, look_back), time.monotonic()
         path = landing_path(root, table, batch_date)
         rows = write_landing(stamp_extract(df, table, batch_date, batch_ts), path)
         log.info("landed %s: %d rows", table, rows)
-        return rows
+        return Landed(rows, extract_id(table, batch_date, batch_ts), time.monotonic() - began)
 
     return dict(zip(wanted, at_once(*[partial(land, t) for t in wanted], limit=4), strict=True))
 
@@ -142,21 +177,30 @@ def run_batch(
     open_first: bool = False,
     max_unresolved: float | None = None,
     reject_rules: Sequence[tuple[str, Column]] = (),
+    look_back: int = 0,
+    normalize_nulls: bool = False,
 ) -> BatchResult:
     """Run one batch into the warehouse under ``root``.
 
     ``full`` reads whole source tables (the first load), otherwise the tables
-    with a watermark are read for the day before ``batch_date``. ``tables``
-    limits the batch to some source tables; dimensions left out are used as
-    stored. ``dry_run`` stops after the checks. ``reject_rules``, pairs of a
-    reason and a condition, send more rows to quarantine. A failed critical
-    check raises before anything is loaded. Running a batch again gives the same tables.
+    with a watermark are read for the day before ``batch_date`` and
+    ``look_back`` days before it; rows without a readable date are read every
+    time. ``tables`` limits the batch to some source tables; dimensions left out
+    are used as stored. ``dry_run`` stops after the checks. ``reject_rules``,
+    pairs of a reason and a condition, send more rows to quarantine.
+    ``normalize_nulls`` puts sentinels for nulls in the descriptive columns of
+    products and customers.
+
+    Everything is written beside the tables and checked there; a failed critical
+    check raises before any table has changed. The calendar grows with the days
+    loaded. Any sequence of batches over the same source rows gives the same
+    tables as one full load, but for load stamps and keys.
     """
     batch_id = batch_name(batch_date, batch_ts)
     with batch_folder(spark, batch_id):
         return _run(
             spark, source, root, batch_id, batch_date, batch_ts, full,
-            tables, dry_run, mode, open_first, max_unresolved, reject_rules,
+            tables, dry_run, mode, open_first, max_unresolved, reject_rules, look_back, normalize_nulls,
         )
 
 
@@ -174,10 +218,17 @@ def _run(
     open_first: bool,
     max_unresolved: float | None,
     reject_rules: Sequence[tuple[str, Column]],
+    look_back: int,
+    normalize_nulls: bool,
 ) -> BatchResult:
     house = Warehouse(spark, root)
+    for table in schemas.TARGET_DDL:
+        recover(spark, house.path(table))
+    run = house.next_run()
+    staging = f"{house.root}/_staging/{batch_id}"
+    delete_path(spark, staging)
     wanted = [t for t in schemas.SOURCE_DDL if tables is None or t in tables]
-    landed = extract_all(source, wanted, house.root, batch_date, batch_ts, full)
+    landed = extract_all(source, wanted, house.root, batch_date, batch_ts, full, look_back)
 
     def raw(table: str) -> DataFrame:
         path = landing_path(house.root, table, batch_date)
@@ -185,7 +236,9 @@ def _run(
 
     def inspect(table: str, mapping: ColumnMapping, model: str) -> None:
         """Warn of values that do not convert or fit; the fact rejects such rows itself."""
-        checks = quality.source_checks(raw(table), mapping, model, quality.WARNING)
+        warn(table, quality.source_checks(raw(table), mapping, model, quality.WARNING))
+
+    def warn(table: str, checks: DataFrame) -> None:
         report = quality.Report.collect(table, batch_id, checks)
         for c in report.checks:
             if not c["passed"]:
@@ -194,7 +247,7 @@ def _run(
 
     reports: list[quality.Report] = []
     made: dict[str, DataFrame] = {}
-    read: dict[str, int] = {}
+    read: dict[str, Landed] = {}
 
     def known(table: str) -> DataFrame:
         df = made.get(table)
@@ -206,6 +259,8 @@ def _run(
     def keep(name: str, source_table: str, built: DataFrame) -> None:
         made[name] = stage(built, name)
         read[name] = landed[source_table]
+        checks = quality.schema_checks(made[name], schemas.target_schema(name))
+        quality.Report.collect(name, batch_id, checks).raise_for_failures()
 
     def plain(name: str) -> None:
         spec = BY_NAME[name]
@@ -213,6 +268,8 @@ def _run(
             parent = known(spec.parent) if spec.parent else None
             stored = house.table(name)
             inspect(spec.source, spec.mapping, name)
+            if spec.parent == "dim_region":  # a code held by two countries leaves a city's region open
+                warn(spec.parent, quality.unique_check(parent, [spec.parent_code], quality.WARNING))
             keep(name, spec.source, build_dimension(spec, raw(spec.source), batch_ts, parent, stored))
 
     yesterday = batch_date - dt.timedelta(days=1)
@@ -235,6 +292,8 @@ def _run(
         if "DIM_CUSTOMER" in wanted:
             inspect("DIM_CUSTOMER", schemas.CUSTOMER_MAP, "dim_customer")
             staged = stage_customers(raw("DIM_CUSTOMER"), known("dim_city"))
+            if normalize_nulls:
+                staged = null_normalize(staged, ["customer_name", "customer_type", "segment", "kyc_status"])
             history("dim_customer", staged, "customer_bk", CUSTOMER_TRACKED, "customer_sk")
 
     def products() -> None:
@@ -243,20 +302,22 @@ def _run(
         if "DIM_PRODUCT" in wanted:
             inspect("DIM_PRODUCT", schemas.PRODUCT_MAP, "dim_product")
             staged = stage_products(raw("DIM_PRODUCT"), known("dim_product_family"))
+            if normalize_nulls:
+                staged = null_normalize(staged, ["product_name", "isin_code", "currency_code"])
             history("dim_product", staged, "product_bk", PRODUCT_TRACKED, "product_sk")
 
     at_once(geography_and_customers, products)
 
-    calendar = house.table("dim_time")
-    if calendar is None:
-        calendar = dim_time(spark)
-        made["dim_time"] = calendar
-
     report = None
     flagged = None
+    calendar = house.table("dim_time")
+    window = None if full else batch_window(batch_date, look_back)
     if "FACT_TXN" in wanted:
-        lo, hi = batch_window(batch_date)
-        first, last = (FIRST_DAY, LAST_DAY) if full else (lo, hi)
+        inspect("FACT_TXN", schemas.TRANSACTION_MAP, "fact_transactions")
+        first, last = (window[0], window[1] - dt.timedelta(days=1)) if window else (None, None)
+        if mode == "asof" and full:
+            day = parse_date(F.col("TXN_DT").cast("string"))
+            first, last = raw("FACT_TXN").agg(F.min(day), F.max(day)).first()
 
         def versions(name: str) -> DataFrame:
             """Versions for the fact: this batch's, and stored history where days matter."""
@@ -273,81 +334,102 @@ def _run(
             batch_id, batch_ts, mode, open_first, first, last,
         )
         reason = "NO_VERSION" if mode == "asof" else "UNRESOLVED_FK"
-        flagged = stage(flag_rejects(fact, reject_rules, reason), "fact")
+        beyond = ~F.col("txn_date").between(*CALENDAR_LIMITS)
+        flagged = stage(flag_rejects(fact, [("NO_CALENDAR_DAY", beyond), *reject_rules], reason), "fact")
+        calendar = made["dim_time"] = covering_calendar(spark, calendar, valid_rows(flagged))
         suite = quality.fact_suite(
             flagged,
             is_valid(),
             versions("dim_customer"),
             versions("dim_product"),
             calendar,
-            stage(source_totals(raw("FACT_TXN")), "source-totals"),
+            stage(source_totals(window_of(source["FACT_TXN"], "FACT_TXN", batch_date, full, look_back)), "source-totals"),
             quality.MAX_UNRESOLVED if max_unresolved is None else max_unresolved,
+            # Rows without a readable date are read again every night: they say nothing of this one.
+            F.col("txn_date").isNotNull() if window else None,
         )
         report = quality.Report.collect("fact_transactions", batch_id, suite)
         log.info(report.summary())
         report.raise_for_failures()
 
+    if calendar is None:
+        made["dim_time"] = dim_time(spark)
+
     loads: list[LoadResult] = []
+    seconds: dict[str, float] = {}
+    outdated = 0
     if not dry_run:
 
-        def load(name: str) -> LoadResult:
-            index = LOOKUP_COLUMNS.get(name, [])
-            write = load_history if name in ("dim_product", "dim_customer") else load_dimension
-            return write(made[name], house.path(name), name, batch_id, batch_ts, index=index)
+        def write(name: str) -> LoadResult:
+            began, index = time.monotonic(), LOOKUP_COLUMNS.get(name, [])
+            load = load_history if name in HISTORIES else load_dimension
+            done = load(made[name], f"{staging}/{name}", name, batch_id, batch_ts, index=index)
+            seconds[name] = time.monotonic() - began
+            return done
 
-        loads += at_once(*[partial(load, name) for name in made])
+        loads += at_once(*[partial(write, name) for name in made])
+        staged = None
         if flagged is not None:
-            result = load_fact(
-                valid_rows(flagged),
-                rejected_rows(flagged),
-                house.path("fact_transactions"),
-                house.path("quarantine_fact_transactions"),
-                batch_id,
-                batch_date,
-                None if full else yesterday,
-            )
-            loads.append(result)
+            began = time.monotonic()
+            staged = stage_fact(
+                flagged, house.path("fact_transactions"), house.path("quarantine_fact_transactions"),
+                staging, run, batch_date, window,
+            )
+            verify_staged(spark, staged, run, batch_id).raise_for_failures()
+            outdated, seconds["fact_transactions"] = staged.outdated, time.monotonic() - began
+            loads.append(LoadResult("fact_transactions", staged.loaded, staged.refused, batch_id))
             read["fact_transactions"] = landed["FACT_TXN"]
-            verify_written(house, flagged, batch_id, batch_date, full).raise_for_failures()
 
-    rows = [
-        (batch_id, r.table, read.get(r.table, r.rows_loaded), r.rows_loaded, r.rows_rejected)
-        for r in sorted(loads, key=lambda r: r.table)
-    ]
+        # All is written and checked; from here on folders are only renamed.
+        for name in made:
+            put_in_place(spark, f"{staging}/{name}", house.path(name), by_folder=name in HISTORIES)
+        if staged is not None:
+            publish_fact(spark, staged, house.path("fact_transactions"), house.path("quarantine_fact_transactions"))
+
+    rows = []
+    for r in sorted(loads, key=lambda r: r.table):
+        got = read.get(r.table, Landed(r.rows_loaded, "", 0.0))
+        rows.append((
+            run, batch_id, r.table, got.rows, r.rows_loaded, r.rows_rejected,
+            outdated if r.table == "fact_transactions" else 0, got.extract_id, got.seconds + seconds[r.table],
+        ))
     audit = spark.createDataFrame(rows, schemas.target_schema("batch_audit"))
     if rows:
-        audit.withColumn("batch_date", F.lit(batch_date)).coalesce(1).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_date").parquet(
-            house.path("batch_audit")
-        )
+        audit.withColumn("batch_date", F.lit(batch_date)).coalesce(1).write.mode("append").partitionBy(
+            "batch_date").parquet(house.path("batch_audit"))
+    delete_path(spark, staging)
     return BatchResult(batch_id, loads, report, audit, reports)
 
 
-def verify_written(
-    house: Warehouse, flagged: DataFrame, batch_id: str, batch_date: dt.date, full: bool
-) -> quality.Report:
-    """Compare the batch with what the fact table and the quarantine now hold of it.
+def covering_calendar(spark: SparkSession, stored: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """The calendar with whole years for all days of ``rows``; the usual range where those lie in it."""
+    ends = rows.agg(F.min("txn_date"), F.max("txn_date")).first()
+    if stored is not None:
+        first, last = stored.agg(F.min("full_date"), F.max("full_date")).first()
+    else:
+        first, last = FIRST_DAY, LAST_DAY
+    first = min(first, dt.date(ends[0].year, 1, 1)) if ends[0] else first
+    last = max(last, dt.date(ends[1].year, 12, 31)) if ends[1] else last
+    return stage(dim_time(spark, first, last), "dim_time")
+
+
+def verify_staged(spark: SparkSession, staged: StagedFact, run: int, batch_id: str) -> quality.Report:
+    """Compare the batch with what is written of it, before it is published.
 
-    A nightly batch reads back the folder of its one day, not the list of all.
+    Also that no load key stands twice in the folders written: those of other
+    folders were made in earlier runs.
     """
-    schema = schemas.target_schema("fact_transactions")
-    root = house.path("fact_transactions")
-    day = batch_window(batch_date)[0]
-    path = root if full else f"{root}/time_sk={day:%Y%m%d}"
-    held = [valid_rows(flagged).select("net_amount").limit(0)]
-    if path_exists(house.spark, path):
-        fact = house.spark.read.option("basePath", root).schema(schema).parquet(path)
-        held.append(fact.filter(F.col("batch_id") == batch_id).select("net_amount"))
-    path = house.path("quarantine_fact_transactions") + f"/batch_date={batch_date}"
-    if path_exists(house.spark, path):
-        records = house.spark.read.schema(
-            schemas.target_schema("quarantine_fact_transactions")
-        ).parquet(path)
-        amount = F.get_json_object("raw_data", "$.net_amount").try_cast("decimal(18,4)")
-        held.append(
-            records.filter(F.col("batch_id") == batch_id).select(amount.alias("net_amount"))
-        )
-    written = reduce(DataFrame.unionByName, held)
-    checks = quality.reconcile(flagged, written, "fact_transactions", "net_amount", "net_amount")
+    fact = spark.read.schema(schemas.target_schema("fact_transactions")).parquet(staged.fact)
+    own = fact.filter(run_of(F.col("transaction_sk")) == run).select("net_amount")
+    records = spark.read.schema(schemas.target_schema("quarantine_fact_transactions")).parquet(staged.quarantine)
+    amount = F.get_json_object("raw_data", "$.net_amount").try_cast("decimal(18,4)")
+    written = quality.totals(own.unionByName(records.select(amount.alias("net_amount"))), "net_amount")
+    kept = (0, Decimal(0))
+    if staged.kept is not None:  # records of other batches in the same folders
+        kept = quality.totals(staged.kept.select(amount.alias("net_amount")), "net_amount").first()
+    expected = spark.createDataFrame(
+        [(staged.loaded + staged.refused + kept[0], staged.amount + kept[1])], "row_count long, amount_total decimal(38,4)"
+    )
+    checks = quality.reconcile_totals(expected, written, "fact_transactions", "net_amount")
+    checks = checks.unionByName(quality.unique_check(fact, ["transaction_sk"]))
     return quality.Report.collect("fact_transactions", batch_id, checks)

@@ -26,10 +26,12 @@ def _settled(tables: Tables) -> DataFrame:
     return tables["fact_transactions"].filter(F.col("transaction_status") == "SETTLED")
 
 
-def _add(rows: DataFrame, tables: Tables, table: str, key: str, *columns: str) -> DataFrame:
-    """Join columns of a dimension by its key; history counts with its current rows only."""
+def _add(
+    rows: DataFrame, tables: Tables, table: str, key: str, *columns: str, current_only: bool = False
+) -> DataFrame:
+    """Join columns of a dimension by its key, of a history with all versions or the ``current_only``."""
     dim = tables[table]
-    if "is_current" in dim.columns:
+    if current_only and "is_current" in dim.columns:
         dim = current_rows(dim)
     return rows.join(dim.select(key, *columns), key)
 
@@ -46,18 +48,23 @@ def _average(total: str, count: str) -> Column:
     return exact.cast("decimal(22,8)")
 
 
-def _revenue(tables: Tables, amount: str, counted: str, more: Sequence[str]) -> DataFrame:
+def _revenue(
+    tables: Tables, amount: str, counted: str, more: Sequence[str], current_only: bool
+) -> DataFrame:
     """Settled sums with all names the revenue marts group by.
 
-    Three joins by row find month, city and product family; their combinations
-    are few, so the sums over them are small before the other names are added.
+    The city stands on the fact. Two joins by row find month and product family;
+    the combinations are few, so the sums over them are small before the other
+    names are added. With ``current_only`` a third join keeps the rows of
+    customer versions that are current.
     """
     rows = _settled(tables).select(
-        "time_sk", "customer_sk", "product_sk", "transaction_type", amount, counted, *more
+        "time_sk", "customer_sk", "product_sk", "city_sk", "transaction_type", amount, counted, *more
     )
     rows = _add(rows, tables, "dim_time", "time_sk", "year", "month_number", "month_name")
-    rows = _add(rows, tables, "dim_customer", "customer_sk", "city_sk")
-    rows = _add(rows, tables, "dim_product", "product_sk", "product_family_sk")
+    if current_only:
+        rows = _add(rows.drop("city_sk"), tables, "dim_customer", "customer_sk", "city_sk", current_only=True)
+    rows = _add(rows, tables, "dim_product", "product_sk", "product_family_sk", current_only=current_only)
     sums = rows.groupBy(
         "year", "month_number", "month_name", "city_sk", "product_family_sk", "transaction_type"
     ).agg(
@@ -72,10 +79,13 @@ def _revenue(tables: Tables, amount: str, counted: str, more: Sequence[str]) ->
     return _add(sums, tables, "dim_product_line", "product_line_sk", "product_line_name")
 
 
-def monthly_revenue(tables: Tables) -> DataFrame:
-    """Settled net revenue by month, continent, country, product line, family and type."""
+def monthly_revenue(tables: Tables, current_only: bool = False) -> DataFrame:
+    """Settled net revenue by month, continent, country, product line, family and type.
+
+    ``current_only`` leaves out what was booked under versions closed since.
+    """
     return (
-        _revenue(tables, "net_amount", "transaction_type", ["fee_amount", "quantity"])
+        _revenue(tables, "net_amount", "transaction_type", ["fee_amount", "quantity"], current_only)
         .groupBy(
             "year",
             "month_number",
@@ -96,10 +106,10 @@ def monthly_revenue(tables: Tables) -> DataFrame:
     )
 
 
-def monthly_revenue_eur(tables: Tables) -> DataFrame:
-    """Settled revenue in euro by month, country, continent and product line."""
+def monthly_revenue_eur(tables: Tables, current_only: bool = False) -> DataFrame:
+    """Settled revenue in euro by month, country, continent and product line; see :func:`monthly_revenue`."""
     return (
-        _revenue(tables, "amount_eur", "transaction_sk", ["fee_amount"])
+        _revenue(tables, "amount_eur", "transaction_sk", ["fee_amount"], current_only)
         .groupBy(
             "year",
             "month_number",
@@ -117,8 +127,8 @@ def monthly_revenue_eur(tables: Tables) -> DataFrame:
     )
 
 
-def _client_volumes(tables: Tables) -> DataFrame:
-    """Settled sums per client; the fact is summed by customer before any join."""
+def _client_volumes(tables: Tables, current_only: bool) -> DataFrame:
+    """Settled sums per client under its current name; the fact is summed by customer before any join."""
     client = ["customer_bk", "customer_name", "customer_type", "segment"]
     sums = (
         _settled(tables)
@@ -130,7 +140,13 @@ def _client_volumes(tables: Tables) -> DataFrame:
             F.sum("fee_amount").alias("fee_amount"),
         )
     )
-    sums = _add_country(_add(sums, tables, "dim_customer", "customer_sk", "city_sk", *client), tables)
+    if current_only:
+        sums = _add(sums, tables, "dim_customer", "customer_sk", "city_sk", *client, current_only=True)
+    else:
+        sums = _add(sums, tables, "dim_customer", "customer_sk", "customer_bk").drop("customer_sk")
+        sums = sums.groupBy("customer_bk").agg(*[F.sum(c).alias(c) for c in ("_rows", "_amounts", "net_amount", "fee_amount")])
+        sums = _add(sums, tables, "dim_customer", "customer_bk", "city_sk", *client[1:], current_only=True)
+    sums = _add_country(sums, tables)
     return sums.groupBy(*client, "country_name").agg(
         F.sum("_rows").alias("nb_transactions"),
         F.sum("net_amount").alias("total_volume_eur"),
@@ -139,9 +155,9 @@ def _client_volumes(tables: Tables) -> DataFrame:
     )
 
 
-def top_clients(tables: Tables, top: int | None = None) -> DataFrame:
+def top_clients(tables: Tables, top: int | None = None, current_only: bool = False) -> DataFrame:
     """Settled volume per client and its rank; ``top`` keeps ranks up to it."""
-    volumes = stage(_client_volumes(tables), "client-volumes")
+    volumes = stage(_client_volumes(tables, current_only), "client-volumes")
     return global_rank(volumes, "total_volume_eur", "volume_rank", top)
 
 

@@ -67,8 +67,8 @@ TARGET_DDL = {
     " amount_eur decimal(18,4), source_system string, batch_id string, loaded_at timestamp_ntz",
     "quarantine_fact_transactions": "transaction_bk string, quarantine_reason string,"
     " raw_data string, batch_id string, quarantined_at timestamp_ntz",
-    "batch_audit": "batch_id string, table_name string, rows_read long, rows_loaded long,"
-    " rows_rejected long",
+    "batch_audit": "run long, batch_id string, table_name string, rows_read long, rows_loaded long,"
+    " rows_rejected long, rows_outdated long, extract_id string, seconds double",
 }
 
 # Longest text the declared columns take.

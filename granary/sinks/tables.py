@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.clean import align, stamp
-from granary.operators.facts import quarantine_records
+from granary.operators.facts import quarantine_records, rejected_rows, valid_rows
 from granary.operators.keys import load_key, same_key
-from granary.session import delete_path, path_exists, stage
+from granary.session import delete_path, path_exists, put_in_place, scratch_path, stage
 
 
 @dataclass(frozen=True)
@@ -180,59 +181,161 @@ def write_clustered(
     return counted_write(ranged.sortWithinPartitions(*columns), write)
 
 
+@dataclass(frozen=True)
+class StagedFact:
+    """What a batch is about to change in the fact and the quarantine."""
+
+    loaded: int
+    refused: int
+    outdated: int
+    amount: Decimal
+    kept: DataFrame | None  # records of earlier batches written again
+    fact: str
+    quarantine: str
+    emptied_days: list[str]
+    emptied_records: list[str]
+    whole: bool
+
+
+def _stored(spark: SparkSession, path: str, table: str, partition: str) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
+    schema = schemas.target_schema(table)
+    if partition not in schema.names:
+        schema = schema.add(partition, "date")
+    return spark.read.schema(schema).parquet(path)
+
+
+def _folders(df: DataFrame, column: str) -> set[str]:
+    """Partition folders of the values of ``column``, at most one name a folder."""
+    return {f"{column}={v}" for v in _values(df, column)}
+
+
+def stage_fact(
+    flagged: DataFrame,
+    path: str,
+    quarantine_path: str,
+    staging: str,
+    run: int,
+    batch_date: dt.date,
+    window: tuple[dt.date, dt.date] | None = None,
+) -> StagedFact:
+    """Work out and write under ``staging`` what the fact and the quarantine will hold.
+
+    ``flagged`` has the newest version of each transaction the batch read, with
+    the reasons to refuse it. Without ``window`` it is the whole source and
+    replaces both tables. Otherwise
+
+    * stored rows of the window's days were read again, and so were all rows
+      without a readable date: the batch replaces those;
+    * of a transaction stored under another day the newer version stays, in the
+      table or in the quarantine, and the older one goes;
+    * everything else is left alone.
+
+    So any sequence of batches holds what one full load would. Only folders of
+    days with a change are rewritten; their names come to the driver.
+    """
+    spark = flagged.sparkSession
+    fact = _stored(spark, path, "fact_transactions", "time_sk") if window else None
+    held = _stored(spark, quarantine_path, "quarantine_fact_transactions", "batch_date") if window else None
+    lo, hi = (int(f"{d:%Y%m%d}") for d in window) if window else (0, 0)
+    winners, places = flagged, []
+    if fact is not None:
+        outside = fact.filter((F.col("time_sk") < lo) | (F.col("time_sk") >= hi))
+        places.append(outside.select("transaction_bk", F.col("time_sk").alias("held"), F.lit(True).alias("loaded")))
+    if held is not None:
+        held = held.withColumn("_day", F.get_json_object("raw_data", "$.time_sk").try_cast("int"))
+        again = F.col("_day").isNull() | ((F.col("_day") >= lo) & (F.col("_day") < hi))
+        places.append(held.filter(~again).select("transaction_bk", F.col("_day").alias("held"), F.lit(False).alias("loaded")))
+    replaced = None
+    if places:
+        keys = flagged.select("transaction_bk", "time_sk").filter("transaction_bk is not null")
+        both = stage(reduce(DataFrame.unionAll, places).join(keys, "transaction_bk"), "stored-versions")
+        newer = F.col("held") > F.coalesce("time_sk", F.lit(-1))
+        winners = flagged.join(both.filter(newer).select("transaction_bk").distinct(), "transaction_bk", "left_anti")
+        replaced = both.filter(~newer)
+        winners = stage(winners, "winners")
+
+    new = align(valid_rows(winners).withColumn("transaction_sk", load_key(run)), schemas.target_schema("fact_transactions"))
+    emptied_days: set[str] = set()
+    if fact is not None:
+        days = replaced.filter("loaded").select(F.col("held").alias("time_sk")).distinct()
+        emptied_days = _folders(days, "time_sk") | _folders(
+            fact.filter((F.col("time_sk") >= lo) & (F.col("time_sk") < hi)).select("time_sk"), "time_sk"
+        )
+        touched = [int(f.split("=")[1]) for f in emptied_days]
+        stored = outside.filter(F.col("time_sk").isin(touched))
+        gone = replaced.filter("loaded").select("transaction_bk")
+        new = new.unionByName(align(stored.join(gone, "transaction_bk", "left_anti"), schemas.target_schema("fact_transactions")))
+    write_clustered(
+        new, f"{staging}/fact", ["time_sk", "customer_sk"], tie="transaction_bk",
+        partition="time_sk", whole=True, index=["transaction_bk"],
+    )
+
+    records = align(quarantine_records(rejected_rows(winners)), schemas.target_schema("quarantine_fact_transactions"))
+    records = records.withColumn("batch_date", F.lit(batch_date))
+    emptied_records: set[str] = set()
+    rest = None
+    if held is not None:
+        stale = replaced.filter("not loaded").select("transaction_bk").distinct().withColumn("_stale", F.lit(True))
+        marked = held.join(stale, "transaction_bk", "left").withColumn("_gone", again | F.coalesce("_stale", F.lit(False)))
+        marked = stage(marked.drop("_stale"), "records")
+        emptied_records = _folders(marked.filter("_gone").select("batch_date"), "batch_date")
+        touched = {f.split("=")[1] for f in emptied_records} | {str(batch_date)}
+        rest = marked.filter(F.col("batch_date").cast("string").isin(sorted(touched)) & ~F.col("_gone")).select(*records.columns)
+        records = records.unionByName(rest)
+    records.write.mode("overwrite").partitionBy("batch_date").parquet(f"{staging}/quarantine")
+
+    good = F.size("reasons") == 0
+    sums = winners.agg(
+        F.count_if(good).alias("loaded"), F.count_if(~good).alias("refused"),
+        F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(38,4)").alias("amount"),
+    ).first()
+    all_rows = flagged.count() if winners is not flagged else sums["loaded"] + sums["refused"]
+    return StagedFact(
+        sums["loaded"], sums["refused"], all_rows - sums["loaded"] - sums["refused"], sums["amount"], rest,
+        f"{staging}/fact", f"{staging}/quarantine", sorted(emptied_days), sorted(emptied_records), window is None,
+    )
+
+
+def publish_fact(spark: SparkSession, staged: StagedFact, path: str, quarantine_path: str) -> None:
+    """Put staged folders in place of the stored ones; a table or folder that got no rows goes."""
+    for source, target, emptied in (
+        (staged.fact, path, staged.emptied_days),
+        (staged.quarantine, quarantine_path, staged.emptied_records),
+    ):
+        kept = [f for f in emptied if not path_exists(spark, f"{source}/{f}")]
+        put_in_place(spark, source, target, by_folder=not staged.whole, emptied=kept)
+
+
 def load_fact(
-    valid: DataFrame,
-    rejected: DataFrame,
+    flagged: DataFrame,
     path: str,
     quarantine_path: str,
+    run: int,
     batch_id: str,
     batch_date: dt.date,
-    day: dt.date | None = None,
+    window: tuple[dt.date, dt.date] | None = None,
 ) -> LoadResult:
-    """Write good rows to the fact and the others to the quarantine.
-
-    The fact is kept in folders by day, ordered by customer inside. A nightly
-    batch, of one ``day``, replaces that folder, a full one the table; the
-    quarantine is replaced for the batch day. Loading a batch again therefore
-    leaves each row in place once, also where it finds no rows any more.
-    """
-    spark = valid.sparkSession
-    schema = schemas.target_schema("fact_transactions")
-    keyed = valid.withColumn("transaction_sk", load_key(batch_date))
-    loaded = write_clustered(
-        align(keyed, schema),
-        path,
-        ["time_sk", "customer_sk"],
-        tie="transaction_bk",
-        partition="time_sk",
-        whole=day is None,
-        index=["transaction_bk"],
-    )
-    if day is not None and loaded == 0:
-        delete_path(spark, f"{path}/time_sk={day:%Y%m%d}")
-    records = align(quarantine_records(rejected), schemas.target_schema("quarantine_fact_transactions"))
-    refused = counted_write(
-        records.withColumn("batch_date", F.lit(batch_date)),
-        lambda d: d.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_date")
-        .parquet(quarantine_path),
-    )
-    if refused == 0:
-        delete_path(spark, f"{quarantine_path}/batch_date={batch_date}")
-    return LoadResult("fact_transactions", loaded, refused, batch_id)
+    """Stage and publish a batch's facts, see :func:`stage_fact`."""
+    spark = flagged.sparkSession
+    staged = stage_fact(flagged, path, quarantine_path, scratch_path(spark, "load-fact"), run, batch_date, window)
+    publish_fact(spark, staged, path, quarantine_path)
+    return LoadResult("fact_transactions", staged.loaded, staged.refused, batch_id)
 
 
 def publish_swap(spark: SparkSession, staging: str, production: str) -> None:
     """Exchange two catalog tables by renaming.
 
     Between the renames ``production`` is missing for a moment: the session
-    catalog has no atomic exchange.
+    catalog has no atomic exchange. A call that was stopped is finished by
+    calling again: what was renamed already isn't renamed twice.
     """
     aside = f"{production}_swap"
-    if spark.catalog.tableExists(production):
+    if spark.catalog.tableExists(production) and not spark.catalog.tableExists(aside):
         spark.sql(f"ALTER TABLE {production} RENAME TO {aside}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {production}")
+    if not spark.catalog.tableExists(production):
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {production}")
     if spark.catalog.tableExists(aside):
         spark.sql(f"ALTER TABLE {aside} RENAME TO {staging}")
 

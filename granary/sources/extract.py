@@ -18,30 +18,36 @@ FACT_PARTITIONS = 40
 BUCKET_COLUMN = "ROWID_HASH"
 
 
-def batch_window(batch_date: dt.date) -> tuple[dt.date, dt.date]:
-    """The day before ``batch_date``, as a half-open window."""
-    return batch_date - dt.timedelta(days=1), batch_date
+def batch_window(batch_date: dt.date, look_back: int = 0) -> tuple[dt.date, dt.date]:
+    """The day before ``batch_date`` and ``look_back`` days before that, as a half-open window."""
+    return batch_date - dt.timedelta(days=1 + look_back), batch_date
 
 
-def in_window(df: DataFrame, column: str, batch_date: dt.date) -> DataFrame:
+def in_window(df: DataFrame, column: str, batch_date: dt.date, look_back: int = 0, undated: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``column`` lies in the window of the batch.
 
     The column is a date, a timestamp, or a date held as text. Plain comparisons
     are pushed down to the source; for text they keep a superset in either
     spelling, which the parsed date then cuts to the exact rows.
+
+    ``undated`` keeps rows without a readable date, too. They lie in no window,
+    so each batch has to see them; for text no comparison finds them, and the
+    whole table is read.
     """
-    lo, hi = batch_window(batch_date)
+    lo, hi = batch_window(batch_date, look_back)
     c = F.col(column)
     if not isinstance(df.schema[column].dataType, T.StringType):
-        return df.filter((c >= F.lit(lo)) & (c < F.lit(hi)))
+        within = (c >= F.lit(lo)) & (c < F.lit(hi))
+        return df.filter(within | c.isNull()) if undated else df.filter(within)
 
     def spelled(pattern: str) -> Column:
         return (c >= lo.strftime(pattern)) & (c < hi.strftime(pattern))
 
     day = parse_date(c)
-    return df.filter(spelled("%Y%m%d") | spelled("%Y-%m-%d")).filter(
-        (day >= F.lit(lo)) & (day < F.lit(hi))
-    )
+    within = (day >= F.lit(lo)) & (day < F.lit(hi))
+    if undated:
+        return df.filter(within | day.isNull())
+    return df.filter(spelled("%Y%m%d") | spelled("%Y-%m-%d")).filter(within)
 
 
 def partition_bounds(df: DataFrame, column: str, default: tuple[int, int]) -> DataFrame:

@@ -12,12 +12,14 @@ sys.path.insert(0, str(ROOT))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(warehouse))
+        .config("spark.checkpoint.dir", str(shared))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")

@@ -168,7 +168,7 @@ def test_source_types_may_differ(spark, folder):
     ]
     assert '"bad_raw":["NET_AMT=n/a"]' in held.first().raw_data
     failed = [(r.table, c["name"]) for r in result.source_reports for c in r.checks if not c["passed"]]
-    assert failed == [("DIM_PRODUCT", "type:MATURITY_DT")]
+    assert failed == [("DIM_PRODUCT", "type:MATURITY_DT"), ("FACT_TXN", "type:NET_AMT")]
 
 
 def test_missing_source_column_stops_the_batch(spark, folder):
@@ -217,3 +217,77 @@ def test_views(spark, folder):
     assert [tuple(r) for r in total.collect()] == [("France", D("100")), ("Japan", D("200"))]
     assert spark.sql("SELECT total_rows, nb_batches FROM V_PIPELINE_QUALITY_KPI").first() == (4, 1)
     assert spark.table("V_TOP_CLIENTS").count() == 2 and spark.table("V_CHANNEL_ANALYSIS").count() == 3
+
+
+LATER, LATER_TS = dt.date(2024, 1, 4), dt.datetime(2024, 1, 4, 3, 0, 0)
+
+
+def facts_of(spark, root):
+    house = Warehouse(spark, root)
+    fact = house.table("fact_transactions")
+    assert fact.select("transaction_sk").distinct().count() == fact.count()
+    held = house.table("quarantine_fact_transactions")
+    return dicts(fact, "transaction_bk", "time_sk", "net_amount"), dicts(held, "transaction_bk", "quarantine_reason")
+
+
+def test_any_sequence_of_batches_equals_one_full_load(spark, folder):
+    """Bad dates, restated rows, rows refused and then good, one day read twice, and a late posting."""
+    def given(*rows):
+        return small_source(spark) | {"FACT_TXN": source(spark, "FACT_TXN", list(rows))}
+
+    first = [txn("T1"), txn("T2", day="20231231"), txn("T3", cust="NOBODY"), txn("B1", day="02/01/2024"), txn(None, day=None)]
+    second = [*first, txn("T1", day="20240102", NET_AMT=D("90")), txn("T3", day="20240102"), txn("T4", day="20240102", cust="NO"), txn("B2", day=" 20240102x")]
+    last = [*second, txn("T4", day="20240103"), txn("T2", day="20240103", cust="NO"), txn("T6", day="20231231")]
+    options = {"max_unresolved": 0.9}
+    steps = f"{folder}/steps"
+    run_batch(spark, given(*first), steps, DAY, TS, full=True, **options)
+    run_batch(spark, given(*first), steps, DAY, TS, **options)  # the same day again, as a nightly run
+    assert facts_of(spark, steps)[1] == [
+        ("B1", "MISSING:time_sk,BAD_VALUE:txn_date"), ("T3", "UNRESOLVED_FK"), (None, "MISSING:transaction_bk,MISSING:time_sk")
+    ]
+    run_batch(spark, given(*second), steps, NEXT, NEXT_TS, **options)
+    run_batch(spark, given(*last), steps, LATER, LATER_TS, look_back=3, **options)
+    run_batch(spark, given(*last), steps, NEXT, NEXT_TS, **options)  # an older day once more
+    run_batch(spark, given(*last), f"{folder}/whole", LATER, LATER_TS, full=True, **options)
+    assert facts_of(spark, steps) == facts_of(spark, f"{folder}/whole")
+    fact, held = facts_of(spark, steps)
+    assert fact == [
+        ("T1", 20240102, D("90.0000")), ("T3", 20240102, D("100.0000")), ("T4", 20240103, D("100.0000")), ("T6", 20231231, D("100.0000"))
+    ]
+    assert [k for k, _ in held] == ["B1", "B2", "T2", None]
+    runs = Warehouse(spark, steps).table("batch_audit").filter("table_name = 'fact_transactions'")
+    assert dicts(runs, "run") == [(k,) for k in range(1, 6)]
+    run_batch(spark, given(*last), steps, LATER, LATER_TS, full=True, **options)
+    assert facts_of(spark, steps) == (fact, held)  # a reload leaves no record of older runs
+
+
+def test_calendar_grows(spark, folder):
+    rows = [txn("A", day="20090305"), txn("B", day="20310101"), txn("C", day="99990101")]
+    given = small_source(spark) | {"FACT_TXN": source(spark, "FACT_TXN", rows)}
+    run_batch(spark, given, folder, DAY, TS, full=True, max_unresolved=0.5, mode="asof", open_first=True)
+    house = Warehouse(spark, folder)
+    ends = house.table("dim_time").agg(F.min("full_date"), F.max("full_date")).first()
+    assert tuple(ends) == (dt.date(2009, 1, 1), dt.date(2031, 12, 31))
+    fact, held = facts_of(spark, folder)
+    assert [k for k, *_ in fact] == ["A", "B"] and [k for k, _ in held] == ["C"] and "NO_CALENDAR_DAY" in held[0][1]
+
+
+def test_nothing_is_published_when_a_write_fails(spark, folder, monkeypatch):
+    from granary.plans import batch
+
+    run_batch(spark, small_source(spark), folder, DAY, TS, full=True)
+    before = contents(spark, folder)
+    for name in ("load_history", "load_dimension", "stage_fact", "verify_staged"):
+        with monkeypatch.context() as patch:
+            def fail(*_, **__):
+                raise OSError("no disk")
+
+            patch.setattr(batch, name, fail)
+            with pytest.raises(OSError, match="no disk"):
+                run_batch(spark, small_source(spark), folder, NEXT, NEXT_TS, full=True)
+        assert contents(spark, folder) == before
+
+
+def test_sentinels_on_request(spark, folder):
+    run_batch(spark, small_source(spark), folder, DAY, TS, full=True, normalize_nulls=True)
+    assert Warehouse(spark, folder).table("dim_customer").filter("kyc_status is null").count() == 0

@@ -199,27 +199,53 @@ def fact_rows(spark, *keys, day=20240101, reasons=()):
     )
 
 
-def test_load_fact_again_replaces_its_day(spark, folder):
+def test_load_fact_again_replaces_its_window(spark, folder):
     fact, held = f"{folder}/f", f"{folder}/q"
+    runs = iter(range(1, 10))
 
-    def load(valid, rejected, batch_date, day):
-        return sinks.load_fact(valid, rejected, fact, held, "b", batch_date, day)
+    def load(rows, batch_date, days=1):
+        window = (batch_date - dt.timedelta(days=days), batch_date)
+        return sinks.load_fact(rows, fact, held, next(runs), "b", batch_date, window)
 
-    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    none = fact_rows(spark).filter("false")
+    def stored(*columns):
+        table = sinks.read_table(spark, fact, "fact_transactions")
+        assert table.select("transaction_sk").distinct().count() == table.count()
+        return dicts(table, *columns)
+
+    def refused():
+        return dicts(spark.read.schema(schemas.target_schema("quarantine_fact_transactions")).parquet(held), "transaction_bk")
+
+    d2, d3, d4 = (dt.date(2024, 1, d) for d in (2, 3, 4))
     bad = fact_rows(spark, "Q", reasons=["UNRESOLVED_FK"])
-    first = load(fact_rows(spark, "A", "B"), bad, d2, d1)
-    assert (first.rows_loaded, first.rows_rejected) == (2, 1)
-    load(fact_rows(spark, "C", day=20240102), none, dt.date(2024, 1, 3), d2)
-    load(fact_rows(spark, "A"), bad, d2, d1)
-    stored = sinks.read_table(spark, fact, "fact_transactions")
-    assert dicts(stored, "transaction_bk") == [("A",), ("C",)]
-    assert stored.select("transaction_sk").distinct().count() == 2
-    assert dicts(spark.read.parquet(held), "transaction_bk", "quarantine_reason") == [("Q", "UNRESOLVED_FK")]
-    load(none, none, d2, d1)
-    stored = sinks.read_table(spark, fact, "fact_transactions")
-    assert dicts(stored, "transaction_bk") == [("C",)]
-    assert not os.path.exists(f"{held}/batch_date=2024-01-02")
+    undated = fact_rows(spark, "U", None, day=None, reasons=["BAD_VALUE:txn_date"])
+    first = load(fact_rows(spark, "A", "B").unionByName(bad).unionByName(undated), d2)
+    assert (first.rows_loaded, first.rows_rejected) == (2, 3)
+    load(fact_rows(spark, "C", day=20240102).unionByName(undated), d3)
+    assert stored("transaction_bk") == [("A",), ("B",), ("C",)] and refused() == [("Q",), ("U",), (None,)]
+    load(fact_rows(spark, "A").unionByName(bad), d2)  # B and the undated rows are gone from the source
+    assert stored("transaction_bk") == [("A",), ("C",)] and refused() == [("Q",)]
+    # A newer version of A; Q is good now; an older version of C comes late.
+    load(fact_rows(spark, "A", "Q", day=20240103).unionByName(fact_rows(spark, "C")), d4, days=1)
+    assert stored("transaction_bk", "time_sk") == [("A", 20240103), ("C", 20240102), ("Q", 20240103)]
+    assert refused() == [] and not os.path.exists(f"{fact}/time_sk=20240101")
+    load(fact_rows(spark, "C", day=20240103, reasons=["X"]), d4)  # the newer version is refused
+    assert stored("transaction_bk") == [] and refused() == [("C",)]
+
+
+def test_a_stopped_publication_is_repaired(spark, folder):
+    from granary.session import put_in_place, recover
+
+    spark.range(3).write.parquet(f"{folder}/t")
+    os.rename(f"{folder}/t", f"{folder}/_old-t")
+    recover(spark, f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+    spark.range(4).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(f"{folder}/s")
+    os.rename(f"{folder}/s/p=0", f"{folder}/s/_old-p=0")
+    recover(spark, f"{folder}/s")
+    assert spark.read.parquet(f"{folder}/s").count() == 4
+    spark.range(5).write.parquet(f"{folder}/new")
+    put_in_place(spark, f"{folder}/new", f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 5 and sorted(os.listdir(folder)) == ["s", "t"]
 
 
 def test_publish_swap(spark, folder):

@@ -80,6 +80,21 @@ _CTE = {
     "monthly_batches": """
         select * replace ('batch_'||left(cast(time_sk as varchar),6) as batch_id,
           cast(txn_date as timestamp) + to_seconds(cast(floor(quantity) as int)*97) as loaded_at) from fact""",
+    "restated": """
+        select * replace (case when TXN_TYPE_CD='SELL' and floor(QTY)=3 then '15/06/2014'
+            when TXN_TYPE_CD='SELL' and floor(QTY)=4 then '2014.06.15'
+            when TXN_TYPE_CD='SELL' and floor(QTY)=5 then null else TXN_DT end as TXN_DT) from FACT_TXN
+        union all by name
+        select * replace ('20140615' as TXN_DT, cast(NET_AMT+1 as decimal(18,4)) as NET_AMT) from FACT_TXN
+        where floor(QTY)=7 and TXN_DT between '20140501' and '20140613'""",
+    "restated_days": f"""select *, {_parse.format("TXN_DT")} txn_date from restated""",
+    "restated_until": f"""
+        select * from (select *, row_number() over (partition by TXN_ID order by txn_date desc nulls last,
+            NET_AMT desc, GROSS_AMT desc, PROD_ID, QTY desc, CURRENCY_CD) rn
+          from restated_days where txn_date is null or txn_date <= date '{DAY}') x where rn=1""",
+    "restated_keys": """
+        select r.*, c.customer_bk is null or p.product_bk is null unresolved from restated_until r
+        left join customers c on r.CUST_ID=c.customer_bk left join products p on r.PROD_ID=p.product_bk""",
     "top_clients": f"""
         select customer_bk, customer_name, customer_type, segment, country_name,
           count(*) nb_transactions, cast(sum(net_amount) as decimal(38,4)) total_volume_eur,
@@ -351,6 +366,12 @@ def oracle_sql() -> dict[str, str]:
               valid_from, is_current
             from typed t left join customers_existing e on t.customer_bk=e.customer_bk
               and txn_date between valid_from and coalesce(valid_to, date '2029-12-31')""",
+        "fact_asof_open": """
+            select transaction_bk, t.txn_date, t.customer_bk, customer_name, valid_from
+            from (select * replace (cast(txn_date + to_months(case floor(quantity)%10 when 0 then -72
+                when 1 then 204 else 0 end) as date) as txn_date) from typed) t
+            left join customers_existing e on t.customer_bk=e.customer_bk
+              and t.txn_date >= valid_from and (valid_to is null or t.txn_date <= valid_to)""",
         # fact
         "fact_transform": f"select {_FACT}, resolved_customer, resolved_product, city_id from fact",
         "fact_valid": f"select {_FACT} from valid",
@@ -504,5 +525,57 @@ def oracle_sql() -> dict[str, str]:
         "analyst_channel_q1": "select channel, transaction_status, nb_transactions, total_volume_eur"
         ' from channel where "year"=2014 and "quarter"=1',
         "batch_audit": _audit(),
+        "dim_city_ambiguous": "select 'unique:region_code' as name, 'WARNING' severity,"
+        " count(*) = count(distinct right(REGION_CD, 2)) passed,"
+        " count(*) - count(distinct right(REGION_CD, 2)) failed_rows, count(*) total_rows from LKP_REGION",
+        "bucket_histogram": "select cast(20 as bigint) buckets, cast(0 as int) first_bucket,"
+        " cast(19 as int) last_bucket, count(*) as rows, true as even from FACT_TXN",
+        "merge_into": """
+            select customer_bk, case when customer_type='RETAIL' then upper(customer_name) else customer_name end customer_name,
+              case when customer_type='RETAIL' and customer_bk like '%7' then 'PRIVATE' else customer_type end customer_type
+            from customers""",
+        "incremental_bad_dates": f"""
+            select TXN_ID, TXN_DT, NET_AMT from restated_days
+            where txn_date is null or txn_date = date '{DAY - dt.timedelta(days=1)}'""",
+        "fact_restated": """
+            select TXN_ID transaction_bk, txn_date, NET_AMT net_amount from (
+              select *, row_number() over (partition by TXN_ID order by txn_date desc nulls last,
+                NET_AMT desc, GROSS_AMT desc, PROD_ID, QTY desc, CURRENCY_CD) rn from restated_days) x where rn=1""",
+        "batch_rerun_fact": f"""
+            select TXN_ID transaction_bk, {_time_sk.format("txn_date")} time_sk, NET_AMT net_amount,
+              cast(1 as bigint) rows_of_key from restated_keys where txn_date is not null and not unresolved""",
+        "batch_rerun_quarantine": """
+            select TXN_ID transaction_bk, array_to_string(list_filter([
+                case when unresolved then 'UNRESOLVED_FK' end, case when txn_date is null then 'MISSING:time_sk' end,
+                case when txn_date is null and TXN_DT is not null then 'BAD_VALUE:txn_date' end], lambda x: x is not null), ',')
+              quarantine_reason from restated_keys where txn_date is null or unresolved""",
+        "batch_rerun_audit": " union all ".join(
+            f"select cast({run} as bigint) run, 'batch_{day:%Y%m%d}_020000' batch_id, count(*) rows_read"
+            f" from restated_days where txn_date is null or {reads}"
+            for run, (day, reads) in enumerate(
+                [
+                    (dt.date(2014, 6, 14), "txn_date <= date '2014-06-13'"),
+                    (dt.date(2014, 6, 14), "txn_date = date '2014-06-13'"),
+                    (dt.date(2014, 6, 15), "txn_date = date '2014-06-14'"),
+                    (dt.date(2014, 6, 16), "txn_date = date '2014-06-15'"),
+                    (dt.date(2014, 6, 15), "txn_date = date '2014-06-14'"),
+                ],
+                1,
+            )
+        ),
+        "batch_reconciliation": "select 'reconciliation:' || x as name, true as passed from"
+        " (values ('row_count:fact_transactions'), ('amount:net_amount:fact_transactions')) t(x)",
+        "dq_schema_presence": " union all ".join(
+            f"select '{kind}:{name}' as name, 'CRITICAL' severity, true passed,"
+            " cast(0 as bigint) failed_rows, cast(0 as bigint) total_rows"
+            for name in re.findall(r"(\w+) [a-z]", schemas.TARGET_DDL["fact_transactions"])
+            for kind in ("column_present", "column_type")
+        ),
     }
+    unchanged = "(select * from settled where customer_bk not like '%7') s"
+    for name in ("mart_monthly_revenue", "mart_monthly_revenue_eur"):
+        bodies[f"{name}_current"] = bodies[name].replace("from settled", f"from {unchanged}")
+    bodies["mart_monthly_revenue_history"] = bodies["mart_monthly_revenue"]
+    bodies["mart_top_clients_history"] = bodies["mart_top_clients"]
+    bodies["mart_top_clients_current"] = _CTE["top_clients"].replace("from settled", f"from {unchanged}")
     return {name: _sql(" ".join(body.split())) for name, body in bodies.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary import schemas
@@ -22,7 +22,7 @@ from granary.functions.clean import (
 from granary.operators import dedup, facts, keys, quality, scd2
 from granary.operators.dims import BY_NAME, build_dimension
 from granary.plans import marts
-from granary.plans.batch import run_batch, source_totals
+from granary.plans.batch import Warehouse, run_batch, source_totals
 from granary.session import at_once, scratch_path, stage
 from granary.sinks import tables as sinks
 from granary.sources import extract, landing
@@ -108,7 +108,7 @@ def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All tables of the model, the fact holding its valid rows."""
     tables = _facts(spark, sf_dir, "dim_time")
     valid = facts.valid_rows(facts.flag_rejects(tables["fact_transactions"]))
-    keyed = valid.withColumn("transaction_sk", keys.load_key(BATCH_DATE))
+    keyed = valid.withColumn("transaction_sk", keys.load_key(1))
     stored = align(keyed, schemas.target_schema("fact_transactions"))
     return {**tables, "fact_transactions": stored}
 
@@ -180,9 +180,16 @@ def scan_splits(spark, sf_dir):
 
 @query
 def bucket_histogram(spark, sf_dir):
-    """Rows per hash bucket of the transaction key."""
+    """Rows per hash bucket of the transaction key: the figures that must hold."""
     txn = given.source(spark, sf_dir, "FACT_TXN").select("TXN_ID")
-    return keys.bucket_histogram(txn, ["TXN_ID"], SCAN_BUCKETS)
+    sizes = keys.bucket_histogram(txn, ["TXN_ID"], SCAN_BUCKETS)
+    return sizes.agg(
+        F.count("*").alias("buckets"),
+        F.min("bucket").alias("first_bucket"),
+        F.max("bucket").alias("last_bucket"),
+        F.sum("rows_in_bucket").alias("rows"),
+        (F.max("rows_in_bucket") <= 1.5 * F.avg("rows_in_bucket")).alias("even"),
+    )
 
 
 @query
@@ -477,6 +484,17 @@ def fact_asof(spark, sf_dir):
     )
 
 
+@query
+def fact_asof_open(spark, sf_dir):
+    """As ``fact_asof``, with days long before and after the usual calendar."""
+    quantity = F.col("quantity").cast("int") % 10
+    months = F.when(quantity == 0, -12 * 6).when(quantity == 1, 12 * 17).otherwise(0)
+    moved = _latest(spark, sf_dir).withColumn("txn_date", F.add_months("txn_date", months))
+    return scd2.asof_lookup(
+        stage(moved, "moved"), given.customers_existing(spark, sf_dir), "customer_bk", "txn_date", ["customer_name", "valid_from"]
+    ).select("transaction_bk", "txn_date", "customer_bk", "customer_name", "valid_from")
+
+
 # ---------------------------------------------------------------- fact
 
 
@@ -570,6 +588,20 @@ def merge_upsert(spark, sf_dir):
     return sinks.merge_upsert(target.select(*columns), updates.select(*columns), ["customer_bk"])
 
 
+@query
+def merge_into(spark, sf_dir):
+    """Customers stored by type; a third of them replaced, some under another type."""
+    path = scratch_path(spark, "merged")
+    columns = ["customer_bk", "customer_name", "customer_type"]
+    rows = project(given.source(spark, sf_dir, "DIM_CUSTOMER"), schemas.CUSTOMER_MAP).select(*columns)
+    rows.write.partitionBy("customer_type").parquet(path)
+    moved = F.when(F.col("customer_bk").endswith("7"), "PRIVATE").otherwise(F.col("customer_type"))
+    updates = rows.filter("customer_type = 'RETAIL'").select(
+        "customer_bk", F.upper("customer_name").alias("customer_name"), moved.alias("customer_type"))
+    sinks.merge_into(spark, path, updates, ["customer_bk"], "customer_type")
+    return spark.read.parquet(path).select(*columns)
+
+
 @query
 def publish_swap(spark, sf_dir):
     """Two catalog tables after exchanging them."""
@@ -645,6 +677,14 @@ def dq_unique(spark, sf_dir):
     return _checks(quality.unique_check(_typed(spark, sf_dir), ["transaction_bk"]))
 
 
+@query
+def dim_city_ambiguous(spark, sf_dir):
+    """Region codes that more than one country holds, once the country is cut off them."""
+    regions = _dims(spark, sf_dir, "dim_region")["dim_region"]
+    short = regions.withColumn("region_code", F.right("region_code", F.lit(2)))
+    return _checks(quality.unique_check(short, ["region_code"], quality.WARNING))
+
+
 @query
 def dq_accepted_values(spark, sf_dir):
     rules = [
@@ -743,6 +783,43 @@ def mart_top_clients(spark, sf_dir):
     return _exact(marts.top_clients(_star(spark, sf_dir)))
 
 
+def _changed(spark, sf_dir) -> dict[str, DataFrame]:
+    """The model after a tenth of the customers got a new version: the facts keep the one they were booked under."""
+    tables = _star(spark, sf_dir)
+    customers = tables["dim_customer"]
+    changed = F.col("customer_bk").endswith("7")
+    closed = customers.filter(changed).withColumns({"is_current": F.lit(False), "valid_to": F.lit(BATCH_DATE)})
+    opened = customers.filter(changed).withColumn("customer_sk", F.col("customer_sk") + 10**9)
+    history = customers.filter(~changed).unionByName(closed).unionByName(opened)
+    return {**tables, "dim_customer": stage(history, "dim_customer")}
+
+
+@query
+def mart_monthly_revenue_history(spark, sf_dir):
+    """Revenue stays whole when versions are closed."""
+    return _exact(marts.monthly_revenue(_changed(spark, sf_dir)))
+
+
+@query
+def mart_monthly_revenue_current(spark, sf_dir):
+    return _exact(marts.monthly_revenue(_changed(spark, sf_dir), current_only=True))
+
+
+@query
+def mart_monthly_revenue_eur_current(spark, sf_dir):
+    return _exact(marts.monthly_revenue_eur(_changed(spark, sf_dir), current_only=True))
+
+
+@query
+def mart_top_clients_history(spark, sf_dir):
+    return _exact(marts.top_clients(_changed(spark, sf_dir)))
+
+
+@query
+def mart_top_clients_current(spark, sf_dir):
+    return _exact(marts.top_clients(_changed(spark, sf_dir), current_only=True))
+
+
 @query
 def mart_channel(spark, sf_dir):
     return _exact(marts.channel_analysis(_star(spark, sf_dir)))
@@ -792,6 +869,90 @@ def analyst_channel_q1(spark, sf_dir):
 # ---------------------------------------------------------------- batch
 
 
+_houses: dict[tuple[str, str], tuple[Warehouse, DataFrame]] = {}
+
+
+def _restated(spark, sf_dir) -> DataFrame:
+    """The transactions with trouble: unreadable days, and some sent again with another amount and a later day."""
+    txn = given.source(spark, sf_dir, "FACT_TXN")
+    quantity, day, sold = F.col("QTY").cast("int"), F.col("TXN_DT"), F.col("TXN_TYPE_CD") == "SELL"
+    spoiled = (F.when(sold & (quantity == 3), "15/06/2014").when(sold & (quantity == 4), "2014.06.15")
+               .when(sold & (quantity == 5), None).otherwise(day))
+    later = txn.filter((quantity == 7) & day.between("20140501", "20140613")).withColumns(
+        {"TXN_DT": F.lit("20140615"), "NET_AMT": (F.col("NET_AMT") + 1).cast("decimal(18,4)")})
+    return txn.withColumn("TXN_DT", spoiled).unionByName(later)
+
+
+def _rerun_house(spark, sf_dir) -> tuple[Warehouse, DataFrame]:
+    """A warehouse after a full load, the same night, the next two, and one of them again; and the last run's reconciliation."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _houses:
+        rows = stage(_restated(spark, sf_dir), "restated")
+        root = scratch_path(spark, "rerun")
+        others = {t: stage(df, t.lower()) for t, df in given.sources(spark, sf_dir).items() if t != "FACT_TXN"}
+        day = F.col("TXN_DT")
+        readable = parse_date(day).isNotNull()
+        for full, until, date in (
+            (True, "20140613", dt.date(2014, 6, 14)), (False, "20140613", dt.date(2014, 6, 14)),
+            (False, "20140614", dt.date(2014, 6, 15)), (False, "20140615", dt.date(2014, 6, 16)), (False, "20140615", dt.date(2014, 6, 15)),
+        ):
+            source = others | {"FACT_TXN": rows.filter(~readable | (day <= until))}
+            source |= {} if full else {t: others[t].limit(0) for t in ("DIM_CUSTOMER", "DIM_PRODUCT")}
+            done = run_batch(spark, source, root, date, dt.datetime.combine(date, dt.time(2)), full=full, max_unresolved=0.5)
+        checks = [c for c in done.report.checks if c["name"].startswith("reconciliation")]
+        kept = spark.createDataFrame([(c["name"], c["passed"]) for c in checks], "name string, passed boolean")
+        _houses[key] = Warehouse(spark, root), kept
+    return _houses[key]
+
+
+@query
+def batch_rerun_fact(spark, sf_dir):
+    """The stored fact after five batches over troubled sources."""
+    fact = _rerun_house(spark, sf_dir)[0].table("fact_transactions")
+    return fact.select("transaction_bk", "time_sk", "net_amount", F.count("*").over(Window.partitionBy("transaction_sk")).alias("rows_of_key"))
+
+
+@query
+def batch_rerun_quarantine(spark, sf_dir):
+    """The stored quarantine after the same batches."""
+    records = _rerun_house(spark, sf_dir)[0].table("quarantine_fact_transactions")
+    return records.select("transaction_bk", "quarantine_reason")
+
+
+@query
+def batch_rerun_audit(spark, sf_dir):
+    """The stored audit of the same batches: one row a run and table."""
+    audit = _rerun_house(spark, sf_dir)[0].table("batch_audit")
+    return audit.filter("table_name = 'fact_transactions'").select("run", "batch_id", "rows_read")
+
+
+@query
+def batch_reconciliation(spark, sf_dir):
+    """The last batch against the source itself, over the window it read."""
+    return _rerun_house(spark, sf_dir)[1]
+
+
+@query
+def incremental_bad_dates(spark, sf_dir):
+    """What a nightly batch reads of the troubled transactions: its day, and all rows without a readable one."""
+    rows = extract.in_window(_restated(spark, sf_dir), "TXN_DT", BATCH_DATE, undated=True)
+    return rows.select("TXN_ID", "TXN_DT", "NET_AMT")
+
+
+@query
+def fact_restated(spark, sf_dir):
+    """The newest version of each of the troubled transactions."""
+    typed = facts.type_transactions(_restated(spark, sf_dir))
+    return facts.latest_transactions(typed).select("transaction_bk", "txn_date", "net_amount")
+
+
+@query
+def dq_schema_presence(spark, sf_dir):
+    """Columns and types of the fact as built against those declared."""
+    fact = _star(spark, sf_dir)["fact_transactions"]
+    return _checks(quality.schema_checks(fact, schemas.target_schema("fact_transactions")))
+
+
 @query
 def batch_audit(spark, sf_dir):
     """A first full batch into an empty warehouse: rows read, loaded and held back per table."""
@@ -804,4 +965,4 @@ def batch_audit(spark, sf_dir):
         full=True,
         max_unresolved=0.02,
     )
-    return done.audit
+    return done.audit.select("batch_id", "table_name", "rows_read", "rows_loaded", "rows_rejected")
