@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.session import stage
+
 
 
 def hash_bucket(columns: Sequence[str], buckets: int) -> Column:
@@ -23,15 +25,17 @@ def bucket_histogram(df: DataFrame, columns: Sequence[str], buckets: int) -> Dat
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], sk: str, start: Column | int = 0, buckets: int = 1024
+    df: DataFrame, keys: Sequence[str], sk: str, start: Column | int = 0, buckets: int = 1024, staged: bool = False
 ) -> DataFrame:
     """Add ``sk`` = start + 1, start + 2, ... without a global sort.
 
     ``keys`` are unique, so hashing spreads the rows evenly. They are numbered
     inside each bucket, and each bucket starts where the ones before it end.
-    Only the bucket sizes, ``buckets`` rows, meet in one place.
+    Only the bucket sizes, ``buckets`` rows, meet in one place. Sizes and rows
+    are read one after the other, so ``df`` is written first, unless it is
+    ``staged``: a source that changes in between can't make keys repeat.
     """
-    bucketed = df.withColumn("_bucket", hash_bucket(keys, buckets))
+    bucketed = (df if staged else stage(df, "to-number")).withColumn("_bucket", hash_bucket(keys, buckets))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")
@@ -71,11 +75,11 @@ def assign_surrogate_keys(
         )
     pairs = [(k, f"_known_{k}") for k in keys]
     known = existing.select(*[F.col(k).alias(a) for k, a in pairs], sk, *carry)
-    matched = df.join(known, same_key(df, known, pairs), "left").drop(*[a for _, a in pairs])
+    matched = stage(df.join(known, same_key(df, known, pairs), "left").drop(*[a for _, a in pairs]), "matched")
     highest = F.coalesce(existing.agg(F.max(sk)).scalar(), F.lit(0))
     fresh = matched.filter(F.col(sk).isNull()).drop(sk)
     return matched.filter(F.col(sk).isNotNull()).unionByName(
-        number_rows(fresh, keys, sk, highest, buckets)
+        number_rows(fresh, keys, sk, highest, buckets, staged=True)
     )
 
 
@@ -86,7 +90,7 @@ def fill_surrogate_keys(
     highest = F.coalesce(df.agg(F.max(sk)).scalar(), F.lit(0))
     fresh = df.filter(F.col(sk).isNull()).drop(sk)
     kept = df.filter(F.col(sk).isNotNull())
-    return kept.unionByName(number_rows(fresh, keys, sk, highest, buckets))
+    return kept.unionByName(number_rows(fresh, keys, sk, highest, buckets, staged=True))
 
 
 def load_key(run: int) -> Column:

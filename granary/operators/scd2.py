@@ -77,9 +77,10 @@ def scd2_apply(
 ) -> DataFrame:
     """The whole dimension after this extract; new versions have no surrogate key yet.
 
-    History passes through untouched. Current rows meet the staged rows in one
-    full outer join, on keys unique on both sides, and each pair yields its
-    rows:
+    History passes through untouched, and so do current rows without a staged
+    one. The others meet the staged rows by key, which is unique on both sides.
+    Staged rows are written first: a small delta is broadcast by its real size,
+    and the dimension is then only read, not shuffled. Each pair yields its rows:
 
     * no staged row, no tracked change, or a current row from a later day: as is
     * no current row: a first version
@@ -91,9 +92,13 @@ def scd2_apply(
     is_current = F.coalesce("is_current", F.lit(False))
     day, now = F.lit(batch_date), stamp(batch_ts)
 
-    old = existing.filter(is_current).select(*keys, F.struct(*schema.names).alias("old"))
+    staged = stage(staged, f"{table}-delta")
+    current = existing.filter(is_current)
+    old = current.select(*keys, F.struct(*schema.names).alias("old"))
     new = staged.select(*keys, F.struct(*staged.columns).alias("new"))
-    pairs = old.join(new, list(keys), "full_outer")
+    pairs = stage(old.join(new, list(keys)), f"{table}-pairs")
+    fresh = new.join(pairs.select(*keys), list(keys), "left_anti").withColumn("old", F.lit(None).cast(pairs.schema["old"].dataType))
+    untouched = current.join(staged.select(*keys), list(keys), "left_anti")
 
     def version(source: str, **changes: Column) -> Column:
         """A row of the dimension, taken from ``source`` but for ``changes``."""
@@ -117,16 +122,12 @@ def scd2_apply(
     kept = version("old")
     rows = (
         F.when(F.col("old").isNull(), F.array(first))
-        .when(
-            F.col("new").isNull()
-            | ~_differs("old", "new", tracked)
-            | (F.col("old.valid_from") > day),
-            F.array(kept),
-        )
+        .when(~_differs("old", "new", tracked) | (F.col("old.valid_from") > day), F.array(kept))
         .when(F.col("old.valid_from") == day, F.array(in_place))
         .otherwise(F.array(closed, first))
     )
-    return existing.filter(~is_current).unionByName(pairs.select(F.inline(rows)))
+    changed = pairs.unionByName(fresh).select(F.inline(rows))
+    return existing.filter(~is_current).unionByName(untouched.select(*schema.names)).unionByName(changed)
 
 
 def scd2_initial(

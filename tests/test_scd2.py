@@ -97,6 +97,24 @@ def test_late_extract_does_not_undo_newer_version(spark):
     assert dicts(out, "customer_name", "valid_from") == [("Newer", later)]
 
 
+def test_a_small_delta_does_not_shuffle_the_dimension(spark, folder):
+    rows = [row(f"c{k}", sk=k) for k in range(3000)]
+    target(spark, "dim_customer", rows).write.parquet(f"{folder}/d")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")  # the delta is below it, the dimension is not
+    try:
+        existing = spark.read.parquet(f"{folder}/d")
+        out = scd2.scd2_apply(
+            existing, staged(spark, new("c7", "New"), new("x")), "dim_customer", ["customer_bk"],
+            scd2.CUSTOMER_TRACKED, "customer_sk", DAY, TS,
+        )
+        text = plan(out)
+        assert "LeftAnti, BuildRight" in text and "hashpartitioning" not in text
+        assert out.count() == 3002
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_changed_and_new_keys(spark):
     existing = target(spark, "dim_customer", [row("a"), row("b", kyc=None, sk=2), row("z", end=OPEN, sk=3)])
     stage = staged(spark, new("a"), new("b"), new("z"), new("c"))
