@@ -158,50 +158,23 @@ class Reference:
 
 
 def integrity_checks(df: DataFrame, references: Sequence[Reference]) -> DataFrame:
-    """Rows whose foreign key the dimension lacks, all references in one pass.
+    """Rows whose foreign key the dimension lacks.
 
-    Each row yields its keys, which are counted per distinct value before they
-    meet the dimensions. A null key counts as unresolved.
+    Each key column is read by itself and counted per value, in its own type and
+    map side first, before it meets the dimension, which is broadcast where its
+    size allows. A null key counts as unresolved.
     """
-    spark = df.sparkSession
-    pairs = [
-        F.struct(F.lit(i).alias("ref"), F.col(r.fk).cast("string").alias("value"))
-        for i, r in enumerate(references)
-    ]
-    used = (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("ref", "value")
-        .agg(F.count("*").alias("_n"))
-    )
-    known = reduce(
-        DataFrame.unionByName,
-        [
-            r.dim.select(F.lit(i).alias("ref"), F.col(r.pk).cast("string").alias("value"))
-            for i, r in enumerate(references)
-        ],
-    ).distinct()
-    found = known.withColumn("_known", F.lit(True))
-    counted = (
-        used.join(found, ["ref", "value"], "left")
-        .groupBy("ref")
-        .agg(
-            F.sum("_n").alias("_total"),
-            F.sum(F.when(F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("_failed"),
+    def check(r: Reference) -> DataFrame:
+        used = df.groupBy(F.col(r.fk).alias("_fk")).agg(F.count("*").alias("_n"))
+        known = r.dim.select(F.col(r.pk).alias("_pk")).distinct().withColumn("_known", F.lit(True))
+        one = used.join(known, F.col("_fk") == F.col("_pk"), "left").agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
+            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("_failed"),
         )
-    )
-    wanted = spark.createDataFrame(
-        [(i, r.name, r.severity, float(r.max_rate)) for i, r in enumerate(references)],
-        "ref int, name string, severity string, max_rate double",
-    )
-    return wanted.join(counted, "ref", "left").select(
-        *_result(
-            F.col("name"),
-            F.col("severity"),
-            F.coalesce("_failed", F.lit(0)).cast("long"),
-            F.coalesce("_total", F.lit(0)).cast("long"),
-            F.col("max_rate"),
-        )
-    )
+        rule = Rule(r.name, F.lit(False), r.severity, float(r.max_rate))
+        return _rows_of(one, [_rule_struct(rule, F.col("_failed"), F.col("_total"))])
+
+    return reduce(DataFrame.unionByName, [check(r) for r in references])
 
 
 def _variance(source: Column, target: Column) -> Column:
