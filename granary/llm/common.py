@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from granary.session import stage
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Let Spark hand texts to Python in batches of at most so many rows and bytes: a row may be a whole book."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,18 +34,28 @@ def as_bytes(column: str) -> Column:
     return F.col(column).cast("binary")
 
 
+def about(df: DataFrame, limit: int, *key: str) -> DataFrame:
+    """About ``limit`` rows, and hardly ever more, chosen by a hash of ``key``; all if there are no more.
+
+    A hash below a bound is tested row by row: nothing is sorted or brought together.
+    """
+    share = 0.95 * limit / max(1, df.count())
+    return df if share >= 0.95 else df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 32)) < int(share * (1 << 32)))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, limit: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """At most ``limit`` labelled training documents as (id, label, text), chosen by a hash of the id.
+    """About ``limit`` labelled training documents as (id, label, text), chosen by a hash of the id.
 
     Ids in the held-out remainder, null ids and null labels are left out; of
-    several labels of one id the largest counts. The chosen ids are at most
-    ``limit`` rows of 12 bytes, which bounds the broadcast. The result is staged,
-    so that texts are read once.
+    several labels of one id the largest counts. The chosen ids are rows of 12
+    bytes; ``limit`` of them bound the broadcast. The result is staged, so that
+    texts are read once.
     """
+    small_batches(docs.sparkSession)
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"))
               .where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~in_bucket("id", modulus, remainder))
-              .groupBy("id").agg(F.max("label").alias("label"))
-              .orderBy(F.xxhash64("id"), "id").limit(limit))
+              .groupBy("id").agg(F.max("label").alias("label")))
+    chosen = about(chosen, limit, "id").limit(limit)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return stage(rows.join(F.broadcast(chosen), "id").select("id", "label", "text"), "labelled")
