@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from granary.llm.common import as_bytes
-from granary.llm.vocabularies import WordCache, byte_bpe, piece_bpe, vocabulary_path
+from granary.llm.common import as_bytes, small_batches
+from granary.llm.vocabularies import BatchCache, byte_bpe, once_a_worker, piece_bpe, vocabulary_path
 from granary.session import stage
 
 _SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
@@ -76,25 +76,28 @@ def measure(text: Column, bytes_path: str, pieces_path: str) -> Column:
     token distribution by one with byte fallback. Texts without words have zeros.
     """
 
+    def one(text: bytes | None, words: list[bytes], found: list[tuple]) -> tuple:
+        base = base_counts(text, words)
+        if not words:
+            return *base, "None", 0.0, 0.0, 0.0
+        counts, parts, single = zip(*found, strict=True)
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        share = np.unique(ids, return_counts=True)[1] / len(ids)
+        return *base, script(text), base[1] / sum(counts), sum(single) / len(ids), max(0.0, float(-(share * np.log2(share)).sum()))
+
+    def both_vocabularies() -> BatchCache:
+        count, pieces = byte_bpe(bytes_path), piece_bpe(pieces_path)
+        return BatchCache(lambda words: [(n, *p) for n, p in zip(count(words), pieces(words), strict=True)])
+
     @pandas_udf(f"{BASE}, script string, chars_per_token double, fallback_share double, token_entropy double")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        count = byte_bpe(bytes_path)
-        pieces, _ = piece_bpe(pieces_path)
-        known = WordCache(lambda word: (count(word), *pieces(word)))
-        for batch in batches:
+        known = once_a_worker(("fertility", bytes_path, pieces_path), both_vocabularies)
+        for whole_batch in batches:
             rows = []
-            for t in batch:
-                words = t.split() if isinstance(t, bytes) else []
-                base = base_counts(t, words)
-                kind = script(t) if words else "None"
-                if not words:
-                    rows.append((*base, kind, 0.0, 0.0, 0.0))
-                    continue
-                found = [known[w] for w in words]
-                ids = np.frombuffer(b"".join([f[1] for f in found]), "<u4")
-                share = np.unique(ids, return_counts=True)[1] / len(ids)
-                rows.append((*base, kind, base[1] / sum(f[0] for f in found), sum(f[2] for f in found) / len(ids),
-                             max(0.0, float(-(share * np.log2(share)).sum()))))
+            for first in range(0, len(whole_batch), 256):
+                batch = [t if isinstance(t, bytes) else None for t in whole_batch.iloc[first:first + 256]]
+                texts = [t.split() if t else [] for t in batch]
+                rows += [one(t, words, found) for t, words, found in zip(batch, texts, known.look_up(texts), strict=True)]
             yield pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "script", *MEASURES])
 
     return measured(text)
@@ -133,6 +136,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     null). Measures are staged once, one short row a document, so that the bands
     are those of all documents. Repeated rows are judged each; a null id stays null.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        measure(as_bytes(text_col), bytes_path or vocabulary_path("byte_bpe_50k.tiktoken"),
                                pieces_path or vocabulary_path("piece_bpe_32k.model")).alias("m"))
