@@ -58,7 +58,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3,
                  .groupBy("id").agg(F.collect_set("key").alias("keys")), "removed").select(F.col("id").alias("__id"), F.col("keys").alias("__keys"))
     lines = F.split(text_col, "\n")
     kept = F.filter(lines, lambda x: ~(F.array_contains("__keys", line_key(x)) & long_enough(x, min_words)))
-    out = docs.join(gone, docs[id_col] == gone["__id"], "left")
+    # Lost lines are a share of the corpus: brought to the texts by a shuffle, at every size alike.
+    out = docs.join(gone.hint("merge"), docs[id_col] == gone["__id"], "left")
     found = F.col("__keys").isNotNull()
     columns = [F.when(found, F.array_join(kept, "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return out.select(*columns, F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("lines_before"),
