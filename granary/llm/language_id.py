@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from granary.llm.common import small_batches
+
 UNDETERMINED = "und"
 
 
@@ -96,6 +98,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", orders:
     column with so many values is no language column. Rows with a null language
     or text are left out; without any row the model has no language.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     prior = rows.groupBy("lang").count().orderBy("lang").limit(max_languages + 1).collect()
     if len(prior) > max_languages:
