@@ -12,8 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import as_bytes
-from granary.llm.vocabularies import WordCache, vocabulary_path, word_bpe
+from granary.llm.common import as_bytes, small_batches
+from granary.llm.vocabularies import TokenTable, once_a_worker, vocabulary_path
 from granary.session import stage
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
@@ -43,17 +43,19 @@ def pieces(docs: DataFrame, size: int = 2048, end: int = 0, path: str | None = N
     A null or empty text has the end token only. Repeated rows each give their
     pieces, told apart by the column ``copy``.
     """
+    small_batches(docs.sparkSession)
     place = path or vocabulary_path("word_bpe_49k.json")
 
     def tokenised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, last = WordCache(word_bpe(place)), np.array([end], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for doc, copy, text in zip(batch["id"], batch["copy"], batch["text"], strict=True):
-                whole = b"".join([ids[w] for w in text.split()]) + last if isinstance(text, bytes) else last
-                rows += [(doc, copy, *p) for p in cut(whole, size)]
-            out = pd.DataFrame(rows, columns=["id", "copy", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"id": batch["id"].dtype})
+        table = once_a_worker(("word_bpe", place), lambda: TokenTable(place))
+        last = np.array([end], "<u4").tobytes()
+        for whole_batch in batches:
+            for first in range(0, len(whole_batch), 250):
+                batch, rows = whole_batch.iloc[first:first + 250], []
+                found = table.ids([t if isinstance(t, bytes) else b"" for t in batch["text"]])
+                for doc, copy, ids in zip(batch["id"], batch["copy"], found, strict=True):
+                    rows += [(doc, copy, *p) for p in cut(ids + last, size)]
+                yield pd.DataFrame(rows, columns=["id", "copy", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.monotonically_increasing_id().alias("copy"), as_bytes(text_col).alias("text"))
