@@ -90,9 +90,10 @@ class Model:
 class Scanner:
     """Features of texts; remembers what each distinct word matches, for a bounded number of words."""
 
-    def __init__(self, terms: dict[str, float], window: int, limit: int = 400_000):
+    def __init__(self, terms: dict[str, float], window: int, limit: int = 200_000):
         self.lexicon, self.window, self.limit = Lexicon(terms), window, limit
         self.clean: set[bytes] = set()
+        self.old: set[bytes] = set()
         self.hits: dict[bytes, tuple[float, int]] = {}
 
     def features(self, text: bytes | None) -> np.ndarray:
@@ -109,6 +110,9 @@ class Scanner:
         for word in kinds - self.clean:
             if word in self.hits:
                 continue
+            if word in self.old:
+                self.clean.add(word)
+                continue
             found = self.lexicon.find(normal(word).decode("utf-8", "replace"))
             if found:
                 if len(self.hits) >= self.limit:
@@ -118,15 +122,16 @@ class Scanner:
                 self.clean.add(word)
         known = [w for w in kinds if w in self.hits]
         if known:
-            self._weigh(words, set(known), out)
-        if len(self.clean) >= self.limit:
-            self.clean.clear()
+            self._weigh(words, set(known), any(q in text for q in _QUOTES), out)
+        if len(self.clean) >= self.limit:  # words without a match of late are remembered
+            self.clean, self.old = set(), self.clean
         return out
 
-    def _weigh(self, words: list[bytes], known: set[bytes], out: np.ndarray) -> None:
+    def _weigh(self, words: list[bytes], known: set[bytes], has_quotes: bool, out: np.ndarray) -> None:
         quoted, exact, at = False, [], []
-        for place, word in enumerate(words):
-            marks = sum(word.count(q) for q in _QUOTES)
+        looked_at = enumerate(words) if has_quotes else [(k, w) for k, w in enumerate(words) if w in known]
+        for place, word in looked_at:
+            marks = sum(word.count(q) for q in _QUOTES) if has_quotes else 0
             if word in known:
                 weight, edits = self.hits[word]
                 if quoted or marks >= 2:
