@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import as_bytes, in_bucket
+from granary.llm.common import about, as_bytes, in_bucket, small_batches
 from granary.session import stage
 
 NONE = -1e4  # bias of what can't occur
@@ -246,7 +246,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base and model score (log10) of every row of ``docs``, learned from the rows that aren't held out.
 
-    Counts are of all training texts. The network is trained on ``sample`` of
+    Counts are of all training texts. The network is trained on about ``sample`` of
     them, chosen by a hash of the id and dealt to ``shards`` tasks: each of
     ``rounds`` rounds makes ``updates`` steps a task, and the mean of the tasks'
     weights goes into the next. The counts of the ``listed`` most frequent words
@@ -256,6 +256,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
     A null text is empty: its only token is the end. A row with a null id isn't
     held out. Repeated rows are scored each.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.monotonically_increasing_id().alias("copy"),
                        in_bucket(id_col, modulus, remainder).alias("held_out"), as_bytes(text_col).alias("text"))
@@ -266,7 +267,15 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
     train_tokens = (whole["n"] or 0) + ends
     log_base = np.log10(train_tokens + whole["v"] + (1 if ends else 0) + 1)
     by_tail = {r["tail"]: (r["n"], r["v"]) for r in counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    top = counts.orderBy(F.desc("c"), "word").limit(listed).toPandas()
+    # The words of the most frequent classes of counts, as far as they are no more than listed; nothing large is sorted.
+    step = F.floor(F.log2("c") * 32)
+    sizes, least, held = counts.groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect(), None, 0
+    for r in sizes:
+        held += r["count"]
+        if held > listed:
+            break
+        least = r["s"]
+    top = counts.where(step >= least if least is not None else F.lit(False)).toPandas().sort_values(["c", "word"], ascending=[False, True])
 
     own = shape.words - 1  # code 0 is the end
     tail_c, tail_v = (np.array([by_tail.get(k, (0, 0))[i] for k in range(shape.tails)], np.int64) for i in range(2))
@@ -293,8 +302,8 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
         out[:-1][at < 0] = [shape.words + shape.tail(w) for w in rare]
         return out, at, rare
 
-    chosen = stage(learned.orderBy(F.xxhash64("id", "copy"), "copy").limit(sample)
-                   .select("text", (F.pmod(F.xxhash64("copy"), F.lit(shards))).alias("shard")), "training")
+    chosen = stage(about(learned, sample, "id", "copy").select("text", F.pmod(F.xxhash64("copy"), F.lit(shards)).alias("shard")), "training")
+
     def local_training(now: Broadcast, turn: int) -> Callable:
         def local(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
             place, codes, _, _ = table.value
