@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import about, as_bytes, in_bucket, small_batches
+from granary.llm.common import as_bytes, in_bucket, small_batches
 from granary.session import stage
 
 NONE = -1e4  # bias of what can't occur
@@ -167,59 +168,145 @@ def score(shape: Shape, p: dict[str, np.ndarray], docs: list[np.ndarray], width:
     return out
 
 
-def train(shape: Shape, p: dict[str, np.ndarray], docs: list[np.ndarray], updates: int, rate: float,
+def flow(docs: Iterable[np.ndarray], width: int, window: int, begin: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole documents laid into at most ``width`` lanes, ``window`` steps at a time.
+
+    Gives input and target codes by step and lane (-1 where there is none), and
+    which of the lanes of the time before go on. A lane takes the next document
+    where its last one ends, so that a long one holds up no other; only one
+    document a lane is held.
+    """
+    source = ((np.r_[begin, d[:-1]], d) for d in docs if len(d))
+    held: list = [(None, None, 0)] * width
+    still = np.arange(width)
+    while True:
+        given, wanted = (np.full((len(held), window), -1, np.int32) for _ in range(2))
+        for lane, (inputs, targets, at) in enumerate(held):
+            t = 0
+            while t < window:
+                if targets is None:
+                    inputs, targets = next(source, (None, None))
+                    at = 0
+                    if targets is None:
+                        break
+                n = min(window - t, len(targets) - at)
+                given[lane, t:t + n], wanted[lane, t:t + n] = inputs[at:at + n], targets[at:at + n]
+                t, at = t + n, at + n
+                if at == len(targets):
+                    inputs = targets = None
+            held[lane] = (inputs, targets, at)
+        used = np.flatnonzero(given[:, 0] >= 0)
+        if not len(used):
+            return
+        yield given[used].T, wanted[used].T, still[used]
+        held, still = [held[k] for k in used], np.arange(len(used))
+
+
+def train(shape: Shape, p: dict[str, np.ndarray], docs: Iterable[np.ndarray], updates: int, rate: float,
           width: int = 64, window: int = 32, seed: int = 0) -> dict[str, np.ndarray]:
-    """Weights after ``updates`` Adam steps of truncated backpropagation over windows; texts are gone through again if few.
+    """Weights after Adam steps of truncated backpropagation over windows, by every token of all texts.
 
-    The state is carried from window to window, the gradient is not.
+    The state is carried from window to window, the gradient is not. Windows with
+    few tokens are put together for one step. The texts of a list are gone through
+    again, in other orders, until ``updates`` steps are made.
     """
     p = {k: v.copy() for k, v in p.items()}
-    if not docs:
-        return p
-    first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    begin, size, done, draw = shape.words + shape.tails, shape.hidden, 0, np.random.default_rng(seed)
-    while done < updates:
-        picked = [docs[k] for k in draw.permutation(len(docs))[:8 * width]]
-        given, wanted, _, load = lanes(picked, min(width, len(picked)), begin)
-        even = max(window, int(np.median(load)))  # past it, only lanes with one long text go on
-        h = np.zeros((given.shape[1], size), np.float32)
-        for start in range(0, min(len(given), even), window):
-            kept = []
-            for t in range(start, min(start + window, len(given))):
-                live = given[t] >= 0
-                x = np.where(live, given[t], begin)
-                before = h * (x != begin)[:, None]
-                h, z, r, n, part = _step(before, p["x"][x], p["u"])
-                kept.append((x, live, before, z, r, n, part, h))
-            live = np.concatenate([k[1] for k in kept])
-            grads = {k: np.zeros_like(v) for k, v in p.items()}
-            states = np.concatenate([k[7] for k in kept])[live]
-            _, part_dh = output(shape, p, states, wanted[start:start + window].reshape(-1)[live], grads)
-            by_state = np.zeros((len(live), size), np.float32)
+    first, second, grads = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(3))
+    begin, size, done, pending, draw = shape.words + shape.tails, shape.hidden, 0, 0, np.random.default_rng(seed)
+
+    def step() -> None:
+        nonlocal done, pending
+        done += 1
+        scale = 1 / pending
+        norm = np.sqrt(sum(float((g * scale).ravel() @ (g * scale).ravel()) for g in grads.values()))
+        scale *= min(1.0, 1.0 / max(norm, 1e-9))
+        for k, g in grads.items():
+            g *= scale
+            first[k] += 0.1 * (g - first[k])
+            second[k] += 0.01 * (g * g - second[k])
+            p[k] -= (rate * (first[k] / (1 - 0.9 ** done)) / (np.sqrt(second[k] / (1 - 0.99 ** done)) + 1e-6)).astype(np.float32)
+            g[...] = 0
+        pending = 0
+
+    texts, again = docs, False
+    while True:
+        if isinstance(docs, list):
+            texts = [docs[k] for k in draw.permutation(len(docs))]
+        h = np.zeros((width, size), np.float32)
+        for given, wanted, still in flow(texts, width, window, begin):
+            h, kept = h[still], []
+            live = given >= 0
+            codes = np.where(live, given, begin)
+            inputs, goes_on = p["x"][codes], (codes != begin)[:, :, None]
+            for t in range(len(given)):
+                before = h * goes_on[t]
+                h, z, r, n, part = _step(before, inputs[t], p["u"])
+                kept.append((before, z, r, n, part, h))
+            states = np.stack([k[5] for k in kept])
+            _, part_dh = output(shape, p, states[live], wanted[live], grads)
+            by_state, back = np.zeros_like(states), np.zeros_like(h)
             by_state[live] = part_dh
-            by_state, back = by_state.reshape(len(kept), -1, size), np.zeros_like(h)
-            for k in range(len(kept) - 1, -1, -1):
-                x, _, before, z, r, n, part, _ = kept[k]
-                dh = by_state[k] + back
-                dz = dh * (before - n) * z * (1 - z)
-                dn = dh * (1 - z) * (1 - n * n)
-                dr = dn * part * r * (1 - r)
-                da = np.concatenate([dz, dr, dn * r], axis=1)
-                grads["u"] += before.T @ da
-                np.add.at(grads["x"], x, np.concatenate([dz, dr, dn], axis=1))
-                back = (dh * z + da @ p["u"].T) * (x != begin)[:, None]
-            done += 1
-            scale = 1 / max(1, int(live.sum()))
-            norm = np.sqrt(sum(float((g * scale).ravel() @ (g * scale).ravel()) for g in grads.values()))
-            scale *= min(1.0, 1.0 / max(norm, 1e-9))
-            for k, g in grads.items():
-                g *= scale
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                p[k] -= (rate * (first[k] / (1 - 0.9 ** done)) / (np.sqrt(second[k] / (1 - 0.99 ** done)) + 1e-6)).astype(np.float32)
-            if done >= updates:
-                break
-    return p
+            by_input, by_part = (np.empty((*live.shape, 3 * size), np.float32) for _ in range(2))
+            for t in range(len(kept) - 1, -1, -1):
+                before, z, r, n, part, _ = kept[t]
+                dh = by_state[t] + back
+                keep = dh * (1 - z)
+                dn = keep * (1 - n * n)
+                by_input[t, :, :size], by_input[t, :, 2 * size:] = dh * (before - n) * z * (1 - z), dn
+                by_input[t, :, size:2 * size] = dn * part * r * (1 - r)
+                by_part[t, :, :2 * size], by_part[t, :, 2 * size:] = by_input[t, :, :2 * size], dn * r
+                back = (dh * z + by_part[t] @ p["u"].T) * goes_on[t]
+            grads["u"] += np.concatenate([k[0] for k in kept]).T @ by_part.reshape(-1, 3 * size)
+            order = np.argsort(codes, axis=None, kind="stable")
+            sorted_codes = codes.reshape(-1)[order]
+            edges = np.flatnonzero(np.r_[True, np.diff(sorted_codes) != 0])
+            grads["x"][sorted_codes[edges]] += np.add.reduceat(by_input.reshape(-1, 3 * size)[order], edges)
+            pending += int(live.sum())
+            if 2 * pending >= width * window:
+                step()
+                if again and done >= updates:
+                    return p
+        if pending:
+            step()
+        if not isinstance(docs, list) or not docs or done >= updates:
+            return p
+        again = True
+
+
+def shards_for(train_tokens: int, least: int, rounds: int, shard_tokens: int) -> tuple[int, int]:
+    """Parts of the texts, and shards of each: a shard holds at most about ``shard_tokens``, however many tokens there are.
+
+    Each round takes a part of its own. Texts that few shards hold at once are
+    one part, which every round goes through.
+    """
+    parts = rounds if train_tokens > least * shard_tokens else 1
+    return parts, max(least, -(-train_tokens // (parts * shard_tokens)))
+
+
+def train_shard(shape: Shape, p: dict[str, np.ndarray], docs: Iterator[np.ndarray], updates: int, rate: float,
+                seed: int, ahead: int = 4_000_000, window: int = 32) -> tuple[dict[str, np.ndarray], int]:
+    """Weights learned from all texts of a shard, and the number of its tokens.
+
+    At most about ``ahead`` tokens are held. Lanes are as many as make about
+    ``updates`` steps of them, within bounds.
+    """
+    held, n = [], 0
+    for doc in docs:
+        held.append(doc)
+        n += len(doc)
+        if n >= ahead:
+            break
+    width, rest = int(np.clip(n // (window * max(1, updates)), 32, 256)), 0
+
+    def counted() -> Iterator[np.ndarray]:
+        nonlocal rest
+        for doc in docs:
+            rest += len(doc)
+            yield doc
+
+    texts = held if n < ahead else chain(held, counted())
+    out = train(shape, p, texts, updates, rate, width, window, seed)
+    return out, n + rest
 
 
 def count_tokens(train_rows: DataFrame, shape: Shape, limit: int = 400_000) -> DataFrame:
@@ -242,14 +329,15 @@ def count_tokens(train_rows: DataFrame, shape: Shape, limit: int = 400_000) -> D
 
 
 def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape: Shape = Shape(), listed: int = 131_072,
-                    sample: int = 3072, shards: int = 6, rounds: int = 4, updates: int = 150,
+                    shards: int = 6, rounds: int = 4, updates: int = 150, shard_tokens: int = 4_000_000,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base and model score (log10) of every row of ``docs``, learned from the rows that aren't held out.
 
-    Counts are of all training texts. The network is trained on about ``sample`` of
-    them, chosen by a hash of the id and dealt to ``shards`` tasks: each of
-    ``rounds`` rounds makes ``updates`` steps a task, and the mean of the tasks'
-    weights goes into the next. The counts of the ``listed`` most frequent words
+    Counts are of all training texts, and so is the network: they are dealt by hash
+    to shards of about ``shard_tokens``, at least ``shards`` a round. Each of
+    ``rounds`` rounds goes through a part of the shards, and the mean of their
+    weights by tokens goes into the next. Texts that ``shards`` shards hold are gone
+    through in every round, with at least ``updates`` steps a shard. The counts of the ``listed`` most frequent words
     are sent to the tasks; those of the other words of each document are joined
     by word.
 
@@ -302,23 +390,37 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
         out[:-1][at < 0] = [shape.words + shape.tail(w) for w in rare]
         return out, at, rare
 
-    chosen = stage(about(learned, sample, "id", "copy").select("text", F.pmod(F.xxhash64("copy"), F.lit(shards)).alias("shard")), "training")
+    parts, a_round = shards_for(int(train_tokens), shards, rounds, shard_tokens)
+    kind_of_code = "<u2" if shape.words + shape.tails < 1 << 16 else "<u4"
+
+    def as_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, codes, _, _ = table.value
+        for batch in batches:
+            yield pd.DataFrame({"copy": batch["copy"], "codes": [coded(t, place, codes)[0].astype(kind_of_code).tobytes() for t in batch["text"]]})
+
+    texts = (learned.select("copy", "text").mapInPandas(as_codes, "copy long, codes binary")
+             .withColumn("part", F.pmod(F.xxhash64("copy", F.lit("part")), F.lit(parts))))
+    training = stage(texts, "training")
 
     def local_training(now: Broadcast, turn: int) -> Callable:
-        def local(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-            place, codes, _, _ = table.value
-            texts = [coded(t, place, codes)[0] for t in sorted(group["text"], key=lambda t: t or b"")]
-            found = train(shape, now.value, texts, updates, 0.01 / (1 + turn), seed=100 * turn + int(key[0]))
-            return pd.DataFrame({"shard": [int(key[0])], "weights": [b"".join(found[k].tobytes() for k in sorted(found))]})
+        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            docs = (np.frombuffer(c, kind_of_code).astype(np.int32) for batch in batches for c in batch["codes"])
+            shard = TaskContext.get().partitionId()
+            found, n = train_shard(shape, now.value, docs, updates, 0.01 / (1 + turn), 100 * turn + shard)
+            if n:
+                yield pd.DataFrame({"shard": [shard], "tokens": [n], "weights": [b"".join(found[k].tobytes() for k in sorted(found))]})
         return local
 
     p = initial(shape, class_counts, word_counts)
     for turn in range(rounds):
-        made = (chosen.groupBy("shard").applyInPandas(local_training(spark.sparkContext.broadcast(p), turn), "shard int, weights binary")
-                .orderBy("shard").collect())
-        if made:
-            flat = np.mean([np.frombuffer(r["weights"], np.float32) for r in made], axis=0, dtype=np.float64).astype(np.float32)
-            at = 0
+        dealt = (training.where(F.col("part") == turn % parts).repartition(a_round, F.xxhash64("copy"))
+                 .sortWithinPartitions(F.xxhash64("copy", F.lit("order")), "copy").select("codes"))
+        made = stage(dealt.mapInPandas(local_training(spark.sparkContext.broadcast(p), turn), "shard int, tokens long, weights binary"), "weights")
+        total, flat = 0, 0.0
+        for r in made.orderBy("shard").toLocalIterator():  # one after the other: there are more, the more texts there are
+            total, flat = total + r["tokens"], flat + r["tokens"] * np.frombuffer(r["weights"], np.float32).astype(np.float64)
+        if total:
+            flat, at = (flat / total).astype(np.float32), 0
             for k in sorted(p):
                 p[k], at = flat[at:at + p[k].size].reshape(p[k].shape), at + p[k].size
     final = spark.sparkContext.broadcast(p)

@@ -107,3 +107,24 @@ def test_awkward_rows(spark):
     shape = Shape(hidden=4, words=64, in_class=8, tails=4)
     check(recurrent_lm.score_documents(with_clashes(docs), shape=shape, rounds=1, updates=3, shards=2).collect(), docs.collect())
     assert recurrent_lm.score_documents(docs.limit(0), shape=shape, rounds=1, updates=3, shards=2).collect() == []
+
+
+def test_training_reads_every_token(small):
+    """The tail of one very long text and the last texts of long lanes give a gradient, too."""
+    shape, p = small
+    docs = [np.array([1, 2, 0] * 5, np.int32) for _ in range(9)] + [np.array([1, 2] * 300 + [6, 7, 0], np.int32)]
+    for given in (docs, iter(docs)):
+        learned = train(shape, p, given, 1, 0.02, width=4, window=8)
+        assert all((learned["x"][k] != p["x"][k]).any() for k in (1, 2, 6, 7))
+    laid = [(g[g >= 0].tolist(), w[w >= 0].tolist()) for g, w, _ in recurrent_lm.flow(docs, 4, 8, 11)]
+    assert sorted(k for _, w in laid for k in w) == sorted(np.concatenate(docs).tolist())
+    assert sum(g.count(11) for g, _ in laid) == len(docs)
+
+
+def test_shards_grow_with_the_tokens(small):
+    shape, p = small
+    for tokens in (1, 10**6, 10**8, 5 * 10**9):
+        parts, shards = recurrent_lm.shards_for(tokens, 6, 4, 4_000_000)
+        assert parts in (1, 4) and shards >= 6 and parts * shards * 4_000_000 >= tokens
+    docs = [np.array([1, 2, 0] * 50, np.int32) for _ in range(40)]
+    assert recurrent_lm.train_shard(shape, p, iter(docs), 3, 0.01, 0, ahead=1000)[1] == 6000  # far more than is held
