@@ -65,15 +65,18 @@ def item_windows(items: DataFrame, width: int, least_words: int) -> DataFrame:
     return kept.join(kept.groupBy("item", "variant").agg(F.count("at").alias("n")), ["item", "variant"])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least_words: int = 4, coverage: float = 0.5,
-               broadcast_rows: int = 500_000, id_col: str = "doc_id", text_col: str = "text",
+def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least_words: int = 4, coverage: float = 0.5, run: int = 13,
+               slack: int = 32, broadcast_rows: int = 500_000, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Pairs of a document and a benchmark item that it holds, also with other numbers, names and units.
 
-    Columns: id, item, coverage (share of the item's windows found along one
+    Columns: id, item, coverage (share of the item's windows found along an
     alignment), slots (its placeholders there), exact (all slots have the item's
-    values). A pair counts if ``coverage`` is reached and each value of the item's
-    slots stands for one value of the document's throughout.
+    values). An alignment may shift by up to half of ``slack`` tokens, for words
+    put in or left out. A pair counts if ``coverage`` of the item's windows, or of
+    its tokens and at least ``run`` of them, lie in matched windows, or if ``run``
+    tokens in a row do; and if each value of the item's slots in matched windows
+    stands for one value of the document's throughout.
 
     Windows are joined by hash. The benchmark's are broadcast if they are at most
     ``broadcast_rows`` (32 bytes each); otherwise both sides are shuffled. Null
@@ -93,19 +96,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, least_word
     # Outer, since Spark else tests first whether the array is empty, and for that works it out anew.
     places = with_windows(tokens, width).select("id", F.posexplode_outer("keys").alias("place", "key"))
     found = places.join(F.broadcast(windows) if few else windows, "key")
-    lines = (found.groupBy("id", "item", "variant", (F.col("place") - F.col("at")).alias("shift"))
-             .agg(F.countDistinct("at").alias("hits"), F.max("n").alias("n"))
-             .withColumn("coverage", F.col("hits") / F.col("n")).where(F.col("coverage") >= coverage))
-    pairs = stage(lines.select("id", "item", "variant", "shift", "coverage"), "leaks")
-
-    # The documents found, with their raw tokens, beside the item's along the alignment.
+    # Hits of one shift, and of shifts near each other (two overlapping rows of bands): words put in or left out move the rest.
+    shift = F.col("place") - F.col("at")
+    bands = F.array(F.struct(F.lit(0).alias("kind"), shift.alias("band")),
+                    F.struct(F.lit(1).alias("kind"), F.floor(shift / slack).alias("band")),
+                    F.struct(F.lit(2).alias("kind"), F.floor((shift + slack // 2) / slack).alias("band")))
+    lines = (found.withColumn("band", F.explode(bands)).groupBy("id", "item", "variant", "band")
+             .agg(F.collect_set(F.struct("at", "place")).alias("hits"), F.max("n").alias("n")))
+    lines = lines.withColumn("ats", F.array_distinct(F.transform("hits", lambda h: h["at"]))).withColumn("coverage", F.size("ats") / F.col("n"))
+    in_row = F.exists("ats", lambda x: F.forall(F.sequence(F.lit(1), F.lit(run - width)), lambda k: F.array_contains(F.col("ats"), x + k)))
+    lines = lines.withColumn("covered", F.size(F.array_distinct(F.flatten(F.transform("ats", lambda x: F.sequence(x, x + width - 1))))))
+    enough = (F.col("coverage") >= coverage) | (F.col("covered") >= run) & (F.col("covered") >= coverage * (F.col("n") + width - 1)) | in_row
+    pairs = stage(lines.where(enough).select("id", "item", "variant", "hits", "coverage"), "leaks")
+
+    # The documents found, with their raw tokens, beside the item's at the matched windows.
     doc_tokens = rows.join(pairs.select("id").distinct(), "id", "left_semi").select("id", raw_tokens(F.col("text")).alias("doc_raw"))
     both = pairs.join(doc_tokens, "id").join(items, ["item", "variant"])
-    at = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1),
-                  lambda k: _slot(F.get("tokens", k)) & (k + F.col("shift") >= 0) & (k + F.col("shift") < F.size("doc_raw")))
-    values = F.transform(at, lambda k: F.struct(F.lower(F.get("raw", k)).alias("item"), F.lower(F.get("doc_raw", k + F.col("shift").cast("int"))).alias("doc")))
-    both = both.withColumn("values", values)
+    met = F.flatten(F.transform("hits", lambda h: F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.struct((h["at"] + k).alias("at"), (h["place"] + k).alias("place")))))
+    both = both.withColumn("met", F.filter(F.array_distinct(met), lambda x: _slot(F.get("tokens", x["at"])) & (x["place"] < F.size("doc_raw"))))
+    both = both.withColumn("values", F.transform("met", lambda x: F.struct(F.lower(F.get("raw", x["at"])).alias("item"), F.lower(F.get("doc_raw", x["place"])).alias("doc"))))
     same = F.size(F.array_distinct("values")) == F.size(F.array_distinct(F.transform("values", lambda v: v["item"])))
     return (both.where(same)
-            .select("id", "item", "coverage", F.size("values").cast("long").alias("slots"), F.forall("values", lambda v: v["item"] == v["doc"]).alias("exact"))
+            .select("id", "item", "coverage", F.size(F.array_distinct(F.transform("met", lambda x: x["at"]))).cast("long").alias("slots"), F.forall("values", lambda v: v["item"] == v["doc"]).alias("exact"))
             .groupBy("id", "item").agg(F.max(F.struct("coverage", "slots", "exact")).alias("best")).select("id", "item", "best.*"))

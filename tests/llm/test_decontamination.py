@@ -59,3 +59,21 @@ def test_awkward_rows(spark):
     assert decontamination.find_leaks(docs, items.limit(0)).collect() == []
     twice = docs.select("doc_id").where("doc_id = 7").selectExpr("doc_id", f"'{ITEM}' as text")
     assert [(r.id, r.item) for r in decontamination.find_leaks(twice, items).collect()] == [(7, 3)]
+
+
+@pytest.mark.parametrize("text", [
+    ITEM.replace("and then", "and only then"),  # a word more
+    ITEM.replace("each and then", "each then"),  # a word less
+    ITEM.replace("and then", "but then"),  # another word
+    ITEM.replace("each and", "all and").replace("before she", "until she"),  # two other words, eight tokens apart
+    " ".join(ITEM.split()[:16]) + " 77 others go and Lisa stays.",  # cut short: the rest has nothing to do with the item
+])
+def test_edited_and_truncated_copies(spark, text):
+    assert [(r.id, r.item) for r in found(spark, FILLER + text + " " + FILLER)] == [(1, 10)]
+
+
+def test_a_long_run_of_a_longer_item(spark):
+    item = ITEM + " " + " ".join(f"{w} follows here and there" for w in "alpha beta gamma delta epsilon zeta eta theta iota kappa".split())
+    docs = spark.createDataFrame([(1, FILLER + " ".join(ITEM.split()[:18]), "en", "s", 0)], DOCS)
+    got = decontamination.find_leaks(docs, spark.createDataFrame([(10, item)], "item_id long, text string")).collect()
+    assert [(r.id, r.item) for r in got] == [(1, 10)] and got[0].coverage < 0.5
