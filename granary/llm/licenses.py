@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +19,7 @@ SENTENCES = {
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-condition",
     "the software is provided as is without warranty of any kind express or implied": "mit-warranty",
     "licensed under the apache license version #": "apache-notice",
+    "licensed under the apache license version # the license": "apache-notice",
     "you may not use this file except in compliance with the license": "apache-compliance",
     "you may obtain a copy of the license at": "apache-copy",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis": "apache-warranty",
@@ -33,6 +35,7 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution": "bsd-binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-endorse",
+    "may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-endorse",
     "this software is provided by the copyright holders and contributors as is": "bsd-warranty",
     "all rights reserved": "reserved",
 }
@@ -53,6 +56,9 @@ RULES = (
     ("CC-BY-NC-SA", ("cc-by-nc-sa",)),
     ("Proprietary", ("reserved",)),
 )
+# Marks of a comment at the beginning of a line; clauses of so many words are found within sentences.
+_COMMENT = re.compile(r"[ \t]*(?:(?:#+|//+|/\*+|\*+/?|;+|--+|<!--)[ \t]*)?")
+CLAUSE = 9
 _BREAK = re.compile(r"(?<=[.!?;:])[ \t\r]+")
 _NUMBER = re.compile(r"\bv?\d+(?:\.\d+)*\b")
 _OTHER = re.compile(r"[^\w#/-]+")
@@ -74,31 +80,51 @@ def _anchors(sentences: dict[str, str]) -> re.Pattern:
 def recognise(text: str, sentences: dict[str, str]) -> list[tuple[str, int, int]]:
     """Known sentences of a text in order, as (identifier, start, end).
 
-    Sentences end at a stop before white space. A sentence may go over line
-    breaks, or be a line of its own: each is tried over one to four lines.
+    Sentences end at a stop before white space, and comment marks that begin a
+    line are no part of it. Clauses of ``CLAUSE`` words or more are found wherever
+    they stand, over any number of lines; shorter ones, and notices, are whole
+    sentences or lines, or several lines together.
     """
     pieces, at = [], 0
     for line in text.split("\n"):
-        start = at
-        for part in _BREAK.split(line):
+        start = at + _COMMENT.match(line).end()
+        for part in _BREAK.split(line[start - at:]):
             found = text.find(part, start) if part else start
-            if part.strip():
-                pieces.append((found, found + len(part), normalise(part)))
+            if plain := normalise(part):
+                pieces.append((found, found + len(part), plain))
             start = found + len(part)
         at += len(line) + 1
-    out, k = [], 0
+    long = {s: known for s, known in sentences.items() if len(s.split()) >= CLAUSE and not known.endswith("-notice")}
+    most = max((len(s.split()) for s in sentences if s not in long), default=0)
+    out, whole, places, length = [], [], [], 1
+    for _, _, plain in pieces:
+        places.append(length)
+        whole.append(plain)
+        length += len(plain) + 1
+    joined, taken = f" {' '.join(whole)} ", []
+    for sentence in sorted(long, key=lambda s: (-len(s), s)):
+        found = joined.find(f" {sentence} ")
+        while found >= 0:
+            end = found + 1 + len(sentence)
+            if all(end <= x or found + 1 >= y for x, y in taken):  # not within a longer clause
+                taken.append((found + 1, end))
+                first, last = bisect_right(places, found + 1) - 1, bisect_right(places, end - 1) - 1
+                out.append((found + 1, (long[sentence], pieces[first][0], pieces[last][1])))
+            found = joined.find(f" {sentence} ", end)
+    k = 0
     while k < len(pieces):
-        joined = ""
-        for n in range(4):
-            if k + n >= len(pieces):
+        together, n = "", 0
+        while k + n < len(pieces):
+            together = f"{together} {pieces[k + n][2]}".strip()
+            if together.count(" ") >= most:
                 break
-            joined = f"{joined} {pieces[k + n][2]}".strip()
-            if known := sentences.get(joined):
-                out.append((known, pieces[k][0], pieces[k + n][1]))
+            if together not in long and (known := sentences.get(together)):
+                out.append((places[k], (known, pieces[k][0], pieces[k + n][1])))
                 k += n
                 break
+            n += 1
         k += 1
-    return out
+    return [found for _, found in sorted(out)]
 
 
 def match_rules(found: list[str], rules: tuple) -> list[str]:

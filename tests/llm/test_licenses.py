@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,3 +47,19 @@ def test_whole_table_as_without_the_anchors(spark, sf_dir):
     got = {r.doc_id: r.s.licenses for r in docs.select("doc_id", licenses.scan(F.col("text")).alias("s")).collect()}
     assert got == {r.doc_id: scan(r.text)[0] for r in docs.collect()}
     assert any(got.values())
+
+
+FULL = {
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "Apache": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "GPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of Example Ltd nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.",
+}
+
+
+@pytest.mark.parametrize("licence", FULL)
+@pytest.mark.parametrize("width", [24, 40, 72, 10_000])
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * "])
+def test_full_texts_at_any_wrapping(licence, width, mark):
+    text = "Foo bar.\n\n" + "\n".join(mark + line for line in textwrap.wrap(FULL[licence], width)) + "\n\nimport this"
+    assert scan(text)[0] == [licence]
