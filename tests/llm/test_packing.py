@@ -80,3 +80,16 @@ def test_a_piece_too_large():
     with pytest.raises(ValueError):
         best_fit(np.array([10]), Capacity(tokens=5), (1.0, 0.0, 0.0))
     assert best_fit(np.array([], int), Capacity(), (1.0, 0.0, 0.0))[1] == 0
+
+
+@pytest.mark.parametrize("capacity,sequences", [
+    (Capacity(100, 4, 100 * 100), 15),  # 60 pieces of 10 tokens: 4 documents each, not 10
+    (Capacity(100, 100, 500), 12),  # 5 pieces of attention cost 100 each
+])
+def test_capacities_other_than_tokens_bind(spark, capacity, sequences):
+    pieces = spark.createDataFrame([(k, k, 0, 0, 10, 0) for k in range(60)], f"id long, copy long, {packing.PIECE}")
+    held = defaultdict(list)
+    for r in packing.pack(pieces, capacity).collect():
+        held[r.sequence_id].append(r.length)
+    assert len(held) == sequences
+    assert all(len(x) <= capacity.documents and sum(n * n for n in x) <= capacity.attention for x in held.values())
