@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import byte_bpe, decontamination, fertility, language_id, licenses, line_dedup, ngram_join, packing, quality_ranking, recurrent_lm, toxicity
+from granary.llm import byte_bpe, decontamination, fertility, language_id, licenses, line_dedup, ngram_join, packing, quality_ranking, recurrent_lm, toxicity, whitening
 from granary.llm.common import as_bytes, in_bucket, table
 
 
@@ -63,6 +63,12 @@ def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), 4, 256)
+    # A deviation that no long holds, as from some hundred million vectors on, is null here; the operator gives it.
+    return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text")).alias("ids"))
     both = coded.select("doc_id", "ids", byte_bpe.decode(F.col("ids")).alias("decoded"))
@@ -73,7 +79,8 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_ngram_join, op2_language_id, op3_best_fit_packing, op4_template_decontamination, op5_license_scan,
                             op6_line_dedup, op7_quality_ranking,
-                            op8_fertility_rules, op9_toxicity, op10_recurrent_lm, op13_byte_bpe)}
+                            op8_fertility_rules, op9_toxicity, op10_recurrent_lm,
+                            op12_whitening, op13_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": """
         with d as (select doc_id, source, text, string_split(text, chr(10)) as parts from documents),
