@@ -45,4 +45,4 @@ def test_awkward_rows(spark, sf_dir):
 
 def test_registered():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert len(names) == 10 and "pipeline" in entry.queries()
+    assert len(names) == 13 and "pipeline" in entry.queries()
