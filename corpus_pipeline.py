@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.llm import decontamination, line_dedup, ngram_join, packing, toxicity
-from granary.llm.common import as_bytes, table
+from granary.llm.common import as_bytes, free_name, table
 from granary.session import stage
 
 #: No SQL can express stages that tokenise or learn; a brute-force version is in tests/llm.
@@ -16,14 +16,16 @@ ORACLE_SQL = None
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores below 0.5."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), 5, 0)
-    return docs.withColumn("__score", toxicity.predict(model, as_bytes("text"))).where("__score < 0.5").drop("__score")
+    return docs.where(toxicity.predict(model, as_bytes("text")) < 0.5)
 
 
 def remove_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand on ten sites or more; a document of which nothing is left goes."""
-    found = line_dedup.remove_boilerplate(docs.withColumnsRenamed({"lines_before": "__lines_before", "lines_removed": "__lines_removed"}))
+    # Its counts are called so whatever else the table has; columns of these names are put aside.
+    aside = {c: free_name(docs, f"aside_{c}") for c in ("lines_before", "lines_removed") if c in docs.columns}
+    found = line_dedup.remove_boilerplate(docs.withColumnsRenamed(aside))
     kept = found.where((F.col("lines_removed") == 0) | F.col("text").rlike(r"\S")).drop("lines_before", "lines_removed")
-    kept = kept.withColumnsRenamed({"__lines_before": "lines_before", "__lines_removed": "lines_removed"})
+    kept = kept.withColumnsRenamed({new: old for old, new in aside.items()})
     # n_chars tells the length of the text, where the table has it.
     return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)) if "n_chars" in kept.columns else kept
 
@@ -35,16 +37,16 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     stays. Rows with a null id all stay.
     """
     found = ngram_join.similar_documents(docs, 5, 80)
-    others = found.where(F.col("component") < F.col("doc_id")).select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.where("doc_id is not null").join(others, F.col("doc_id") == F.col("__id"), "left_anti")
+    others = found.where(F.col("component") < F.col("doc_id")).select("doc_id").distinct()
+    named, row = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").select(docs.columns), free_name(docs, "row")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return named.withColumn("__row", first).where("__row = 1").drop("__row").unionByName(docs.where("doc_id is null"))
+    return named.withColumn(row, first).where(F.col(row) == 1).drop(row).unionByName(docs.where("doc_id is null"))
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, in its own or another wording of its slots."""
-    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("__id")).distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("__id"), "left_anti")
+    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,10 @@ from granary.session import stage
 
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
-    """Let Spark hand texts to Python in batches of at most so many rows and bytes: a row may be a whole book."""
+    """Let Spark hand texts to Python in batches of at most so many rows and bytes: a row may be a whole book.
+
+    This stays set in the caller's session, since plans are run after they were made; results don't depend on it.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
@@ -29,6 +32,14 @@ def in_bucket(id_col: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(bucket(id_col, modulus) == remainder, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as a column of ``df`` is called so; Spark's names know no case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def as_bytes(column: str) -> Column:
     """UTF-8 bytes of a text column, so that words split at ASCII white space only."""
     return F.col(column).cast("binary")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.common import free_name
 from granary.session import stage
 
 
@@ -54,13 +55,14 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3,
     as they are (a null text has no lines). Of repeated ids each row is cleaned,
     of the lines that any of them loses.
     """
+    mine = free_name(docs, "keys")
     gone = stage(spread(docs, min_sites, min_words, id_col=id_col, text_col=text_col, site_col=site_col)
-                 .groupBy("id").agg(F.collect_set("key").alias("keys")), "removed").select(F.col("id").alias("__id"), F.col("keys").alias("__keys"))
+                 .groupBy(F.col("id").alias(id_col)).agg(F.collect_set("key").alias(mine)), "removed")
     lines = F.split(text_col, "\n")
-    kept = F.filter(lines, lambda x: ~(F.array_contains("__keys", line_key(x)) & long_enough(x, min_words)))
+    kept = F.filter(lines, lambda x: ~(F.array_contains(mine, line_key(x)) & long_enough(x, min_words)))
     # Lost lines are a share of the corpus: brought to the texts by a shuffle, at every size alike.
-    out = docs.join(gone.hint("merge"), docs[id_col] == gone["__id"], "left")
-    found = F.col("__keys").isNotNull()
+    out = docs.join(gone.hint("merge"), id_col, "left")
+    found = F.col(mine).isNotNull()
     columns = [F.when(found, F.array_join(kept, "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return out.select(*columns, F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("lines_before"),
                       F.when(found, F.size(lines) - F.size(kept)).otherwise(0).cast("long").alias("lines_removed"))

@@ -2,7 +2,7 @@ from collections import Counter
 
 import corpus_pipeline
 import __spark_entry__ as entry
-from tests.llm.cases import awkward, rows_of
+from tests.llm.cases import DOCS, awkward, rows_of
 from tests.llm.test_ngram_join import brute
 
 
@@ -33,14 +33,23 @@ def test_stages_one_by_one(spark, larger):
     assert rows_of(whole.select(columns)) == rows_of(state.select(columns))
 
 
-def test_awkward_rows(spark, sf_dir):
-    docs = awkward(spark).withColumn("lines_removed", awkward(spark).n_chars)
+def apply_all(spark, docs, sf_dir):
     for name, apply in corpus_pipeline.STAGES:
         before, docs = docs, corpus_pipeline.stage(apply(spark, docs, sf_dir), "stage")
         if name != "best-fit packing":
             assert docs.columns == before.columns
+    return docs
+
+
+def test_awkward_rows_with_clashing_columns(spark, sf_dir):
+    names = ("lines_removed", "lines_before", "aside_lines_before", "__id", "__score", "__row", "__keys", "id", "keys", "row", "_row", "score", "copy", "key", "item", "place")
+    docs = awkward(spark).selectExpr("*", *[f"n_chars as {name}" for name in names])
     # Copies 1 and 2 and the repeated row 7 are one document each; the rest stays, the null id too.
-    assert sorted({r.doc_id for r in docs.collect()}, key=str) == [1, 3, 4, 5, 6, 7, 8, None]
+    assert sorted({r.doc_id for r in apply_all(spark, docs, sf_dir).collect()}, key=str) == [1, 3, 4, 5, 6, 7, 8, None]
+
+
+def test_empty_table(spark, sf_dir):
+    assert apply_all(spark, spark.createDataFrame([], DOCS), sf_dir).collect() == []
 
 
 def test_registered():
