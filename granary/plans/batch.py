@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import time
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import partial
@@ -33,14 +33,15 @@ from granary.operators.scd2 import (
     stage_products,
 )
 from granary.operators.keys import run_of
-from granary.session import at_once, batch_folder, delete_path, put_in_place, recover, stage
+from granary.publish import Move, added_files, by_folder, publish, recover, roll_forward, whole
+from granary.session import at_once, batch_folder, delete_path, stage
 from granary.sinks.tables import (
     LoadResult,
     StagedFact,
     batch_name,
+    fact_moves,
     load_dimension,
     load_history,
-    publish_fact,
     read_table,
     stage_fact,
 )
@@ -86,6 +87,17 @@ class Warehouse:
     def table(self, table: str) -> DataFrame | None:
         return read_table(self.spark, self.path(table), table)
 
+    def recover(self) -> int:
+        """Finish a stopped publication, of a whole batch or of a single table; how many of whole batches there were.
+
+        Every batch begins with this. Call it where tables are read after a batch
+        that did not come to its end.
+        """
+        stopped = roll_forward(self.spark, self.root)
+        for table in schemas.TARGET_DDL:
+            recover(self.spark, self.path(table))
+        return stopped
+
     def next_run(self) -> int:
         """Number of the next run, one more than that of any run so far."""
         last = [
@@ -179,6 +191,7 @@ def run_batch(
     reject_rules: Sequence[tuple[str, Column]] = (),
     look_back: int = 0,
     normalize_nulls: bool = False,
+    before_rename: Callable[[str, str], None] | None = None,
 ) -> BatchResult:
     """Run one batch into the warehouse under ``root``.
 
@@ -200,7 +213,7 @@ def run_batch(
     with batch_folder(spark, batch_id):
         return _run(
             spark, source, root, batch_id, batch_date, batch_ts, full,
-            tables, dry_run, mode, open_first, max_unresolved, reject_rules, look_back, normalize_nulls,
+            tables, dry_run, mode, open_first, max_unresolved, reject_rules, look_back, normalize_nulls, before_rename,
         )
 
 
@@ -220,10 +233,10 @@ def _run(
     reject_rules: Sequence[tuple[str, Column]],
     look_back: int,
     normalize_nulls: bool,
+    before_rename: Callable[[str, str], None] | None,
 ) -> BatchResult:
     house = Warehouse(spark, root)
-    for table in schemas.TARGET_DDL:
-        recover(spark, house.path(table))
+    house.recover()
     run = house.next_run()
     staging = f"{house.root}/_staging/{batch_id}"
     delete_path(spark, staging)
@@ -380,11 +393,12 @@ def _run(
             loads.append(LoadResult("fact_transactions", staged.loaded, staged.refused, batch_id))
             read["fact_transactions"] = landed["FACT_TXN"]
 
-        # All is written and checked; from here on folders are only renamed.
+        moves: list[Move] = []
         for name in made:
-            put_in_place(spark, f"{staging}/{name}", house.path(name), by_folder=name in HISTORIES)
+            home = house.path(name)
+            moves += by_folder(spark, f"{staging}/{name}", home) if name in HISTORIES else whole(f"{staging}/{name}", home)
         if staged is not None:
-            publish_fact(spark, staged, house.path("fact_transactions"), house.path("quarantine_fact_transactions"))
+            moves += fact_moves(spark, staged, house.path("fact_transactions"), house.path("quarantine_fact_transactions"))
 
     rows = []
     for r in sorted(loads, key=lambda r: r.table):
@@ -395,8 +409,10 @@ def _run(
         ))
     audit = spark.createDataFrame(rows, schemas.target_schema("batch_audit"))
     if rows:
-        audit.withColumn("batch_date", F.lit(batch_date)).coalesce(1).write.mode("append").partitionBy(
-            "batch_date").parquet(house.path("batch_audit"))
+        audit.withColumn("batch_date", F.lit(batch_date)).coalesce(1).write.partitionBy("batch_date").parquet(f"{staging}/batch_audit")
+        # All is written and checked; from here on files are only renamed, the audit's last, and a stop is made good by recover().
+        moves += added_files(spark, f"{staging}/batch_audit", house.path("batch_audit"))
+        publish(spark, house.root, moves, before_rename)
     delete_path(spark, staging)
     return BatchResult(batch_id, loads, report, audit, reports)
 

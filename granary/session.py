@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
@@ -17,7 +17,8 @@ _marked: set[str] = set()
 _batch_folder: ContextVar[str | None] = ContextVar("batch_folder", default=None)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that knows it."""
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(context._jsc.hadoopConfiguration()), place
@@ -45,7 +46,7 @@ def _application_folder(spark: SparkSession) -> str:
     """This application's part of the shared folder; the driver's JVM deletes it when it ends."""
     folder = f"{shared_folder(spark)}/granary/{spark.sparkContext.applicationId}"
     if folder not in _marked:
-        files, place = _hadoop(spark, folder)
+        files, place = hadoop(spark, folder)
         files.mkdirs(place)
         files.deleteOnExit(place)
         _marked.add(folder)
@@ -84,12 +85,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, place = _hadoop(spark, path)
+    files, place = hadoop(spark, path)
     return files.exists(place)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    files, place = _hadoop(spark, path)
+    files, place = hadoop(spark, path)
     files.delete(place, True)
 
 
@@ -97,56 +98,3 @@ def at_once(*work: Callable[[], object], limit: int = 8) -> list:
     """Run independent steps side by side, so that small jobs do not wait for each other."""
     with ThreadPoolExecutor(max_workers=limit) as pool:
         return [f.result() for f in [pool.submit(copy_context().run, w) for w in work]]
-
-
-_ASIDE = "_old-"
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish what a stopped :func:`put_in_place` left: the old folder comes back where no new one stands."""
-    files, place = _hadoop(spark, path)
-    for parent, wanted in ((place.getParent(), lambda name: name == _ASIDE + place.getName()), (place, lambda name: name.startswith(_ASIDE))):
-        if not files.exists(parent):
-            continue
-        for status in files.listStatus(parent):
-            if wanted(status.getPath().getName()):
-                home = _child(spark, parent, status.getPath().getName().removeprefix(_ASIDE))
-                if files.exists(home):
-                    files.delete(status.getPath(), True)
-                else:
-                    files.rename(status.getPath(), home)
-
-
-def _child(spark: SparkSession, parent, name: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent, name)
-
-
-def put_in_place(spark: SparkSession, staged: str, path: str, by_folder: bool = False, emptied: Iterable[str] = ()) -> None:
-    """Publish what is written under ``staged``: as the whole of ``path``, or folder by folder.
-
-    The old folder is renamed aside, the new one renamed to its place, the old
-    one deleted; :func:`recover` repairs a stop in between. With ``by_folder``
-    the partition folders of ``staged`` replace those of the same name, and the
-    ``emptied`` ones go. Their number is that of the touched partitions.
-    """
-    files, place = _hadoop(spark, path)
-    _, source = _hadoop(spark, staged)
-
-    def swap(new, parent, name: str) -> None:
-        home, aside = _child(spark, parent, name), _child(spark, parent, _ASIDE + name)
-        files.mkdirs(parent)
-        if files.exists(home):
-            files.rename(home, aside)
-        if new is not None and not files.rename(new, home):
-            raise OSError(f"{new} can't be renamed to {home}")
-        files.delete(aside, True)
-
-    if not by_folder:
-        swap(source, place.getParent(), place.getName())
-        return
-    for status in files.listStatus(source):
-        if status.isDirectory() and "=" in status.getPath().getName():
-            swap(status.getPath(), place, status.getPath().getName())
-    for name in emptied:
-        swap(None, place, name)
-    files.delete(source, True)

@@ -7,6 +7,7 @@ scan, and exact when a lost executor makes tasks run again.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -19,7 +20,8 @@ from granary import schemas
 from granary.functions.clean import align, stamp
 from granary.operators.facts import quarantine_records, rejected_rows, valid_rows
 from granary.operators.keys import load_key, same_key
-from granary.session import delete_path, path_exists, put_in_place, scratch_path, stage
+from granary.publish import Move, by_folder, publish, put_in_place, recover, whole
+from granary.session import delete_path, path_exists, stage
 
 
 @dataclass(frozen=True)
@@ -125,9 +127,11 @@ def merge_into(
 
     A partition is touched if an update goes to it or a replaced row lies in it.
     Its values, at most one per folder, come to the driver, so that only those
-    folders are read, merged and staged; then they are written over, and a
-    folder whose last row moved elsewhere is deleted.
+    folders are read and merged. The result is written beside the table and then
+    published as a whole; a folder whose last row moved elsewhere goes. A call
+    that was stopped has changed nothing, or is finished by ``recover``.
     """
+    recover(spark, path)
     target = spark.read.parquet(path)
     updates = stage(updates, "merge-updates")
     replaced = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
@@ -136,14 +140,23 @@ def merge_into(
         F.col(partition).isin([v for v in touched if v is not None])
         | (F.col(partition).isNull() & F.lit(None in touched))
     )
-    merged = stage(merge_upsert(part, updates, keys), "merge-result")
-    filled = _values(merged, partition)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
-    ).parquet(path)
-    for value in set(touched) - set(filled):
-        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        delete_path(spark, f"{path}/{partition}={folder}")
+    staged = staging_beside(path)
+    merge_upsert(part, updates, keys).write.partitionBy(partition).parquet(staged)
+    gone = [f for f in {partition_folder(spark, partition, v) for v in touched} if not path_exists(spark, f"{staged}/{f}")]
+    put_in_place(spark, staged, path, partitions=True, emptied=gone)
+
+
+def partition_folder(spark: SparkSession, column: str, value: object) -> str:
+    """Name of the folder of a partition value, spelled as Spark's writers do."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    return f"{column}={spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"
+
+
+def staging_beside(path: str) -> str:
+    """A fresh folder beside a table, hidden from readers, that outlasts the session as its publication may have to."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staged-{name}-{uuid.uuid4().hex}"
 
 
 def _values(df: DataFrame, column: str) -> list:
@@ -298,14 +311,16 @@ def stage_fact(
     )
 
 
-def publish_fact(spark: SparkSession, staged: StagedFact, path: str, quarantine_path: str) -> None:
-    """Put staged folders in place of the stored ones; a table or folder that got no rows goes."""
+def fact_moves(spark: SparkSession, staged: StagedFact, path: str, quarantine_path: str) -> list[Move]:
+    """Staged folders in place of the stored ones; a table or folder that got no rows goes."""
+    moves = []
     for source, target, emptied in (
         (staged.fact, path, staged.emptied_days),
         (staged.quarantine, quarantine_path, staged.emptied_records),
     ):
-        kept = [f for f in emptied if not path_exists(spark, f"{source}/{f}")]
-        put_in_place(spark, source, target, by_folder=not staged.whole, emptied=kept)
+        gone = [f for f in emptied if not path_exists(spark, f"{source}/{f}")]
+        moves += whole(source, target) if staged.whole else by_folder(spark, source, target, gone)
+    return moves
 
 
 def load_fact(
@@ -318,9 +333,10 @@ def load_fact(
     window: tuple[dt.date, dt.date] | None = None,
 ) -> LoadResult:
     """Stage and publish a batch's facts, see :func:`stage_fact`."""
-    spark = flagged.sparkSession
-    staged = stage_fact(flagged, path, quarantine_path, scratch_path(spark, "load-fact"), run, batch_date, window)
-    publish_fact(spark, staged, path, quarantine_path)
+    spark, staging = flagged.sparkSession, staging_beside(path)
+    staged = stage_fact(flagged, path, quarantine_path, staging, run, batch_date, window)
+    publish(spark, path.rpartition("/")[0], fact_moves(spark, staged, path, quarantine_path))
+    delete_path(spark, staging)
     return LoadResult("fact_transactions", staged.loaded, staged.refused, batch_id)
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,101 @@ def split_predicates(column: str, lower: int, upper: int, parts: int) -> list[st
     return [first, *inner, f"{column} >= {cuts[-1]}"]
 
 
+@dataclass(frozen=True)
+class Depths:
+    """What is known of a split column: cuts that part its rows evenly, how often heavy values stand, nulls and all rows."""
+
+    cuts: tuple
+    heavy: dict
+    nulls: int
+    rows: int
+
+
+def depths(df: DataFrame, column: str, parts: int, accuracy: int = 1000) -> Depths:
+    """Quantiles of a split column by a mergeable sketch, and exact counts of the values that fill whole parts.
+
+    One pass for the quantiles, of which the driver gets ``parts`` - 1, and one
+    more only if some are equal. The column holds numbers, days or times; for
+    text the source is asked by :func:`depths_query`. A cut is off by at most a
+    share of 1 / (``accuracy`` * ``parts``) of the rows.
+    """
+    ranks = [i / parts for i in range(1, parts)]
+    one = df.agg(
+        F.count("*").alias("rows"), F.count_if(F.col(column).isNull()).alias("nulls"),
+        (F.percentile_approx(column, ranks, accuracy * parts) if ranks else F.array()).alias("cuts"),
+    ).first()
+    cuts = one.cuts or []
+    return _with_heavy(cuts, one.nulls, one.rows, lambda often: {
+        r[0]: r[1] for r in df.filter(F.col(column).isin(often)).groupBy(column).count().collect()
+    })
+
+
+def _with_heavy(cuts: Sequence, nulls: int, rows: int, count: Callable[[list], dict]) -> Depths:
+    often = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
+    return Depths(tuple(sorted(set(cuts))), count(often) if often else {}, nulls, rows)
+
+
+def even_predicates(column: str, found: Depths, parts: int, spread: str | None = None) -> list[str]:
+    """Conditions that cut a table into reads of about the same size, each row in exactly one.
+
+    A value that fills a part or more gets reads of its own, and so do nulls if
+    there are so many. ``spread`` is a source expression with ``{n}`` in it, that
+    deals the rows of one value into buckets 0 to n - 1, for instance
+    ``MOD(ORA_HASH(ROWID), {n})``; without it a heavy value is one read. The outer
+    reads are open, so that rows written meanwhile are not lost.
+    """
+    mean = max(1.0, found.rows / parts)
+
+    def dealt(condition: str, rows: int) -> list[str]:
+        n = max(1, round(rows / mean)) if spread else 1
+        return [condition] if n == 1 else [f"{condition} AND {spread.format(n=n)} = {i}" for i in range(n)]
+
+    out, low = [], ""
+    for cut in found.cuts:
+        value = _literal(cut)
+        between = " AND ".join(c for c in (low, f"{column} < {value}") if c)
+        out.append(between)
+        if cut in found.heavy:
+            out += dealt(f"{column} = {value}", found.heavy[cut])
+            low = f"{column} > {value}"
+        else:
+            low = f"{column} >= {value}"
+    # Without cuts this is one read of everything that is not null.
+    out.append(low or f"{column} IS NOT NULL")
+    if found.nulls >= mean:
+        return out + dealt(f"{column} IS NULL", found.nulls)
+    return [f"({out[0]}) OR {column} IS NULL", *out[1:]]
+
+
+def _literal(value: object) -> str:
+    """A value as source SQL: text and days in quotes, numbers as they are."""
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value}'"
+    return f"DATE '{value}'" if isinstance(value, dt.date) else str(value)
+
+
+def depths_query(query: str, column: str, parts: int) -> str:
+    """Least value, greatest value and rows of each of ``parts`` even parts of a split column, found by the source; part 0 has the nulls."""
+    return (
+        f"SELECT part, MIN({column}) AS low, MAX({column}) AS high, COUNT(*) AS part_rows FROM ("
+        f"SELECT {column}, CASE WHEN {column} IS NULL THEN 0 ELSE NTILE({parts}) OVER (ORDER BY {column}) END AS part FROM ({query}) q) p GROUP BY part"
+    )
+
+
+def depths_of(found: Sequence[tuple]) -> Depths:
+    """The rows of :func:`depths_query` as :func:`depths` gives them.
+
+    A value that begins several parts is heavy; its rows are those of the parts
+    that it fills, and at most one part's more.
+    """
+    ordered = sorted(r for r in found if r[0])
+    cuts = [r[1] for r in ordered[1:]]
+    nulls = sum(r[3] for r in found if not r[0])
+    return _with_heavy(cuts, nulls, sum(r[3] for r in found), lambda often: {v: sum(r[3] for r in ordered if r[1] <= v <= r[2]) for v in often})
+
+
 def split_sizes(df: DataFrame, predicates: list[str]) -> DataFrame:
     """Rows each split would read, all counted in one pass."""
     sizes = df.agg(*[F.count_if(F.expr(p)).alias(f"s{i}") for i, p in enumerate(predicates)])
@@ -180,13 +276,23 @@ def read_jdbc(
     text_dates: bool = False,
     custom_schema: str | None = None,
     bucket: str | None = None,
+    even: bool = False,
+    spread: str | None = None,
 ) -> DataFrame:
     """A source table as a frame read over ``partitions`` connections.
 
     A hash bucket has known bounds; for any other split column the source is
-    asked for them, and one row comes back.
+    asked for them, and one row comes back. With ``even`` it is asked for the
+    column's quantiles instead, and each connection reads about as many rows; a
+    heavy value is dealt out by ``spread``, see :func:`even_predicates`.
     """
     query = extract_query(table, partitions, watermark, batch_date, text_dates, bucket)
+    if even:
+        asked = jdbc_options(connection, depths_query(query, column, partitions))
+        found = depths_of([tuple(r) for r in spark.read.format("jdbc").options(**asked).load().collect()])
+        options = jdbc_options(connection, query, custom_schema=custom_schema)
+        place, what = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(place, what, predicates=even_predicates(column, found, partitions, spread), properties=options)
     bounds = (0, partitions - 1)
     if column != BUCKET_COLUMN:
         asked = jdbc_options(connection, bounds_query(query, column, bounds))

@@ -3,6 +3,7 @@ import glob
 import os
 from decimal import Decimal as D
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,7 +234,7 @@ def test_load_fact_again_replaces_its_window(spark, folder):
 
 
 def test_a_stopped_publication_is_repaired(spark, folder):
-    from granary.session import put_in_place, recover
+    from granary.publish import put_in_place, recover
 
     spark.range(3).write.parquet(f"{folder}/t")
     os.rename(f"{folder}/t", f"{folder}/_old-t")
@@ -262,3 +263,40 @@ def test_publish_swap(spark, folder):
 def test_table_counts(spark):
     out = sinks.table_counts({"b": spark.range(2), "a": spark.range(0)})
     assert [tuple(r) for r in out.collect()] == [("a", 0), ("b", 2)]
+
+
+SPREAD = "pmod(xxhash64(id), {n})"
+
+
+def check_even(df, found, rows):
+    predicates = extract.even_predicates("k", found, 10, SPREAD)
+    assert len(predicates) <= 22
+    sizes = [r.rows_in_split for r in extract.split_sizes(df, predicates).collect()]
+    hits = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+    assert sum(sizes) == rows and df.filter(hits != 1).count() == 0
+    assert max(sizes) <= max(1, 2 * rows / 10 + 2)
+
+
+@pytest.mark.parametrize("values", [
+    list(range(1000)), [7] * 400 + list(range(600)), [7] * 1000, [7] * 300 + [9] * 300 + [11] * 400, [None] * 500 + list(range(500)),
+    [k * k for k in range(1000)], [None] * 10, [5], [], [-3] * 200 + list(range(-400, 400)), [f"it's {k % 40}" for k in range(1000)],
+])
+def test_even_splits(spark, values):
+    """Each row is in one split, whatever the values; none has more than twice the mean where rows can be dealt out."""
+    kind = "string" if values and isinstance(values[0], str) else "long"
+    df = spark.createDataFrame(list(enumerate(values)), f"id long, k {kind}")
+    if kind != "string":
+        check_even(df, extract.depths(df, "k", 10), len(values))
+    # The same from what the source itself is asked.
+    con = duckdb.connect()
+    con.sql(f"create table t (id bigint, k {'varchar' if kind == 'string' else 'bigint'})")
+    if values:
+        con.executemany("insert into t values (?, ?)", list(enumerate(values)))
+    asked = extract.depths_of(con.sql(extract.depths_query("select * from t", "k", 10)).fetchall())
+    check_even(df, asked, len(values))
+
+
+def test_a_heavy_value_is_one_split_without_a_spread(spark):
+    df = spark.createDataFrame([(k, 7 if k < 500 else k) for k in range(1000)], "id long, k long")
+    predicates = extract.even_predicates("k", extract.depths(df, "k", 10), 10)
+    assert [p for p in predicates if p == "k = 7"] and max(r.rows_in_split for r in extract.split_sizes(df, predicates).collect()) == 500
