@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from granary import schemas
 from granary.functions.clean import Mapping, convert
+from granary.session import stage
 
 CRITICAL, WARNING, INFO = "CRITICAL", "WARNING", "INFO"
 
@@ -251,6 +252,55 @@ def reconcile(
     )
 
 
+def fingerprints(df: DataFrame, keys: Sequence[str], columns: Sequence[str], day: str, buckets: int) -> DataFrame:
+    """Count, sum and xor of the hashes of rows by day and key bucket: equal for equal rows in whatever order.
+
+    The sum tells repeated rows, which a xor alone would cancel. Tasks add up
+    their own rows first, so a hot day or key travels as one row a task.
+    """
+    values = [*keys, day, *columns]
+    # A hash passes over nulls: flags tell which columns they stand in.
+    own = F.xxhash64(*values, *[F.col(c).isNull() for c in values])
+    rows = df.select(F.col(day).alias("day"), _bucket(keys, buckets).alias("bucket"), own.alias("h"))
+    return rows.groupBy("day", "bucket").agg(
+        F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("total"), F.bit_xor("h").alias("xor")
+    )
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def differing_rows(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], day: str, buckets: int = 1024
+) -> DataFrame:
+    """Rows that one frame has more often than the other: keys, day, columns, ``in_source`` and ``in_target``.
+
+    Found also where counts and totals agree, as when two amounts are swapped.
+    Fingerprints are compared by day first and then by bucket; only rows of
+    buckets that differ are laid side by side, summed by all their columns, so
+    nothing is joined row by row and repeated rows and nulls count like others.
+    Values are compared in the types of ``source``.
+    """
+    values = [*keys, day, *columns]
+    kinds = {f.name: f.dataType for f in source.select(values).schema.fields}
+    sides = [source.select(values), target.select(*[F.col(c).cast(kinds[c]).alias(c) for c in values])]
+    marked = [
+        fingerprints(df, keys, columns, day, buckets).select("day", "bucket", (F.lit(sign) * F.col("n")).alias("n"), (F.lit(sign) * F.col("total")).alias("total"), "xor")
+        for df, sign in zip(sides, (1, -1), strict=True)
+    ]
+    gap = [F.sum("n").alias("n"), F.sum("total").alias("total"), F.bit_xor("xor").alias("xor")]
+    unequal = (F.col("n") != 0) | (F.col("total") != 0) | (F.col("xor") != 0)
+    cells = stage(marked[0].unionAll(marked[1]).groupBy("day", "bucket").agg(*gap).filter(unequal), "unequal")
+    both = []
+    for df, side in zip(sides, ("in_source", "in_target"), strict=True):
+        cell = (F.col(day).eqNullSafe(F.col("day_"))) & (_bucket(keys, buckets) == F.col("bucket_"))
+        rows = df.join(cells.select(F.col("day").alias("day_"), F.col("bucket").alias("bucket_")), cell, "left_semi")
+        both.append(rows.withColumn("side", F.lit(side)))
+    counts = [F.count_if(F.col("side") == side).alias(side) for side in ("in_source", "in_target")]
+    return both[0].unionByName(both[1]).groupBy(*values).agg(*counts).filter("in_source != in_target")
+
+
 def schema_checks(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Presence and type of every expected column, from the schema alone."""
     have = {f.name: f.dataType for f in df.schema.fields}

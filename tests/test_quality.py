@@ -1,3 +1,4 @@
+import datetime as dt
 from decimal import Decimal as D
 
 import pytest
@@ -143,3 +144,21 @@ def test_report(spark):
     assert tuple(q.report_frame(checks).first()) == (3, 1, 1, False)
     good = q.Report.collect("t", "b1", q.row_checks(df, [q.not_null("v")]))
     assert good.raise_for_failures().passed
+
+
+def test_differing_rows_are_found_one_by_one(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(f"T{k}", day + dt.timedelta(days=k % 3), D(k)) for k in range(200)]
+    frame = lambda r: spark.createDataFrame(r, "k string, d date, x decimal(18,4)")
+    found = lambda a, b, **more: sorted((r.k, r.x, r.in_source, r.in_target) for r in q.differing_rows(frame(a), frame(b), ["k"], ["x"], "d", **more).collect())
+    assert found(rows, rows[::-1]) == [] == found([], [])
+    swapped = [*rows[:4], ("T4", rows[4][1], D(7)), *rows[5:7], ("T7", rows[7][1], D(4)), *rows[8:]]
+    for buckets in (1, 7, 1024):
+        assert found(rows, swapped, buckets=buckets) == [("T4", D(4), 1, 0), ("T4", D(7), 0, 1), ("T7", D(4), 0, 1), ("T7", D(7), 1, 0)]
+    assert found(rows, [*rows, rows[3], rows[3]]) == [("T3", D(3), 1, 3)]  # a pair that a xor would cancel
+    assert found(rows, rows[1:]) == [("T0", D(0), 1, 0)]
+    moved = [("T0", day + dt.timedelta(days=1), D(0)), *rows[1:]]
+    assert found(rows, moved) == [("T0", D(0), 0, 1), ("T0", D(0), 1, 0)]
+    assert q.differing_rows(frame([(None, day, None)]), frame([(None, None, None)]), ["k"], ["x"], "d").count() == 2
+    assert q.differing_rows(frame([(None, None, None)]), frame([(None, None, None)]), ["k"], ["x"], "d").count() == 0
+    assert q.differing_rows(frame([("a", None, None)]), frame([(None, None, None)]), ["k"], ["x"], "d").count() == 2

@@ -270,6 +270,13 @@ def oracle_sql() -> dict[str, str]:
         "incremental_window": f"select TXN_ID, TXN_DT, NET_AMT from FACT_TXN where {_window('TXN_DT')}",
         "partition_bounds": "select coalesce(min(l_orderkey),0) lower_bound,"
         " coalesce(max(l_orderkey),20) upper_bound from lineitem",
+        "scan_splits_even": "select count(*) rows_read, true as even from lineitem",
+        "dq_reconcile_rows": """
+            select transaction_bk, txn_date, case when side = 1 then net_amount when transaction_bk = a then of_b else of_a end net_amount,
+              cast(side as bigint) in_source, cast(1 - side as bigint) in_target
+            from typed, (select min(transaction_bk) a, arg_min(net_amount, transaction_bk) of_a, max(transaction_bk) b,
+              arg_max(net_amount, transaction_bk) of_b from typed) e, (values (0), (1)) t(side)
+            where transaction_bk in (a, b) and of_a <> of_b""",
         "scan_splits": """
             select cast(split as int) split, count(l_orderkey) rows_in_split
             from (select unnest(range(20)) split) s
@@ -572,6 +579,7 @@ def oracle_sql() -> dict[str, str]:
             for kind in ("column_present", "column_type")
         ),
     }
+    bodies["batch_recovered"] = bodies["batch_rerun_fact"]
     unchanged = "(select * from settled where customer_bk not like '%7') s"
     for name in ("mart_monthly_revenue", "mart_monthly_revenue_eur"):
         bodies[f"{name}_current"] = bodies[name].replace("from settled", f"from {unchanged}")
