@@ -16,6 +16,8 @@ from granary.session import stage
 
 _SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 MEASURES = ("chars_per_token", "fallback_share", "token_entropy")
+#: How many quartile distances beyond the quartiles a measure may lie.
+FENCES = {"chars_per_token": 4.0, "fallback_share": 4.0, "entropy_gap": 3.0}
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 # First code point of ranges of scripts.
 _SCRIPTS = ((0x0041, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0590, "Hebrew"), (0x0600, "Arabic"),
@@ -103,51 +105,100 @@ def measure(text: Column, bytes_path: str, pieces_path: str) -> Column:
     return measured(text)
 
 
-def bands(measured: DataFrame, group: str, fence: float = 4.0, least: int = 30) -> DataFrame:
-    """For each group the band of every measure: quartiles widened by ``fence`` times their distance.
+def _length() -> Column:
+    """Octaves of a text's length in tokens, from 256 on."""
+    return F.log2(F.greatest(F.col("word_chars") / F.greatest("chars_per_token", F.lit(1e-9)), F.lit(1.0))) - 8
+
+
+def expected_entropy(sound: DataFrame, group: str, least: int) -> DataFrame:
+    """For each group the coefficients of a parabola: token entropy by length in octaves, least squares.
+
+    A long text has more different tokens than a short one, which hides those
+    that have too few or too many for their length. Groups give nine sums each;
+    a group with fewer than ``least`` documents gets the parabola of all, in the
+    row of the null group.
+    """
+    x, y = F.col("length"), F.col("token_entropy")
+    sums = [F.sum(x ** k).alias(f"x{k}") for k in range(5)] + [F.sum(y * x ** k).alias(f"y{k}") for k in range(3)]
+    rows = sound.withColumn("length", _length())
+    all_of_them = rows.agg(F.lit(None).cast("string").alias(group), *sums)
+
+    def solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for r in rows.itertuples():
+                moments = np.array([getattr(r, f"x{k}") for k in range(5)], float)
+                right = np.array([getattr(r, f"y{k}") for k in range(3)], float)
+                if np.isfinite(moments).all() and moments[0] > 0:
+                    left = np.array([moments[k:k + 3] for k in range(3)])
+                    out.append((getattr(r, group), *np.linalg.lstsq(left, right, rcond=1e-10)[0].tolist()))
+            yield pd.DataFrame(out, columns=[group, "c0", "c1", "c2"])
+
+    found = rows.groupBy(group).agg(*sums).where((F.col("x0") >= least) & F.col(group).isNotNull()).unionByName(all_of_them)
+    return found.mapInPandas(solved, f"{group} string, c0 double, c1 double, c2 double")
+
+
+def with_entropy_gap(measured: DataFrame, group: str, least: int = 30) -> DataFrame:
+    """``measured`` with ``entropy_gap``, the token entropy above or below what the group has at that length."""
+    curves = stage(expected_entropy(measured.where(~F.col("base_failed")), group, least), "entropy-curves")
+    names = ["c0", "c1", "c2"]
+    every = curves.where(F.col(group).isNull()).select(*[F.col(c).alias(f"all_{c}") for c in names])
+    both = measured.join(curves.where(F.col(group).isNotNull()), group, "left").join(F.broadcast(every), F.lit(True), "left")  # one row
+    c0, c1, c2 = (F.coalesce(c, f"all_{c}", F.lit(0.0)) for c in names)
+    x = _length()
+    return both.withColumn("entropy_gap", F.col("token_entropy") - (c0 + c1 * x + c2 * x * x)).select(*measured.columns, "entropy_gap")
+
+
+def bands(measured: DataFrame, group: str, fences: dict[str, float], least: int = 30, floor: float = 0.01) -> DataFrame:
+    """For each group the band of every measure: quartiles widened by its fence times their distance.
 
     Quartiles are mergeable sketches over all documents that pass the base rule.
     A group with fewer than ``least`` such documents gets the band of all. The
-    distance counts as at least 5 % of the median, so that equal values don't
-    make a band of no width.
+    distance counts as ``floor`` at least, so that equal values don't make a
+    band of no width.
     """
     def quartiles(frame):
         return frame.agg(F.count(F.lit(1)).alias("n_group"),
-                         *[F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"q_{m}") for m in MEASURES])
+                         *[F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"q_{m}") for m in fences])
 
     sound = measured.where(~F.col("base_failed"))
-    every = quartiles(sound).select(*[F.col(f"q_{m}").alias(f"all_{m}") for m in MEASURES])
+    every = quartiles(sound).select(*[F.col(f"q_{m}").alias(f"all_{m}") for m in fences])
     own = quartiles(sound.groupBy(group))
     out = measured.select(group).distinct().join(own, group, "left").join(F.broadcast(every))  # one row
-    for m in MEASURES:
+    for m, fence in fences.items():
         q = F.when(F.coalesce("n_group", F.lit(0)) >= least, F.col(f"q_{m}")).otherwise(F.col(f"all_{m}"))
-        room = fence * F.greatest(q[2] - q[0], 0.05 * F.abs(q[1]), F.lit(0.01))
+        room = fence * F.greatest(q[2] - q[0], F.lit(floor))
         out = out.withColumn(f"low_{m}", q[0] - room).withColumn(f"high_{m}", q[2] + room)
-    return out.select(group, *[f"{side}_{m}" for m in MEASURES for side in ("low", "high")])
+    return out.select(group, *[f"{side}_{m}" for m in fences for side in ("low", "high")])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          bytes_path: str | None = None, pieces_path: str | None = None, fence: float = 4.0, least_words: int = 50) -> DataFrame:
+          bytes_path: str | None = None, pieces_path: str | None = None, fences: dict[str, float] | None = None, least_words: int = 50) -> DataFrame:
     """Base counts, fertility and verdict of every row of ``docs``.
 
     A document with fewer than ``least_words`` words, or of which over half lie
-    in repeated 3-word windows, fails the base rule. The others are kept if each
-    measure lies in the band of their language (script where the language is
-    null). Measures are staged once, one short row a document, so that the bands
-    are those of all documents. Repeated rows are judged each; a null id stays null.
+    in repeated 3-word windows, fails the base rule. The others are kept if
+    characters per token, byte fallback and the entropy gap (token entropy
+    against that of other texts as long) lie in the bands of their language
+    (script where the language is null); ``fences`` tells how wide those are.
+    Measures are staged once, one short row a document, so that the bands are
+    those of all documents; the bands are staged, too, so that Spark broadcasts
+    them by their size and a language of many documents isn't one task.
+    Repeated rows are judged each; a null id stays null.
     """
     small_batches(docs.sparkSession)
+    fences = fences or FENCES
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        measure(as_bytes(text_col), bytes_path or vocabulary_path("byte_bpe_50k.tiktoken"),
                                pieces_path or vocabulary_path("piece_bpe_32k.model")).alias("m"))
     rows = rows.select("id", "lang", "m.*")
     rows = rows.withColumn("band", F.coalesce("lang", F.concat(F.lit("script "), "script"))).withColumn(
         "base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    rows = stage(rows, "fertility")
+    rows = with_entropy_gap(stage(rows, "fertility"), "band")
     within = F.lit(True)
-    for m in MEASURES:
+    for m in fences:
         within = within & F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}"))
-    return (rows.join(bands(rows, "band", fence), "band", "left")
+    return (rows.join(stage(bands(rows, "band", fences), "bands"), "band", "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True)))
             .withColumnRenamed("id", id_col)
-            .select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "script", *MEASURES))
+            .select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "script", *MEASURES, "entropy_gap"))
