@@ -35,6 +35,7 @@ from granary.operators.scd2 import (
 from granary.operators.keys import run_of
 from granary.publish import Move, added_files, by_folder, publish, recover, roll_forward, whole
 from granary.session import at_once, batch_folder, delete_path, stage
+from granary.sinks.key_index import find_transactions, last_run
 from granary.sinks.tables import (
     LoadResult,
     StagedFact,
@@ -100,13 +101,16 @@ class Warehouse:
 
     def next_run(self) -> int:
         """Number of the next run, one more than that of any run so far."""
-        last = [
-            t.agg(F.max(c)).first()[0]
-            for t, c in ((self.table("batch_audit"), F.col("run")), (self.table("fact_transactions"), run_of(F.col("transaction_sk"))))
-            if t is not None
-        ]
+        audit = self.table("batch_audit")
+        last = [audit.agg(F.max("run")).first()[0]] if audit is not None else []
+        last.append(last_run(self.spark, self.path("fact_transactions")))
         return max([n for n in last if n is not None], default=0) + 1
 
+    def find_transactions(self, keys: Sequence[str]) -> DataFrame:
+        """Facts with one of a few ``keys``, read from the folders of their days alone."""
+        path = self.path("fact_transactions")
+        return find_transactions(self.spark, path, read_table(self.spark, path, "fact_transactions"), keys)
+
     def tables(self) -> dict[str, DataFrame]:
         """All model tables loaded so far."""
         found = {t: self.table(t) for t in schemas.TARGET_DDL}
@@ -349,7 +353,9 @@ def _run(
         reason = "NO_VERSION" if mode == "asof" else "UNRESOLVED_FK"
         beyond = ~F.col("txn_date").between(*CALENDAR_LIMITS)
         flagged = stage(flag_rejects(fact, [("NO_CALENDAR_DAY", beyond), *reject_rules], reason), "fact")
-        calendar = made["dim_time"] = covering_calendar(spark, calendar, valid_rows(flagged))
+        grown = covering_calendar(spark, calendar, valid_rows(flagged))
+        if grown is not None:
+            calendar = made["dim_time"] = grown
         suite = quality.fact_suite(
             flagged,
             is_valid(),
@@ -417,13 +423,14 @@ def _run(
     return BatchResult(batch_id, loads, report, audit, reports)
 
 
-def covering_calendar(spark: SparkSession, stored: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """The calendar with whole years for all days of ``rows``; the usual range where those lie in it."""
-    ends = rows.agg(F.min("txn_date"), F.max("txn_date")).first()
+def covering_calendar(spark: SparkSession, stored: DataFrame | None, rows: DataFrame) -> DataFrame | None:
+    """The calendar with whole years for all days of ``rows``, the usual range at least; ``None`` if the stored one covers them."""
+    first, last = FIRST_DAY, LAST_DAY
     if stored is not None:
         first, last = stored.agg(F.min("full_date"), F.max("full_date")).first()
-    else:
-        first, last = FIRST_DAY, LAST_DAY
+    ends = rows.agg(F.min("txn_date"), F.max("txn_date")).first()
+    if stored is not None and (ends[0] is None or first <= ends[0] and ends[1] <= last):
+        return None
     first = min(first, dt.date(ends[0].year, 1, 1)) if ends[0] else first
     last = max(last, dt.date(ends[1].year, 12, 31)) if ends[1] else last
     return stage(dim_time(spark, first, last), "dim_time")

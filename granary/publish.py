@@ -38,19 +38,20 @@ def whole(staged: str, path: str) -> list[Move]:
 
 def by_folder(spark: SparkSession, staged: str, path: str, emptied: Iterable[str] = ()) -> list[Move]:
     """Staged partition folders in place of those of the same name, and the ``emptied`` ones away."""
-    return [Move(f"{path}/{name}", f"{staged}/{name}") for name in _names(spark, staged) if "=" in name] + [Move(f"{path}/{name}") for name in emptied]
+    return [Move(f"{path}/{name}", f"{staged}/{name}") for name in folder_names(spark, staged) if "=" in name] + [Move(f"{path}/{name}") for name in emptied]
 
 
 def added_files(spark: SparkSession, staged: str, path: str) -> list[Move]:
     """Files of staged partition folders beside those that the table has; their names are unique."""
     return [
         Move(f"{path}/{folder}/{name}", f"{staged}/{folder}/{name}")
-        for folder in _names(spark, staged) if "=" in folder
-        for name in _names(spark, f"{staged}/{folder}") if not name.startswith(("_", "."))
+        for folder in folder_names(spark, staged) if "=" in folder
+        for name in folder_names(spark, f"{staged}/{folder}") if not name.startswith(("_", "."))
     ]
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if it isn't there."""
     files, place = hadoop(spark, path)
     return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
@@ -123,7 +124,7 @@ def roll_forward(spark: SparkSession, root: str) -> int:
     A journal that was not finished itself is deleted: nothing was renamed yet.
     """
     files, _ = hadoop(spark, root)
-    found = [n for n in _names(spark, root) if n.startswith(_JOURNAL)]
+    found = [n for n in folder_names(spark, root) if n.startswith(_JOURNAL)]
     for name in found:
         if name.endswith(".json"):
             advance(spark, f"{root}/{name}")
@@ -151,7 +152,7 @@ def recover(spark: SparkSession, path: str) -> None:
     roll_forward(spark, parent)
     files, _ = hadoop(spark, path)
     for folder, wanted in ((parent, lambda name: name == _ASIDE + own), (path, lambda name: name.startswith(_ASIDE))):
-        for name in filter(wanted, _names(spark, folder)):
+        for name in filter(wanted, folder_names(spark, folder)):
             old, home = (hadoop(spark, f"{folder}/{n}")[1] for n in (name, name.removeprefix(_ASIDE)))
             if files.exists(home):
                 files.delete(old, True)

@@ -22,6 +22,7 @@ from granary.operators.facts import quarantine_records, rejected_rows, valid_row
 from granary.operators.keys import load_key, same_key
 from granary.publish import Move, by_folder, publish, put_in_place, recover, whole
 from granary.session import delete_path, path_exists, stage
+from granary.sinks.key_index import days_to_open, index_moves, stage_index, stored_days
 
 
 @dataclass(frozen=True)
@@ -205,7 +206,8 @@ class StagedFact:
     kept: DataFrame | None  # records of earlier batches written again
     fact: str
     quarantine: str
-    emptied_days: list[str]
+    staging: str
+    replaced_days: list[int]  # stored days whose folders go or are written anew
     emptied_records: list[str]
     whole: bool
 
@@ -246,7 +248,9 @@ def stage_fact(
     * everything else is left alone.
 
     So any sequence of batches holds what one full load would. Only folders of
-    days with a change are rewritten; their names come to the driver.
+    days with a change are rewritten; their names come to the driver. Stored days
+    are opened only where the key index says that they may hold a key of the
+    batch (see :mod:`granary.sinks.key_index`).
     """
     spark = flagged.sparkSession
     fact = _stored(spark, path, "fact_transactions", "time_sk") if window else None
@@ -254,7 +258,8 @@ def stage_fact(
     lo, hi = (int(f"{d:%Y%m%d}") for d in window) if window else (0, 0)
     winners, places = flagged, []
     if fact is not None:
-        outside = fact.filter((F.col("time_sk") < lo) | (F.col("time_sk") >= hi))
+        own = {d for d in stored_days(spark, path) if lo <= d < hi}
+        outside = fact.filter(F.col("time_sk").isin(days_to_open(flagged.select("transaction_bk"), path, own)))
         places.append(outside.select("transaction_bk", F.col("time_sk").alias("held"), F.lit(True).alias("loaded")))
     if held is not None:
         held = held.withColumn("_day", F.get_json_object("raw_data", "$.time_sk").try_cast("int"))
@@ -270,14 +275,11 @@ def stage_fact(
         winners = stage(winners, "winners")
 
     new = align(valid_rows(winners).withColumn("transaction_sk", load_key(run)), schemas.target_schema("fact_transactions"))
-    emptied_days: set[str] = set()
+    replaced_days: set[int] = set()
     if fact is not None:
-        days = replaced.filter("loaded").select(F.col("held").alias("time_sk")).distinct()
-        emptied_days = _folders(days, "time_sk") | _folders(
-            fact.filter((F.col("time_sk") >= lo) & (F.col("time_sk") < hi)).select("time_sk"), "time_sk"
-        )
-        touched = [int(f.split("=")[1]) for f in emptied_days]
-        stored = outside.filter(F.col("time_sk").isin(touched))
+        restated = set(_values(replaced.filter("loaded"), "held"))
+        replaced_days = restated | own
+        stored = outside.filter(F.col("time_sk").isin(sorted(restated)))
         gone = replaced.filter("loaded").select("transaction_bk")
         new = new.unionByName(align(stored.join(gone, "transaction_bk", "left_anti"), schemas.target_schema("fact_transactions")))
     write_clustered(
@@ -285,6 +287,9 @@ def stage_fact(
         partition="time_sk", whole=True, index=["transaction_bk"],
     )
 
+    written = spark.read.schema(schemas.target_schema("fact_transactions")).parquet(f"{staging}/fact")
+    stage_index(written, path, staging, replaced_days, window is None)
+
     records = align(quarantine_records(rejected_rows(winners)), schemas.target_schema("quarantine_fact_transactions"))
     records = records.withColumn("batch_date", F.lit(batch_date))
     emptied_records: set[str] = set()
@@ -307,15 +312,15 @@ def stage_fact(
     all_rows = flagged.count() if winners is not flagged else sums["loaded"] + sums["refused"]
     return StagedFact(
         sums["loaded"], sums["refused"], all_rows - sums["loaded"] - sums["refused"], sums["amount"], rest,
-        f"{staging}/fact", f"{staging}/quarantine", sorted(emptied_days), sorted(emptied_records), window is None,
+        f"{staging}/fact", f"{staging}/quarantine", staging, sorted(replaced_days), sorted(emptied_records), window is None,
     )
 
 
 def fact_moves(spark: SparkSession, staged: StagedFact, path: str, quarantine_path: str) -> list[Move]:
     """Staged folders in place of the stored ones; a table or folder that got no rows goes."""
-    moves = []
+    moves = index_moves(spark, path, staged.staging, staged.replaced_days, staged.whole)
     for source, target, emptied in (
-        (staged.fact, path, staged.emptied_days),
+        (staged.fact, path, [f"time_sk={d}" for d in staged.replaced_days]),
         (staged.quarantine, quarantine_path, staged.emptied_records),
     ):
         gone = [f for f in emptied if not path_exists(spark, f"{source}/{f}")]
