@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from granary.session import stage
+from pyspark.sql.types import ArrayType
 
 
 def _rank_top(counts: DataFrame, value: str, name: str, k: int) -> DataFrame:
@@ -19,33 +18,35 @@ def _rank_top(counts: DataFrame, value: str, name: str, k: int) -> DataFrame:
 
 
 def _rank_all(counts: DataFrame, value: str, name: str, buckets: int) -> DataFrame:
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = counts.agg(F.percentile_approx(value, cuts).alias("edges")).first()["edges"] or []
-    kind = counts.schema[value].dataType
-    edge_array = F.array(*[F.lit(e).cast(kind) for e in sorted(set(edges))])
-    bucketed = counts.withColumn(
-        "_bucket", F.size(F.filter(edge_array, lambda e: e > F.col(value)))
-    )
-    # Nulls compare with nothing; they rank last, as in a descending sort.
-    bucketed = bucketed.withColumn(
-        "_bucket", F.when(F.col(value).isNull(), F.lit(buckets)).otherwise(F.col("_bucket"))
-    )
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.sum("_n").alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    )
+    """Rank of each distinct value, as a plan: nothing is computed here.
+
+    Quantiles cut the values into ranges. They travel in one row together with
+    the rows in each range, so what is ranked inside a range is shifted by the
+    rows above that very range, even if quantiles come out otherwise when the
+    plan runs again.
+    """
+    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    none = F.array().cast(ArrayType(counts.schema[value].dataType))
+    edges = counts.agg(F.coalesce(F.array_distinct(F.percentile_approx(value, cuts)), none).alias("_edges"))
+
+    def placed(cut: DataFrame) -> DataFrame:
+        # Nulls compare with nothing; they rank last, as in a descending sort.
+        place = F.size(F.filter("_edges", lambda e: e > F.col(value)))
+        return counts.join(F.broadcast(cut)).withColumn("_bucket", F.when(F.col(value).isNull(), F.lit(buckets)).otherwise(place))
+
+    sizes = placed(edges).groupBy("_edges", "_bucket").agg(F.sum("_n").alias("_size"))
+    ranges = sizes.groupBy("_edges").agg(F.collect_list(F.struct("_bucket", "_size")).alias("_sizes"))  # at most a row a bucket
     above = (
         Window.partitionBy("_bucket")
         .orderBy(F.col(value).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        bucketed.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-        .join(F.broadcast(offsets), "_bucket")
-        .select(value, (F.col("_offset") + F.col("_above") + 1).alias(name))
+    before = F.aggregate(
+        F.filter("_sizes", lambda s: s["_bucket"] < F.col("_bucket")), F.lit(0).cast("long"), lambda n, s: n + s["_size"]
     )
+    return placed(ranges).select(
+        value, "_bucket", before.alias("_before"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
+    ).select(value, (F.col("_before") + F.col("_above") + 1).alias(name))
 
 
 def global_rank(
@@ -56,13 +57,15 @@ def global_rank(
     The ranked thing is the distinct value with its number of rows: a value
     shared by many rows is one row here. For ``top`` the best k values are
     enough. For the whole table the values are cut at their quantiles, ranked
-    inside each range, and shifted by the rows in the ranges above. ``df`` is
-    read more than once, so stage it first.
+    inside each range, and shifted by the rows in the ranges above. The result is
+    a plan, in which ``df`` stands more than once: stage it first, unless the
+    plan is to be kept as a view. ``value`` has to come out the same each time,
+    as exact numbers do.
     """
     counts = df.groupBy(value).agg(F.count("*").alias("_n"))
     if top is not None:
         ranks = F.broadcast(_rank_top(counts, value, name, top))
     else:
-        ranks = _rank_all(stage(counts, "rank-values"), value, name, buckets)
+        ranks = _rank_all(counts, value, name, buckets)
     ranks = ranks.withColumnRenamed(value, "_value")
     return df.join(ranks, df[value].eqNullSafe(ranks["_value"])).drop("_value")

@@ -161,6 +161,11 @@ def top_clients(tables: Tables, top: int | None = None, current_only: bool = Fal
     return global_rank(volumes, "total_volume_eur", "volume_rank", top)
 
 
+def ranked_clients(tables: Tables) -> DataFrame:
+    """The same for all clients as a mere plan, which sums the facts when it is run."""
+    return global_rank(_client_volumes(tables, current_only=False), "total_volume_eur", "volume_rank")
+
+
 def channel_analysis(tables: Tables) -> DataFrame:
     """Volume by quarter, channel, status and type."""
     return (
@@ -243,18 +248,25 @@ def channel_quarter(tables: Tables, year: int, quarter: int) -> DataFrame:
 # The names of the published views.
 VIEWS = {
     "V_MONTHLY_REVENUE_BY_COUNTRY": monthly_revenue,
-    "V_TOP_CLIENTS": top_clients,
+    "V_TOP_CLIENTS": ranked_clients,
     "V_CHANNEL_ANALYSIS": channel_analysis,
     "V_PIPELINE_QUALITY_KPI": quality_kpi,
 }
 
 
 def create_views(spark: SparkSession, tables: Tables) -> None:
-    """Offer tables and marts to SQL as temporary views.
+    """Offer tables and marts to SQL as temporary views; nothing is computed here.
 
-    Call it after each batch: the ranked clients are computed here.
+    Spark lists a table's files when it is first read: call :func:`refresh_views`
+    once they have changed, after a batch for instance.
     """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     for name, mart in VIEWS.items():
         mart(tables).createOrReplaceTempView(name)
+
+
+def refresh_views(spark: SparkSession, tables: Tables) -> None:
+    """Have the views list the files of their tables anew."""
+    for name in (*tables, *VIEWS):
+        spark.catalog.refreshTable(name)
