@@ -95,6 +95,9 @@ _CTE = {
     "restated_keys": """
         select r.*, c.customer_bk is null or p.product_bk is null unresolved from restated_until r
         left join customers c on r.CUST_ID=c.customer_bk left join products p on r.PROD_ID=p.product_bk""",
+    "stored_keys": f"""
+        select TXN_ID transaction_bk, {_time_sk.format("txn_date")} time_sk, NET_AMT net_amount
+        from restated_keys where txn_date is not null and not unresolved""",
     "top_clients": f"""
         select customer_bk, customer_name, customer_type, segment, country_name,
           count(*) nb_transactions, cast(sum(net_amount) as decimal(38,4)) total_volume_eur,
@@ -551,6 +554,20 @@ def oracle_sql() -> dict[str, str]:
         "batch_rerun_fact": f"""
             select TXN_ID transaction_bk, {_time_sk.format("txn_date")} time_sk, NET_AMT net_amount,
               cast(1 as bigint) rows_of_key from restated_keys where txn_date is not null and not unresolved""",
+        "fact_lookup": """
+            select * from stored_keys where transaction_bk in
+              ((select min(transaction_bk) from stored_keys), (select max(transaction_bk) from stored_keys))""",
+        "calendar_once": """
+            select cast(1 as bigint) run, cast(date_diff('day', least(date '2010-01-01', date_trunc('year', min(txn_date))),
+              greatest(date '2029-12-31', date_trunc('year', max(txn_date)) + interval 1 year - interval 1 day)) + 1 as bigint) rows_loaded
+            from restated_until where txn_date < date '2014-06-14'""",
+        "audit_single_file": " union all ".join(f"select cast({n} as bigint) run, cast(1 as bigint) files" for n in range(1, 6)),
+        "batch_subset": """
+            select 'dim_continent' table_name, count(*) rows_loaded from LKP_CONTINENT
+            union all select 'dim_country', count(*) from LKP_COUNTRY""",
+        "batch_dry_run": """
+            select 'LKP_CONTINENT' table_name, count(*) landed_rows, false stored from LKP_CONTINENT
+            union all select 'LKP_COUNTRY', count(*), false from LKP_COUNTRY""",
         "batch_rerun_quarantine": """
             select TXN_ID transaction_bk, array_to_string(list_filter([
                 case when unresolved then 'UNRESOLVED_FK' end, case when txn_date is null then 'MISSING:time_sk' end,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from granary.plans import marts
 from granary.plans.batch import Warehouse, run_batch, source_totals
 from granary.session import at_once, scratch_path, stage
 from granary.sinks import tables as sinks
+from granary.sinks.key_index import key_ranges
 from granary.sources import extract, landing
 from workload import source_tables as given
 
@@ -976,6 +977,14 @@ def batch_rerun_quarantine(spark, sf_dir):
     return records.select("transaction_bk", "quarantine_reason")
 
 
+@query
+def fact_lookup(spark, sf_dir):
+    """Two transactions of the same fact, found by the key index: only the folders of their days are opened."""
+    house = _rerun_house(spark, sf_dir)[0]
+    ends = key_ranges(spark, house.path("fact_transactions")).agg(F.min("first_key"), F.max("last_key")).first()
+    return house.find_transactions(list(ends)).select("transaction_bk", "time_sk", "net_amount")
+
+
 @query
 def batch_rerun_audit(spark, sf_dir):
     """The stored audit of the same batches: one row a run and table."""
@@ -983,6 +992,46 @@ def batch_rerun_audit(spark, sf_dir):
     return audit.filter("table_name = 'fact_transactions'").select("run", "batch_id", "rows_read")
 
 
+@query
+def calendar_once(spark, sf_dir):
+    """The runs of the same audit that wrote the calendar: the first, as it covers the days of the others."""
+    audit = _rerun_house(spark, sf_dir)[0].table("batch_audit")
+    return audit.filter("table_name = 'dim_time'").select("run", "rows_loaded")
+
+
+@query
+def audit_single_file(spark, sf_dir):
+    """Files that each run of the same audit is stored in."""
+    audit = spark.read.parquet(_rerun_house(spark, sf_dir)[0].path("batch_audit"))
+    return audit.groupBy("run").agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+
+
+def _geography_batch(spark, sf_dir, dry_run: bool):
+    """A batch of two of the source tables into an empty warehouse, and that."""
+    house, some = Warehouse(spark, scratch_path(spark, "geography")), ("LKP_CONTINENT", "LKP_COUNTRY")
+    source = given.sources(spark, sf_dir)
+    return run_batch(spark, source, house.root, BATCH_DATE, BATCH_TS, full=True, tables=some, dry_run=dry_run), house
+
+
+@query
+def batch_subset(spark, sf_dir):
+    """A batch limited to continents and countries: what it loaded, beside the calendar of the first batch."""
+    done, house = _geography_batch(spark, sf_dir, dry_run=False)
+    stored = [t.select(F.lit(n).alias("table_name")) for n, t in house.tables().items() if n.startswith("dim_") and n != "dim_time"]
+    return reduce(DataFrame.unionAll, stored).groupBy("table_name").agg(F.count("*").alias("rows_loaded"))
+
+
+@query
+def batch_dry_run(spark, sf_dir):
+    """The same batch as a dry run: the extracts are landed and checked, no table is stored."""
+    house = _geography_batch(spark, sf_dir, dry_run=True)[1]
+    landed = [
+        landing.read_landing(spark, landing.landing_path(house.root, t, BATCH_DATE), given.source(spark, sf_dir, t).schema)
+        .agg(F.lit(t).alias("table_name"), F.count("*").alias("landed_rows")) for t in ("LKP_CONTINENT", "LKP_COUNTRY")
+    ]
+    return reduce(DataFrame.unionAll, landed).withColumn("stored", F.lit(bool(house.tables())))
+
+
 @query
 def batch_reconciliation(spark, sf_dir):
     """The last batch against the source itself, over the window it read."""
