@@ -84,10 +84,13 @@ def assign_surrogate_keys(
 
 
 def fill_surrogate_keys(
-    df: DataFrame, keys: Sequence[str], sk: str, buckets: int = 1024
+    df: DataFrame, keys: Sequence[str], sk: str, buckets: int = 1024, highest: int = 0
 ) -> DataFrame:
-    """Number the rows of a staged frame whose ``sk`` is null, on from its highest key."""
-    highest = F.coalesce(df.agg(F.max(sk)).scalar(), F.lit(0))
+    """Number the rows of a staged frame whose ``sk`` is null, on from its highest key.
+
+    A frame that is a part of a table comes with the ``highest`` key of the table.
+    """
+    highest = F.greatest(df.agg(F.max(sk)).scalar(), F.lit(highest))
     fresh = df.filter(F.col(sk).isNull()).drop(sk)
     kept = df.filter(F.col(sk).isNotNull())
     return kept.unionByName(number_rows(fresh, keys, sk, highest, buckets, staged=True))

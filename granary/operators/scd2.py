@@ -153,15 +153,20 @@ def scd2_build(
     sk: str,
     batch_date: dt.date,
     batch_ts: dt.datetime,
+    highest: int = 0,
 ) -> DataFrame:
-    """The dimension after this extract, every version with its surrogate key."""
+    """The dimension after this extract, every version with its surrogate key.
+
+    ``existing`` may be a part of the stored dimension that holds all current
+    versions of the staged keys; ``highest`` is then the highest key of all of it.
+    """
     names = schemas.target_schema(table).names
     version = [*keys, "valid_from"]
     if existing is None:
         rows = scd2_initial(staged, table, batch_date, batch_ts).drop(sk)
         return number_rows(rows, version, sk).select(*names)
     rows = scd2_apply(existing, staged, table, keys, tracked, sk, batch_date, batch_ts)
-    return fill_surrogate_keys(stage(rows, table), version, sk).select(*names)
+    return fill_surrogate_keys(stage(rows, table), version, sk, highest=highest).select(*names)
 
 
 def asof_lookup(

@@ -33,18 +33,26 @@ from granary.operators.scd2 import (
     stage_products,
 )
 from granary.operators.keys import run_of
-from granary.publish import Move, added_files, by_folder, publish, recover, roll_forward, whole
+from granary.publish import Move, added_files, publish, recover, roll_forward, whole
 from granary.session import at_once, batch_folder, delete_path, stage
+from granary.sinks.day_sums import read_sums
 from granary.sinks.key_index import find_transactions, last_run
 from granary.sinks.tables import (
+    HISTORY_BUCKETS,
     LoadResult,
     StagedFact,
+    StoredHistory,
     batch_name,
     fact_moves,
+    history_buckets,
+    history_moves,
     load_dimension,
     load_history,
     read_table,
     stage_fact,
+    stage_top_key,
+    stored_history,
+    top_key_moves,
 )
 from granary.sources.extract import batch_window, in_window
 from granary.sources.landing import extract_id, landing_path, read_landing, stamp_extract, write_landing
@@ -58,7 +66,8 @@ WATERMARKS = {
     "FACT_TXN": "TXN_DT",
 }
 
-HISTORIES = ("dim_product", "dim_customer")
+# Dimensions that keep history, with their business key.
+HISTORIES = {"dim_product": "product_bk", "dim_customer": "customer_bk"}
 
 # Days beyond these are taken for wrong, and a row of such a day is refused.
 CALENDAR_LIMITS = (dt.date(1900, 1, 1), dt.date(2199, 12, 31))
@@ -116,6 +125,11 @@ class Warehouse:
         found = {t: self.table(t) for t in schemas.TARGET_DDL}
         return {t: df for t, df in found.items() if df is not None}
 
+    def with_sums(self) -> dict[str, DataFrame]:
+        """The same with the sums by day kept beside the fact, from which the marts by month and by channel are then read."""
+        sums = read_sums(self.spark, self.path("fact_transactions"))
+        return self.tables() | ({} if sums is None else {"fact_sums": sums})
+
 
 def source_totals(raw: DataFrame) -> DataFrame:
     """What the fact has to add up to: rows and net amount of the newest version of each key.
@@ -196,6 +210,7 @@ def run_batch(
     look_back: int = 0,
     normalize_nulls: bool = False,
     before_rename: Callable[[str, str], None] | None = None,
+    history_cut: int = HISTORY_BUCKETS,
 ) -> BatchResult:
     """Run one batch into the warehouse under ``root``.
 
@@ -206,7 +221,9 @@ def run_batch(
     are used as stored. ``dry_run`` stops after the checks. ``reject_rules``,
     pairs of a reason and a condition, send more rows to quarantine.
     ``normalize_nulls`` puts sentinels for nulls in the descriptive columns of
-    products and customers.
+    products and customers. ``history_cut`` is the number of buckets by key that
+    a new product or customer history is stored in: of a stored one a batch reads
+    and writes the buckets of its own keys alone.
 
     Everything is written beside the tables and checked there; a failed critical
     check raises before any table has changed. The calendar grows with the days
@@ -217,7 +234,7 @@ def run_batch(
     with batch_folder(spark, batch_id):
         return _run(
             spark, source, root, batch_id, batch_date, batch_ts, full,
-            tables, dry_run, mode, open_first, max_unresolved, reject_rules, look_back, normalize_nulls, before_rename,
+            tables, dry_run, mode, open_first, max_unresolved, reject_rules, look_back, normalize_nulls, before_rename, history_cut,
         )
 
 
@@ -238,6 +255,7 @@ def _run(
     look_back: int,
     normalize_nulls: bool,
     before_rename: Callable[[str, str], None] | None,
+    history_cut: int,
 ) -> BatchResult:
     house = Warehouse(spark, root)
     house.recover()
@@ -264,6 +282,7 @@ def _run(
 
     reports: list[quality.Report] = []
     made: dict[str, DataFrame] = {}
+    stored: dict[str, StoredHistory] = {}
     read: dict[str, Landed] = {}
 
     def known(table: str) -> DataFrame:
@@ -292,15 +311,13 @@ def _run(
     yesterday = batch_date - dt.timedelta(days=1)
 
     def history(name: str, staged: DataFrame, key: str, tracked: list[str], sk: str) -> None:
-        existing = house.table(name)
-        if existing is not None:
-            # The folders this batch may write: current versions, and those
-            # closed by it in an earlier run. The highest key is always among
-            # them, since closing a version opens one with a higher key.
-            existing = existing.filter(
-                F.col("valid_to").isNull() | (F.col("valid_to") == F.lit(yesterday))
-            )
-        built = scd2_build(existing, staged, name, [key], tracked, sk, batch_date, batch_ts)
+        existing, highest = house.table(name), 0
+        buckets = history_buckets(spark, house.path(name))
+        if buckets:  # only those of this batch's keys are read and written; a table without buckets is written as a whole
+            staged = stage(staged, f"{name}-delta")
+            stored[name] = stored_history(spark, house.path(name), name, key, sk, staged, buckets, yesterday)
+            existing, highest = stored[name].open, stored[name].highest
+        built = scd2_build(existing, staged, name, [key], tracked, sk, batch_date, batch_ts, highest)
         keep(name, name.upper(), built)
 
     def geography_and_customers() -> None:
@@ -337,14 +354,13 @@ def _run(
             first, last = raw("FACT_TXN").agg(F.min(day), F.max(day)).first()
 
         def versions(name: str) -> DataFrame:
-            """Versions for the fact: this batch's, and stored history where days matter."""
-            stored = house.table(name) if mode == "asof" else None
-            if stored is None or name not in made:
+            """Versions for the fact: what this batch wrote and what is stored beside it, history where days matter."""
+            if name not in stored:
                 return known(name)
-            older = stored.filter(
-                F.col("valid_to").isNotNull() & (F.col("valid_to") != F.lit(yesterday))
-            )
-            return older.unionByName(made[name])
+            stays = stored[name].stays
+            if mode != "asof":
+                stays = stays.filter(F.col("valid_to").isNull())
+            return stays.unionByName(made[name])
 
         fact = transform_fact(
             raw("FACT_TXN"), versions("dim_customer"), versions("dim_product"),
@@ -381,8 +397,15 @@ def _run(
 
         def write(name: str) -> LoadResult:
             began, index = time.monotonic(), LOOKUP_COLUMNS.get(name, [])
-            load = load_history if name in HISTORIES else load_dimension
-            done = load(made[name], f"{staging}/{name}", name, batch_id, batch_ts, index=index)
+            target = f"{staging}/{name}"
+            if name in HISTORIES:
+                cut, key = stored.get(name), HISTORIES[name]
+                done = load_history(
+                    made[name], target, name, key, batch_id, batch_ts, index, cut.buckets if cut else history_cut
+                )
+                stage_top_key(made[name], key.replace("_bk", "_sk"), cut.highest if cut else 0, target)
+            else:
+                done = load_dimension(made[name], target, name, batch_id, batch_ts, index=index)
             seconds[name] = time.monotonic() - began
             return done
 
@@ -402,7 +425,8 @@ def _run(
         moves: list[Move] = []
         for name in made:
             home = house.path(name)
-            moves += by_folder(spark, f"{staging}/{name}", home) if name in HISTORIES else whole(f"{staging}/{name}", home)
+            moves += history_moves(spark, f"{staging}/{name}", home) if name in stored else whole(f"{staging}/{name}", home)
+            moves += top_key_moves(f"{staging}/{name}", home) if name in HISTORIES else []
         if staged is not None:
             moves += fact_moves(spark, staged, house.path("fact_transactions"), house.path("quarantine_fact_transactions"))
 

@@ -11,17 +11,18 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions.clean import align, stamp
 from granary.operators.facts import quarantine_records, rejected_rows, valid_rows
-from granary.operators.keys import load_key, same_key
-from granary.publish import Move, by_folder, publish, put_in_place, recover, whole
-from granary.session import delete_path, path_exists, stage
+from granary.operators.keys import hash_bucket, load_key, same_key
+from granary.publish import Move, by_folder, folder_names, publish, put_in_place, recover, whole
+from granary.session import at_once, delete_path, path_exists, stage
+from granary.sinks.day_sums import stage_sums, sums_moves
 from granary.sinks.key_index import days_to_open, index_moves, stage_index, stored_days
 
 
@@ -89,29 +90,96 @@ def load_dimension(
     return LoadResult(table, rows, 0, batch_id)
 
 
+#: Buckets by key that a new history is stored in. A stored one keeps the number it has.
+HISTORY_BUCKETS = 64
+_BUCKET = "key_bucket"
+
+
+def key_bucket(key: str, buckets: int) -> Column:
+    """Bucket of a key in a stored history. Their number is part of the name, so the folders tell it."""
+    return F.concat(F.lit(f"{buckets}_"), hash_bucket([key], buckets).cast("string"))
+
+
 def load_history(
     df: DataFrame,
     path: str,
     table: str,
+    key: str,
     batch_id: str,
     batch_ts: dt.datetime,
     index: Sequence[str] = (),
+    buckets: int = HISTORY_BUCKETS,
 ) -> LoadResult:
-    """Write the versions a batch touched, in folders by the day they were closed.
+    """Write the versions a batch touched, in folders by closing day and bucket of ``key``.
 
-    Only the folders of ``df`` are replaced: that of the current versions and
-    that of the versions closed by this batch. Older history is not rewritten.
+    ``path`` is a staging folder, whose folders take the place of the stored ones
+    of the same day and bucket (:func:`history_moves`); the others are neither
+    read nor written. A large bucket is cut into several files.
     """
+    stamped = stamp_load(df, batch_id, batch_ts).withColumn(_BUCKET, key_bucket(key, buckets))
     rows = counted_write(
-        stamp_load(df, batch_id, batch_ts),
-        lambda d: with_equality_index(d.write.mode("overwrite"), index)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("valid_to")
-        .parquet(path),
+        stamped.hint("rebalance", "valid_to", _BUCKET),
+        lambda d: with_equality_index(d.write, index).partitionBy("valid_to", _BUCKET).parquet(path),
     )
     return LoadResult(table, rows, 0, batch_id)
 
 
+def history_moves(spark: SparkSession, staged: str, path: str) -> list[Move]:
+    """Staged folders of day and bucket in place of the stored ones. No row ever leaves a folder for good."""
+    return [m for day in folder_names(spark, staged) if "=" in day for m in by_folder(spark, f"{staged}/{day}", f"{path}/{day}")]
+
+
+@dataclass(frozen=True)
+class StoredHistory:
+    """A history as stored, cut into what a batch may change and what stays."""
+
+    open: DataFrame
+    stays: DataFrame
+    buckets: int
+    highest: int  # surrogate key of the whole table
+
+
+def history_buckets(spark: SparkSession, path: str) -> int | None:
+    """How many buckets a stored history has; ``None`` if there is none, or one without buckets."""
+    for day in folder_names(spark, path):
+        if day.startswith("valid_to="):
+            names = [n for n in folder_names(spark, f"{path}/{day}") if n.startswith(f"{_BUCKET}=")]
+            return int(names[0].partition("=")[2].partition("_")[0]) if names else None
+    return None
+
+
+def stored_history(
+    spark: SparkSession, path: str, table: str, key: str, sk: str, staged: DataFrame, buckets: int, closed: dt.date
+) -> StoredHistory:
+    """Cut a history of ``buckets`` at the keys of ``staged``, a small written frame.
+
+    A batch may change the current versions in the buckets of its keys, and those
+    ``closed`` on the day before it, by an earlier run of the same batch. Both
+    parts are chosen by folder. The names of the buckets come to the driver.
+    """
+    schema = schemas.target_schema(table)
+    rows = spark.read.schema(schemas.target_schema(table).add(_BUCKET, "string")).parquet(path)
+    touched = _values(staged.select(key_bucket(key, buckets).alias(_BUCKET)), _BUCKET)
+    mine = (F.col("valid_to").isNull() | (F.col("valid_to") == F.lit(closed))) & F.col(_BUCKET).isin(touched) if touched else F.lit(False)
+    beside = _top_key(path)
+    tops = spark.read.schema("highest long").parquet(beside) if path_exists(spark, beside) else rows.agg(F.max(sk).alias("highest"))
+    highest = tops.agg(F.max("highest")).first()[0] or 0
+    return StoredHistory(rows.filter(mine).select(*schema.names), rows.filter(~mine).select(*schema.names), buckets, highest)
+
+
+def _top_key(path: str) -> str:
+    return f"{path.rstrip('/')}_top_key"
+
+
+def stage_top_key(written: DataFrame, sk: str, before: int, staged: str) -> None:
+    """Write the highest surrogate key beside a staged history, so that no batch has to look for it."""
+    written.agg(F.greatest(F.max(sk), F.lit(before).cast("long")).alias("highest")).write.parquet(_top_key(staged))
+
+
+def top_key_moves(staged: str, path: str) -> list[Move]:
+    return whole(_top_key(staged), _top_key(path))
+
+
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` with the rows of ``updates`` put in place of those with the same key.
 
@@ -288,7 +356,8 @@ def stage_fact(
     )
 
     written = spark.read.schema(schemas.target_schema("fact_transactions")).parquet(f"{staging}/fact")
-    stage_index(written, path, staging, replaced_days, window is None)
+    beside = (path, staging, replaced_days, window is None)
+    at_once(partial(stage_index, written, *beside), partial(stage_sums, written, *beside))
 
     records = align(quarantine_records(rejected_rows(winners)), schemas.target_schema("quarantine_fact_transactions"))
     records = records.withColumn("batch_date", F.lit(batch_date))
@@ -318,7 +387,8 @@ def stage_fact(
 
 def fact_moves(spark: SparkSession, staged: StagedFact, path: str, quarantine_path: str) -> list[Move]:
     """Staged folders in place of the stored ones; a table or folder that got no rows goes."""
-    moves = index_moves(spark, path, staged.staging, staged.replaced_days, staged.whole)
+    beside = (spark, path, staged.staging, staged.replaced_days, staged.whole)
+    moves = index_moves(*beside) + sums_moves(*beside)
     for source, target, emptied in (
         (staged.fact, path, [f"time_sk={d}" for d in staged.replaced_days]),
         (staged.quarantine, quarantine_path, staged.emptied_records),

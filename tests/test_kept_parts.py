@@ -1,0 +1,133 @@
+"""What a batch leaves alone: buckets of histories, and months of the sums beside the fact."""
+
+import datetime as dt
+from decimal import Decimal as D
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from granary.plans import marts
+from granary.plans.batch import Warehouse, run_batch
+from granary.session import delete_path
+from granary.sinks import tables as sinks
+from granary.sinks.day_sums import day_sums, read_sums
+from helpers import DAY, TS, dicts, small_source, source, txn
+
+NEXT, NEXT_TS = dt.date(2024, 1, 3), dt.datetime(2024, 1, 3, 3)
+CUSTOMERS = ["LKP_CONTINENT", "LKP_COUNTRY", "LKP_REGION", "LKP_CITY", "DIM_CUSTOMER"]
+
+
+def customers(spark, *rows):
+    return small_source(spark) | {"DIM_CUSTOMER": source(spark, "DIM_CUSTOMER", list(rows))}
+
+
+def person(n, status="APPROVED", day=dt.date(2024, 1, 1)):
+    return (f"CU{n}", f"Name {n}", "RETAIL", 11, "GOLD", status, day)
+
+
+def files(root, table):
+    home = Path(root, "core", table)
+    return {str(f.relative_to(home)): f for f in home.rglob("*.parquet")}
+
+
+def spoil(found):
+    """Make files unreadable: whoever opens one fails. Gives what undoes it."""
+    kept = {f: f.read_bytes() for f in found} | {f.with_name(f".{f.name}.crc"): f.with_name(f".{f.name}.crc").read_bytes() for f in found}
+    for f in found:
+        f.write_bytes(b"not a table")
+        f.with_name(f".{f.name}.crc").unlink()
+    return lambda: [f.write_bytes(b) for f, b in kept.items()]
+
+
+VERSION = ["customer_bk", "kyc_status", "valid_from", "valid_to", "is_current"]
+
+
+@pytest.fixture
+def first(spark, folder):
+    run_batch(spark, customers(spark, *[person(n) for n in range(40)]), folder, DAY, TS, full=True, tables=CUSTOMERS, history_cut=16)
+    return folder
+
+
+def night(spark, root):
+    delta = customers(spark, person(7, "REVOKED", dt.date(2024, 1, 2)))
+    run_batch(spark, delta, root, NEXT, NEXT_TS, tables=["DIM_CUSTOMER"])
+
+
+def check_versions(spark, root):
+    table = Warehouse(spark, root).table("dim_customer")
+    old = [(f"CU{n}", "APPROVED", DAY, None, True) for n in range(40) if n != 7]
+    new = [("CU7", "APPROVED", DAY, dt.date(2024, 1, 2), False), ("CU7", "REVOKED", NEXT, None, True)]
+    assert dicts(table, *VERSION) == sorted(old + new, key=repr)
+    assert dicts(table.filter("customer_bk = 'CU7' and is_current"), "customer_sk") == [(41,)]
+    assert table.select("customer_sk").distinct().count() == 41
+
+
+def test_one_key_changes_one_bucket(spark, first):
+    """The other folders are neither read nor written, in the night and in its rerun."""
+    before = files(first, "dim_customer")
+    bucket = spark.range(1).select(F.lit("CU7").alias("k")).select(sinks.key_bucket("k", 16)).first()[0]
+    mine = {name for name in before if f"key_bucket={bucket}/" in name}
+    assert len({name.split("/")[1] for name in before}) > 8 and mine
+    undo = spoil([f for name, f in before.items() if name not in mine])
+    for _ in range(2):
+        night(spark, first)
+    undo()
+    after = files(first, "dim_customer")
+    assert {name for name in before if name not in after} == mine
+    assert {name.split("/")[1] for name in after if name not in before} == {f"key_bucket={bucket}"}
+    check_versions(spark, first)
+
+
+def test_a_history_without_buckets_is_cut_once(spark, first):
+    house = Warehouse(spark, first)
+    rows = house.table("dim_customer")
+    rows.write.partitionBy("valid_to").parquet(f"{first}/plain")
+    delete_path(spark, house.path("dim_customer"))
+    delete_path(spark, house.path("dim_customer_top_key"))
+    Path(first, "plain").rename(house.path("dim_customer"))
+    assert sinks.history_buckets(spark, house.path("dim_customer")) is None
+    night(spark, first)
+    assert sinks.history_buckets(spark, house.path("dim_customer")) == sinks.HISTORY_BUCKETS
+    check_versions(spark, first)
+
+
+def test_the_highest_key_is_found_without_its_table(spark, first):
+    delete_path(spark, Warehouse(spark, first).path("dim_customer_top_key"))
+    night(spark, first)
+    check_versions(spark, first)
+
+
+def test_a_delta_without_rows_touches_nothing(spark, first):
+    before = files(first, "dim_customer")
+    undo = spoil(before.values())
+    run_batch(spark, customers(spark), first, NEXT, NEXT_TS, tables=["DIM_CUSTOMER"])
+    undo()
+    assert set(files(first, "dim_customer")) == set(before)
+
+
+def test_sums_by_day_are_kept_up(spark, folder):
+    """Restated, refused and undated rows; a month that no row of the batch belongs to isn't read or written."""
+    def given(*rows):
+        return small_source(spark) | {"FACT_TXN": source(spark, "FACT_TXN", list(rows))}
+
+    def same():
+        house = Warehouse(spark, folder)
+        sums = read_sums(spark, house.path("fact_transactions"))
+        assert dicts(sums) == dicts(day_sums(house.table("fact_transactions")).select(*sums.columns))
+        for mart in (marts.monthly_revenue, marts.monthly_revenue_eur, marts.channel_analysis):
+            kept, plain = mart(house.with_sums()), mart(house.tables())
+            assert kept.schema.simpleString() == plain.schema.simpleString() and dicts(kept) == dicts(plain)
+
+    rows = [txn("T1"), txn("T2", day="20231130"), txn("T3", day="20231231", NET_AMT=D("7")), txn("T4", kind="SELL"), txn("B1", day="x")]
+    options = {"max_unresolved": 0.9}
+    run_batch(spark, given(*rows), folder, DAY, TS, full=True, **options)
+    same()
+    undo = spoil([f for name, f in files(folder, "fact_sums").items() if "key_month=202311/" in name])
+    rows += [txn("T3", day="20240102", NET_AMT=D("9")), txn("T5", day="20240102", cust="CU2", CHANNEL_CD=None), txn("T6", day="20240102", cust="NO")]
+    run_batch(spark, given(*rows), folder, NEXT, NEXT_TS, **options)
+    undo()
+    same()  # December has no row left
+    delete_path(spark, Warehouse(spark, folder).path("fact_sums"))
+    run_batch(spark, given(*rows), folder, NEXT, NEXT_TS, **options)
+    assert "fact_sums" not in Warehouse(spark, folder).with_sums()

@@ -98,6 +98,11 @@ _CTE = {
     "stored_keys": f"""
         select TXN_ID transaction_bk, {_time_sk.format("txn_date")} time_sk, NET_AMT net_amount
         from restated_keys where txn_date is not null and not unresolved""",
+    "restated_valid": """
+        select CUST_ID customer_bk, PROD_ID product_bk, txn_date, TXN_TYPE_CD transaction_type, STATUS_CD transaction_status,
+          CHANNEL_CD channel, NET_AMT net_amount, FEE_AMT fee_amount, QTY quantity, c.city_id,
+          cast(round(NET_AMT*FX_RATE_EUR, 4) as decimal(18,4)) amount_eur
+        from restated_keys join customers c on CUST_ID=c.customer_bk where txn_date is not null and not unresolved""",
     "top_clients": f"""
         select customer_bk, customer_name, customer_type, segment, country_name,
           count(*) nb_transactions, cast(sum(net_amount) as decimal(38,4)) total_volume_eur,
@@ -600,6 +605,10 @@ def oracle_sql() -> dict[str, str]:
     unchanged = "(select * from settled where customer_bk not like '%7') s"
     for name in ("mart_monthly_revenue", "mart_monthly_revenue_eur"):
         bodies[f"{name}_current"] = bodies[name].replace("from settled", f"from {unchanged}")
+    stored = "(" + _CTE["settled"].replace("from valid v", "from restated_valid v") + ") s"
+    for name in ("mart_monthly_revenue", "mart_monthly_revenue_eur"):
+        bodies[f"{name}_kept"] = bodies[name].replace("from settled", f"from {stored}")
+    bodies["mart_channel_kept"] = _CTE["channel"].replace("from valid", "from restated_valid")
     bodies["mart_monthly_revenue_history"] = bodies["mart_monthly_revenue"]
     bodies["mart_top_clients_history"] = bodies["mart_top_clients"]
     bodies["mart_top_clients_current"] = _CTE["top_clients"].replace("from settled", f"from {unchanged}")

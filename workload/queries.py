@@ -992,6 +992,24 @@ def batch_rerun_audit(spark, sf_dir):
     return audit.filter("table_name = 'fact_transactions'").select("run", "batch_id", "rows_read")
 
 
+@query
+def mart_monthly_revenue_kept(spark, sf_dir):
+    """Monthly revenue of the same warehouse from the sums by day that each batch kept up."""
+    return _exact(marts.monthly_revenue(_rerun_house(spark, sf_dir)[0].with_sums()))
+
+
+@query
+def mart_monthly_revenue_eur_kept(spark, sf_dir):
+    """The same in euro."""
+    return _exact(marts.monthly_revenue_eur(_rerun_house(spark, sf_dir)[0].with_sums()))
+
+
+@query
+def mart_channel_kept(spark, sf_dir):
+    """Channels of the same warehouse from the same sums."""
+    return _exact(marts.channel_analysis(_rerun_house(spark, sf_dir)[0].with_sums()))
+
+
 @query
 def calendar_once(spark, sf_dir):
     """The runs of the same audit that wrote the calendar: the first, as it covers the days of the others."""
