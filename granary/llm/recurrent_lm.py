@@ -274,13 +274,45 @@ def train(shape: Shape, p: dict[str, np.ndarray], docs: Iterable[np.ndarray], up
 
 
 def shards_for(train_tokens: int, least: int, rounds: int, shard_tokens: int) -> tuple[int, int]:
-    """Parts of the texts, and shards of each: a shard holds at most about ``shard_tokens``, however many tokens there are.
+    """Parts of the texts, one for each round, and shards of each, at least ``least``.
 
-    Each round takes a part of its own. Texts that few shards hold at once are
-    one part, which every round goes through.
+    A shard holds at most about ``shard_tokens``, however many tokens there are.
     """
-    parts = rounds if train_tokens > least * shard_tokens else 1
-    return parts, max(least, -(-train_tokens // (parts * shard_tokens)))
+    return rounds, max(least, -(-train_tokens // (rounds * shard_tokens)))
+
+
+def mean_weights(made: DataFrame, shards: int, fan: int = 64) -> tuple[int, np.ndarray | None]:
+    """Tokens of all shards, and the mean of their weights by tokens; ``None`` without tokens.
+
+    ``made`` has (shard, tokens, weights), the weights as bytes of float32. They are
+    added up in a tree: each step brings about ``fan`` of them to a task, which
+    holds one sum, until one row is left for the driver.
+    """
+    def scaled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return added(batches, lambda r: r.tokens * np.frombuffer(r.weights, np.float32).astype(np.float64))
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return added(batches, lambda r: np.frombuffer(r.weights, np.float64))
+
+    def added(batches: Iterator[pd.DataFrame], part: Callable) -> Iterator[pd.DataFrame]:
+        tokens, flat = 0, 0.0
+        for batch in batches:
+            for r in batch.itertuples():
+                tokens, flat = tokens + r.tokens, flat + part(r)
+        if tokens:
+            yield pd.DataFrame({"shard": [TaskContext.get().partitionId()], "tokens": [tokens], "weights": [flat.tobytes()]})
+
+    add = scaled
+    while True:
+        shards = -(-shards // fan)
+        # In order, so that a task that runs again adds up the same.
+        near = made.repartition(shards, "shard").sortWithinPartitions("shard") if shards > 1 else made.coalesce(1).sortWithinPartitions("shard")
+        made = stage(near.mapInPandas(add, "shard int, tokens long, weights binary"), "weight-sums")
+        add = summed
+        if shards == 1:
+            break
+    found = made.first()
+    return (found["tokens"], np.frombuffer(found["weights"], np.float64) / found["tokens"]) if found else (0, None)
 
 
 def train_shard(shape: Shape, p: dict[str, np.ndarray], docs: Iterator[np.ndarray], updates: int, rate: float,
@@ -336,8 +368,8 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
     Counts are of all training texts, and so is the network: they are dealt by hash
     to shards of about ``shard_tokens``, at least ``shards`` a round. Each of
     ``rounds`` rounds goes through a part of the shards, and the mean of their
-    weights by tokens goes into the next. Texts that ``shards`` shards hold are gone
-    through in every round, with at least ``updates`` steps a shard. The counts of the ``listed`` most frequent words
+    weights by tokens goes into the next. A shard makes at least ``updates`` steps,
+    through all its texts once or more. The counts of the ``listed`` most frequent words
     are sent to the tasks; those of the other words of each document are joined
     by word.
 
@@ -416,11 +448,9 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
         dealt = (training.where(F.col("part") == turn % parts).repartition(a_round, F.xxhash64("copy"))
                  .sortWithinPartitions(F.xxhash64("copy", F.lit("order")), "copy").select("codes"))
         made = stage(dealt.mapInPandas(local_training(spark.sparkContext.broadcast(p), turn), "shard int, tokens long, weights binary"), "weights")
-        total, flat = 0, 0.0
-        for r in made.orderBy("shard").toLocalIterator():  # one after the other: there are more, the more texts there are
-            total, flat = total + r["tokens"], flat + r["tokens"] * np.frombuffer(r["weights"], np.float32).astype(np.float64)
+        total, flat = mean_weights(made, a_round)
         if total:
-            flat, at = (flat / total).astype(np.float32), 0
+            flat, at = flat.astype(np.float32), 0
             for k in sorted(p):
                 p[k], at = flat[at:at + p[k].size].reshape(p[k].shape), at + p[k].size
     final = spark.sparkContext.broadcast(p)

@@ -128,3 +128,43 @@ def test_shards_grow_with_the_tokens(small):
         assert parts in (1, 4) and shards >= 6 and parts * shards * 4_000_000 >= tokens
     docs = [np.array([1, 2, 0] * 50, np.int32) for _ in range(40)]
     assert recurrent_lm.train_shard(shape, p, iter(docs), 3, 0.01, 0, ahead=1000)[1] == 6000  # far more than is held
+
+
+def test_weights_are_averaged_by_tokens(spark):
+    """In steps of three shards a task, down to one row; also of no shards."""
+    draw = np.random.default_rng(4)
+    rows = [(k, int(draw.integers(1, 99)), draw.normal(size=5).astype(np.float32)) for k in range(23)]
+    made = spark.createDataFrame([(k, n, w.tobytes()) for k, n, w in rows], "shard int, tokens long, weights binary")
+    total, mean = recurrent_lm.mean_weights(made, 23, fan=3)
+    assert total == sum(n for _, n, _ in rows)
+    assert np.allclose(mean, sum(n * w.astype(float) for _, n, w in rows) / total)
+    assert recurrent_lm.mean_weights(made.limit(0), 1) == (0, None)
+
+
+def test_scores_as_by_a_plain_loop(small):
+    """Every word's probability by the defining formulas, one word after the other."""
+    shape, p = small
+    draw = np.random.default_rng(5)
+    docs = [draw.integers(0, 11, n).astype(np.int32) for n in (0, 1, 9, 40)]
+
+    def sig(x):
+        return 1 / (1 + np.exp(-x))
+
+    def share(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    for doc, got in zip(docs, score(shape, p, docs, width=2, window=4), strict=True):
+        h, before, total = np.zeros(4), 11, 0.0
+        for word in doc:
+            x, u = p["x"][before].astype(float), p["u"].astype(float)
+            z = sig(x[:4] + h @ u[:, :4])
+            r = sig(x[4:8] + h @ u[:, 4:8])
+            n = np.tanh(x[8:] + r * (h @ u[:, 8:]))
+            h = (1 - z) * n + z * h
+            group = word // 4 if word < 8 else word - 8 + 2
+            total += math.log(share(h @ p["c"] + p["cb"])[group])
+            if word < 8:
+                total += math.log(share(h @ p["w"][group] + p["wb"][group])[word % 4])
+            before = word
+        assert math.isclose(got, total, rel_tol=1e-4, abs_tol=1e-4)
