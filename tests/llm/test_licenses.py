@@ -63,3 +63,57 @@ FULL = {
 def test_full_texts_at_any_wrapping(licence, width, mark):
     text = "Foo bar.\n\n" + "\n".join(mark + line for line in textwrap.wrap(FULL[licence], width)) + "\n\nimport this"
     assert scan(text)[0] == [licence]
+
+
+@pytest.mark.parametrize("text,licence", [
+    ("SPDX-License-Identifier: MIT", "MIT"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0-or-later"),
+    ("This project is released under the MIT License", "MIT"),
+    ("Licensed under the MIT license, see LICENSE for details.", "MIT"),
+    ("Code is licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Licensed under CC BY-SA 4.0 International", "CC-BY-SA-4.0"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\n"
+     "version 2.1 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY;", "LGPL-2.1-or-later"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this", "MPL-2.0"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "AGPL-3.0-or-later"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n"
+     'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING', "ISC"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Foo\n Everyone is permitted to copy and distribute verbatim copies\n"
+     " of this license document, but changing it is not allowed.", "GPL-2.0"),
+    ("This file is distributed under the terms of the GNU GPL v3.", "GPL-3.0"),
+    ("Released under GPLv2.", "GPL-2.0"),
+    ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ("Text: CC BY-NC-ND 3.0, it is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 3.0 Unported License", "CC-BY-NC-ND-3.0"),
+    ("It is available under the BSD 3-Clause licence.", "BSD-3-Clause"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+])
+def test_notices_not_taken_from_the_table(text, licence):
+    found = licenses.recognise_versions(f"Foo bar 7.\n{text}\nAnd so on.", licenses.Known(licenses.SENTENCES))
+    assert [m[1] for m in licenses.match_versions([f[0] for f in found], [f[3] for f in found], licenses.RULES)] == [licence]
+
+
+@pytest.mark.parametrize("text", [
+    "This is not licensed under the MIT License.", "He was released under MIT supervision.", "Trade is licensed under the act of 1990.",
+    "A licence to drive.", "under the MIT License", "SPDX-License-Identifier: none",
+])
+def test_texts_without_a_licence(text):
+    assert scan(text)[0] == []
+
+
+def test_several_versions_and_names():
+    text = "Licensed under the Apache License 2.0.\nOld parts are licensed under the Apache License, Version 1.1.\n// SPDX-License-Identifier: (MIT OR Apache-2.0)"
+    found = licenses.recognise_versions(text, licenses.Known(licenses.SENTENCES))
+    matched = licenses.match_versions([f[0] for f in found], [f[3] for f in found], licenses.RULES)
+    assert sorted(m[1] for m in matched) == ["Apache-1.1", "Apache-2.0", "MIT"]
+
+
+def test_whole_table_as_by_patterns(spark, larger):
+    """An independent matcher: one pattern a licence over the whole text, for the notices that the given documents hold."""
+    patterns = {"MIT": r"(?i)\breleased under the mit license\.", "Apache-2.0": r"(?i)\blicensed under the apache license, version 2\.0\.",
+                "GPL-3.0": r"(?i)\blicensed under the gnu general public license, version 3\.", "CC-BY-NC-4.0": r"(?i)\blicensed under cc by-nc 4\.0\.",
+                "Proprietary": r"(?im)(?:^|[.!?;:][ \t]+)all rights reserved\.?(?:$|[ \t])"}
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    rows = docs.select("doc_id", licenses.scan(F.col("text")).license_ids.alias("found"), *[F.col("text").rlike(p).alias(k) for k, p in patterns.items()]).collect()
+    assert all(set(r.found) == {k for k in patterns if r[k]} for r in rows)
+    assert sum(len(r.found) for r in rows) >= 40
