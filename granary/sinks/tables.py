@@ -23,6 +23,7 @@ from granary.operators.keys import hash_bucket, load_key, same_key
 from granary.publish import Move, by_folder, folder_names, publish, put_in_place, recover, whole
 from granary.session import at_once, delete_path, path_exists, stage
 from granary.sinks.day_sums import stage_sums, sums_moves
+from granary.sinks.interleave import with_interleaved_ranks
 from granary.sinks.key_index import days_to_open, index_moves, stage_index, stored_days
 
 
@@ -241,14 +242,21 @@ def write_clustered(
     whole: bool = False,
     index: Sequence[str] = (),
     files: int | None = None,
+    interleave: Sequence[str] = (),
 ) -> int:
     """Write ``df`` ordered by ``columns``, so that filters on them skip files and row groups.
 
     ``tie``, a column of many values, joins the range boundaries: where many
     rows share the same ``columns`` they are still cut into several parts. With
     ``partition`` the folders found in ``df`` are replaced and others stay,
-    unless the ``whole`` table is to be replaced.
+    unless the ``whole`` table is to be replaced. Below ``columns`` rows can be
+    ordered by several numeric columns at once, those to ``interleave``, at the
+    cost of one more aggregate over ``df``.
     """
+    names = df.columns
+    if interleave:
+        df = with_interleaved_ranks(df, interleave, "_interleaved")
+        columns = [*columns, "_interleaved"]
     bounds = [*columns, tie]
     ranged = df.repartitionByRange(files, *bounds) if files else df.repartitionByRange(*bounds)
 
@@ -260,7 +268,7 @@ def write_clustered(
             )
         writer.parquet(path)
 
-    return counted_write(ranged.sortWithinPartitions(*columns), write)
+    return counted_write(ranged.sortWithinPartitions(*columns).select(*names), write)
 
 
 @dataclass(frozen=True)

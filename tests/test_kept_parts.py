@@ -1,9 +1,10 @@
-"""What a batch leaves alone: buckets of histories, and months of the sums beside the fact."""
+"""What is left alone: buckets of histories and months of sums by a batch, files of an interleaved layout by a reader."""
 
 import datetime as dt
 from decimal import Decimal as D
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,26 @@ def test_sums_by_day_are_kept_up(spark, folder):
     delete_path(spark, Warehouse(spark, folder).path("fact_sums"))
     run_batch(spark, given(*rows), folder, NEXT, NEXT_TS, **options)
     assert "fact_sums" not in Warehouse(spark, folder).with_sums()
+
+
+def test_a_filter_on_either_column_skips_half_of_the_files(spark, folder):
+    """Also with a customer that has a third of the rows, with nulls, and with a column of one value."""
+    rows = spark.range(20_000).select(
+        F.col("id").cast("string").alias("bk"), F.lit(20240101).alias("day"), F.lit(1).alias("one"),
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).alias("customer"),
+        F.when(F.col("id") % 100 > 0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(300))).alias("product"),
+    )
+    interleave = ["customer", "product", "one"]
+    assert sinks.write_clustered(rows, f"{folder}/z", ["day"], "bk", files=32, interleave=interleave) == 20_000
+    back = spark.read.parquet(f"{folder}/z")
+    assert back.columns == rows.columns and back.exceptAll(rows).count() == 0
+    groups = []
+    for file in Path(folder, "z").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        groups += [meta.row_group(k) for k in range(meta.num_row_groups)]
+    for column, values in (("customer", (7, 250, 777, 990)), ("product", (0, 100, 200, 299))):
+        place = rows.columns.index(column)
+        ends = [(s.min, s.max) for s in (g.column(place).statistics for g in groups) if s.has_min_max]
+        for value in values:
+            assert 0 < sum(a <= value <= b for a, b in ends) <= len(groups) / 2
+    assert sinks.write_clustered(rows.limit(0), f"{folder}/none", ["day"], "bk", interleave=interleave) == 0

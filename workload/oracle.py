@@ -421,6 +421,8 @@ def oracle_sql() -> dict[str, str]:
         "clustered_range_read": f"""
             select transaction_bk, {_time_sk.format("txn_date")} time_sk, customer_bk, net_amount
             from typed where txn_date between date '2014-01-01' and date '2014-01-31'""",
+        "clustered_product_read": """
+            select transaction_bk, time_sk, net_amount from valid where product_bk = (select min(product_bk) from products)""",
         "point_lookup": f"""
             select transaction_bk, {_time_sk.format("txn_date")} time_sk, customer_bk, net_amount
             from typed where transaction_bk = (select max(transaction_bk) from typed)""",

@@ -658,6 +658,16 @@ def clustered_range_read(spark, sf_dir):
     )
 
 
+@query
+def clustered_product_read(spark, sf_dir):
+    """The facts of one product, from a layout by customer and product at once."""
+    tables, path = _star(spark, sf_dir), scratch_path(spark, "interleaved")
+    sinks.write_clustered(tables["fact_transactions"], path, [], tie="transaction_bk", interleave=["customer_sk", "product_sk"], files=16)
+    product = tables["dim_product"].agg(F.min_by("product_sk", "product_bk")).first()[0]
+    rows = spark.read.parquet(path).filter(F.col("product_sk") == product)
+    return rows.select("transaction_bk", "time_sk", "net_amount")
+
+
 @query
 def point_lookup(spark, sf_dir):
     """One transaction, found by its key."""
