@@ -12,7 +12,8 @@ UNITS = ("km", "cm", "mm", "m", "kg", "mg", "g", "lb", "lbs", "oz", "l", "ml", "
          "minute", "seconds", "second", "days", "day", "weeks", "years", "miles", "mile", "feet", "ft", "inches", "metres", "meters",
          "litres", "liters", "grams", "kilograms", "dollars", "euros", "cents", "usd", "eur", "percent", "mph", "kw", "w", "v", "hz", "gb", "mb")
 _CAPITALISED = r"\p{Lu}[\p{Lu}'’-]*\p{Ll}[\p{L}'’-]*"
-_RUN = rf"{_CAPITALISED}(?:\s+{_CAPITALISED})*"
+# Groups repeat possessively: Java's regex does that in a loop, else by a call deeper for each word, of which long runs have too many.
+_RUN = rf"{_CAPITALISED}(?:\s+{_CAPITALISED})*+"
 #: Capitalised words in a row, not all in capitals: after a word or comma (group 1), else as sentence opener (group 2).
 _NAME = rf"(?=\p{{Lu}})(?:(?<=[^.!?:\s]\s{{1,4}})({_RUN})|({_RUN}))"
 _OPEN, _OPENER, _CLOSE = "\ue000", "\ue002", "\ue001"  # private code points, which stand in no text
@@ -28,7 +29,7 @@ def raw_tokens(text: Column) -> Column:
     throughout; it is given between two marks, with a third one behind it, or
     before it if it begins a sentence. A quantity is a number with the unit after it.
     """
-    number = r"[0-9]+(?:[.,:/][0-9]+)*"
+    number = r"[0-9]+(?:[.,:/][0-9]+)*+"
     token = rf"{_OPEN}[^{_CLOSE}]*{_CLOSE}|{number}(?:\s?(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})\b|%)?|\p{{L}}+"
     return F.regexp_extract_all(F.regexp_replace(text, _NAME, f"{_OPEN}$1{_OPENER}$2{_CLOSE}"), F.lit(token), F.lit(0))
 

@@ -139,3 +139,10 @@ def test_edited_items_in_a_whole_table(spark, larger):
     frame = spark.createDataFrame(planted + docs, "doc_id long, text string")
     got = {(r.id, r.item) for r in decontamination.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == expected | before
+
+
+@pytest.mark.parametrize("unit", ["Ab ", "McDonald\n", "1,2,3/"])
+def test_long_runs_of_names_or_numbers(spark, unit):
+    """A run of any length is one token; matching it must not go a call deeper for each of its parts."""
+    ((doc, item, _, _, same),) = found(spark, FILLER + unit * 100_000 + ". " + ITEM)
+    assert (doc, item, same) == (1, 10, True)
