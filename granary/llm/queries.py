@@ -42,9 +42,9 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality_ranking.fit(docs, table(spark, sf_dir, "labels"), 4, 2)
-    return (docs.select("doc_id", in_bucket("doc_id", 4, 2).alias("held_out"), quality_ranking.predict(model, as_bytes("text")).alias("score"))
+    rows = quality_ranking.measured(table(spark, sf_dir, "documents"))
+    model = quality_ranking.fit_measured(rows, table(spark, sf_dir, "labels"), 4, 2)
+    return (rows.select(F.col("id").alias("doc_id"), in_bucket("id", 4, 2).alias("held_out"), quality_ranking.score(model, F.col("x")).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from granary.llm import language_id, quality_ranking, queries, toxicity
@@ -73,6 +74,34 @@ def test_pairs_learn_a_known_order():
     assert area(label, score) > 0.999 and abs((score < 0.7).mean() - (label == 0).mean()) < 0.01
 
 
+def test_every_pair_counts():
+    """Against a loop over all pairs: none is drawn."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(150, quality_ranking.N_FEATURES))
+    label = (x[:, 0] + 2 * draw.normal(size=len(x)) > 0.3).astype(int)
+    model = quality_ranking.fit_pairs(x, label, 0.7)
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    diff = (z[label == 1][:, None, :] - z[label == 0][None, :, :]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(diff @ w))
+        curve = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + 1e-3 * np.eye(len(w))
+        w = w + np.linalg.solve(curve, diff.T @ p / len(diff) - 1e-3 * w)
+    assert np.abs(model.weights - w).max() < 0.002 * np.abs(w).max()
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """More rows than any sample held, the tasks' sums the same as those of all rows in one place."""
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(25_000, quality_ranking.N_FEATURES)).round(3)
+    label = (x[:, 3] + draw.normal(size=len(x)) > 0).astype(int)
+    rows = spark.createDataFrame(pd.DataFrame({"id": range(len(x)), "x": x.tolist()}), "id long, x array<double>").repartition(5)
+    labels = spark.createDataFrame(pd.DataFrame({"doc_id": range(len(x)), "quality": label}), "doc_id long, quality int")
+    got, one = quality_ranking.fit_measured(rows, labels, 1, 1), quality_ranking.fit_pairs(x, label, 0.7)
+    assert np.allclose(got.mean, one.mean) and np.allclose(got.scale, one.scale) and np.allclose(got.weights, one.weights, rtol=1e-5, atol=1e-7)
+    assert abs(got.slope - one.slope) < 1e-5 and abs(got.cut - one.cut) < 1e-3
+
+
 def test_toxicity_of_held_out_documents(spark, larger):
     label, found = held_out(spark, larger, queries.op9_toxicity, "toxic")
     assert area(label, [r.score for r in found]) > 0.8
