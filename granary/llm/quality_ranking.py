@@ -220,8 +220,10 @@ def fit_measured(rows: DataFrame, labels: DataFrame, modulus: int, remainder: in
         for x, _ in arrays(batches):
             yield pd.DataFrame({"u": _scaled(x, mean, scale) @ w})
 
-    cut = known.mapInPandas(utilities, "u double").agg(F.percentile_approx("u", bad / n, 100_000)).first()[0]
-    return Model(mean, scale, w, 1.0 / max(1e-6, spread), float(cut))
+    # The quantile lies between the rows of these two ranks, as numpy has it.
+    ranks = [(bad - 0.5) / n, (bad + 0.5) / n]
+    below, above = known.mapInPandas(utilities, "u double").agg(F.percentile_approx("u", ranks, 100_000)).first()[0]
+    return Model(mean, scale, w, 1.0 / max(1e-6, spread), below + (1 - bad / n) * (above - below))
 
 
 def score(model: Model, x: Column, threshold: float = 0.7) -> Column:
