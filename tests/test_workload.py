@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from helpers import plan
+
 from granary.operators import quality
 from granary.operators.facts import type_transactions
 from workload import queries
@@ -21,3 +23,17 @@ def test_transactions_sent_again_hold_the_rules_of_a_batch(spark, folder):
     assert check.failed_rows == 0 and check.passed
     again = typed.filter("txn_date = date '2014-06-15'").select("transaction_bk", "net_amount", "gross_amount")
     assert [tuple(map(str, r)) for r in again.sort("transaction_bk").collect()] == [("1-1", "1001.0000", "1001.0000"), ("2-1", "1001.0000", "1081.0000")]
+
+
+def test_rows_are_worked_out_once_to_be_compared(spark, sf_dir):
+    """Both sides, their fingerprints and their ends read the newest versions as written, not from the source again."""
+    assert "l_orderkey" not in plan(queries.dq_reconcile_rows(spark, sf_dir))
+
+
+def test_a_clustered_table_is_worked_out_once(spark, sf_dir, monkeypatch):
+    """Ranks, boundaries and the write itself each read the whole frame."""
+    seen, write = [], queries.sinks.write_clustered
+    monkeypatch.setattr(queries.sinks, "write_clustered", lambda df, *args, **more: seen.append(plan(df)) or write(df, *args, **more))
+    queries.clustered_product_read(spark, sf_dir)
+    queries.point_lookup(spark, sf_dir)
+    assert len(seen) == 2 and not any("l_orderkey" in p for p in seen)

@@ -754,7 +754,7 @@ def dq_reconcile(spark, sf_dir):
 @query
 def dq_reconcile_rows(spark, sf_dir):
     """Newest versions against the same with two amounts swapped: counts and totals agree, the rows are found."""
-    source = _latest(spark, sf_dir).select("transaction_bk", "txn_date", "net_amount")
+    source = stage(_latest(spark, sf_dir).select("transaction_bk", "txn_date", "net_amount"), "latest")
     key, amount = F.col("transaction_bk"), F.col("net_amount")
     ends = source.agg(F.min(key).alias("a"), F.min_by(amount, key).alias("of_a"), F.max(key).alias("b"), F.max_by(amount, key).alias("of_b")).first()
     swapped = F.when(key == ends.a, F.lit(ends.of_b)).when(key == ends.b, F.lit(ends.of_a)).otherwise(amount)
