@@ -203,14 +203,16 @@ def fit_measured(rows: DataFrame, labels: DataFrame, modulus: int, remainder: in
             label, at = np.nonzero(sums[:, :, 0])
             yield pd.DataFrame({"label": label, "bin": at, "sums": [*sums[label, at]]})
 
-        def added(some: pd.DataFrame) -> pd.DataFrame:
+        def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # In order of size, so that the order in which tasks end makes no difference.
+            some = pd.concat([pd.DataFrame(columns=["label", "bin", "sums"]), *batches])
             totals = [(*at, np.sort(np.stack(one["sums"].to_list()), axis=0).sum(axis=0)) for at, one in some.groupby(["label", "bin"])]
-            return pd.DataFrame(totals, columns=["label", "bin", "sums"])
+            yield pd.DataFrame(totals, columns=["label", "bin", "sums"])
 
         kind = "label int, bin int, sums array<double>"
         out = np.zeros((2, 2 * _BINS, _WIDTH))
-        for r in known.mapInPandas(part, kind).groupBy(F.col("bin") % 32).applyInPandas(added, kind).toLocalIterator():
+        # However many partitions the shuffle has, few Python workers add them up.
+        for r in known.mapInPandas(part, kind).repartition("bin").coalesce(16).mapInPandas(added, kind).collect():
             out[r.label, r.bin] = r.sums
         return out
 
