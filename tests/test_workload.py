@@ -1,6 +1,7 @@
 """Source rows that the queries make up from the given tables."""
 
 import datetime as dt
+import threading
 
 from helpers import plan
 
@@ -37,3 +38,16 @@ def test_a_clustered_table_is_worked_out_once(spark, sf_dir, monkeypatch):
     queries.clustered_product_read(spark, sf_dir)
     queries.point_lookup(spark, sf_dir)
     assert len(seen) == 2 and not any("l_orderkey" in p for p in seen)
+
+
+def test_the_suite_writes_the_fact_and_the_source_totals_side_by_side(spark, sf_dir, monkeypatch):
+    """Each waits for the other to begin: one after the other would break the barrier."""
+    both, write = threading.Barrier(2, timeout=30), queries.stage
+
+    def meeting(df, name):
+        if name in ("fact", "source-totals"):
+            both.wait()
+        return write(df, name)
+
+    monkeypatch.setattr(queries, "stage", meeting)
+    assert queries._suite(spark, sf_dir).count() == 17

@@ -771,14 +771,17 @@ def dq_single_pass(spark, sf_dir):
 
 def _suite(spark, sf_dir) -> DataFrame:
     tables = _facts(spark, sf_dir, "dim_time")
-    flagged = stage(facts.flag_rejects(tables["fact_transactions"]), "fact")
+    flagged, totals = at_once(
+        lambda: stage(facts.flag_rejects(tables["fact_transactions"]), "fact"),
+        lambda: stage(source_totals(given.source(spark, sf_dir, "FACT_TXN")), "source-totals"),
+    )
     return quality.fact_suite(
         flagged,
         facts.is_valid(),
         tables["dim_customer"],
         tables["dim_product"],
         tables["dim_time"],
-        stage(source_totals(given.source(spark, sf_dir, "FACT_TXN")), "source-totals"),
+        totals,
     )
 
 
