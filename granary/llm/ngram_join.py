@@ -64,10 +64,16 @@ def token_counts(rows: DataFrame, width: int, bits: int) -> np.ndarray:
     texts share lifts its bucket above the others, and so comes late in the order.
     """
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << bits, np.int64)
+        total, held, n = np.zeros(1 << bits, np.int64), [], 0
         for batch in batches:
             for text in batch["text"]:
-                total += np.bincount((shingles(text, width) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                held.append((shingles(text, width) >> np.uint64(64 - bits)).astype(np.int64))
+                n += len(held[-1])
+                if n >= 1 << bits:  # a count goes through all buckets, so short texts are counted together
+                    total += np.bincount(np.concatenate(held), minlength=1 << bits)
+                    held, n = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at, "n": total[at]})
 
@@ -238,7 +244,8 @@ def similar_documents(docs: DataFrame, width: int, percent: int, bits: int = 18,
     them. A row with a null id has its n_shingles and a null component, and links
     nothing.
     """
-    small_batches(docs.sparkSession)
+    # A row brings two texts and two sets, and what a worker has held once stays with it while the joins run.
+    small_batches(docs.sparkSession, 250, "4m")
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).cast("string").alias("id"), as_bytes(text_col).alias("text"))
     signed = stage(signatures(rows, width, percent, bits).withColumn("id", F.col("id").cast(kind)), "signatures")

@@ -152,7 +152,7 @@ class Scanner:
         out[6] = min(1.0, len(exact) / len(words))
 
 
-def learn_terms(rows: DataFrame, least_docs: int = 3, least_odds: float = 2.5, most: int = 4096) -> dict[str, float]:
+def learn_terms(rows: DataFrame, least_docs: int = 3, least_odds: float = 2.5, most: int = 4096, held: int = 100_000) -> dict[str, float]:
     """Words that documents with label 1 hold far more often than others, weighted by log odds.
 
     A document counts by the smallest hash of its 3-word shingles, so that a
@@ -167,7 +167,7 @@ def learn_terms(rows: DataFrame, least_docs: int = 3, least_odds: float = 2.5, m
                 if words:
                     shape = min(_hash(b" ".join(words[k:k + 3])) for k in range(max(1, len(words) - 2)))
                     found.update((normal(w), shape, label) for w in set(words))
-                if len(found) > 500_000:
+                if len(found) > held:
                     yield rows_of(found)
                     found.clear()
             yield rows_of(found)

@@ -151,3 +151,11 @@ def test_models_on_awkward_rows(spark):
 def test_a_null_id_is_not_held_out(spark):
     docs = spark.createDataFrame([(None,), (1,)], "doc_id long")
     assert {r.doc_id: r.h for r in docs.select("doc_id", in_bucket("doc_id", 3, 1).alias("h")).collect()}[None] is False
+
+
+def test_terms_do_not_depend_on_how_many_words_a_task_holds(spark):
+    """A word of the same texts that is handed on twice counts once."""
+    rows = [(k, int(k % 2), f"{'vile ugly' if k % 2 else 'fine day'} number {k % 7} of {k}") for k in range(60)]
+    frame = spark.createDataFrame(rows, "id long, label int, text string")
+    few, all_at_once = (toxicity.learn_terms(frame, held=n) for n in (1, 1_000_000))
+    assert few == all_at_once and {"vile", "ugly"} <= set(few)

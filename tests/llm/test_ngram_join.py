@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,13 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 100 for k in range(100, 161)} | {k: 1 for k in [*range(1, 60), 500]}
     assert connected_components(spark.createDataFrame([], "a long, b long")).where(F.lit(True)).collect() == []
+
+
+def test_shingles_are_counted_text_by_text_and_together(spark):
+    """Short texts share a count; the counts are those of each by itself, and texts reach the workers in small batches."""
+    docs = spark.createDataFrame(mixed_docs(5, 300) + [(1000, None), (1001, "")], "doc_id long, text string").select(F.col("text").cast("binary").alias("text"))
+    found = ngram_join.token_counts(docs, 4, 6)
+    wanted = sum(np.bincount((ngram_join.shingles(bytes(r.text) if r.text else None, 4) >> np.uint64(58)).astype(np.int64), minlength=64) for r in docs.collect())
+    assert found.tolist() == wanted.tolist() and found.sum() > 64
+    ngram_join.similar_documents(spark.createDataFrame(mixed_docs(6, 20), "doc_id long, text string"), 4, 85)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "250"
