@@ -50,8 +50,8 @@ def pieces(docs: DataFrame, size: int = 2048, end: int = 0, path: str | None = N
         table = once_a_worker(("word_bpe", place), lambda: TokenTable(place))
         last = np.array([end], "<u4").tobytes()
         for whole_batch in batches:
-            for first in range(0, len(whole_batch), 250):
-                batch, rows = whole_batch.iloc[first:first + 250], []
+            for first in range(0, len(whole_batch), 500):
+                batch, rows = whole_batch.iloc[first:first + 500], []
                 found = table.ids([t if isinstance(t, bytes) else b"" for t in batch["text"]])
                 for doc, copy, ids in zip(batch["id"], batch["copy"], found, strict=True):
                     rows += [(doc, copy, *p) for p in cut(ids + last, size)]

@@ -76,45 +76,88 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-_LETTERS = re.compile(r"[^\W\d_]+")
-_STOPPED = re.compile(rb"(.*[a-z])([.,])", re.DOTALL)
+_MARKS = frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+_STOPPED = re.compile(rb"(.*[a-z\x80-\xff])([!-/:-@\[-`{-~]+)", re.DOTALL)
+
+
+def _stem_and_marks(word: bytes) -> tuple[bytes, bytes] | None:
+    """A word cut before the ASCII marks at its end, if a letter comes before them; marks after a letter are a token run of their own."""
+    found = _STOPPED.fullmatch(word) if word[-1] in _MARKS and b"<|" not in word else None
+    if found is None:
+        return None
+    stem, marks = found.groups()
+    if stem[-1] >= 0x80:
+        last = stem[-4:].decode("utf-8", "replace")[-1]
+        if not (last.lower().isalpha() and last < "\u0590"):  # Latin, Greek, Cyrillic: letters to every Unicode version
+            return None
+    return stem, marks
+
+
+# Byte-level vocabularies write each byte as a letter: these bytes as themselves, the others as letters from U+0100 on.
+_SELVES = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SELVES)}
+
+
+def _letters(text: str) -> str | None:
+    """A word of Latin letters as the vocabulary has it, in lower case and by bytes; ``None`` for any other.
+
+    Below U+0250 nothing is composed anew, and lower case knows no context.
+    """
+    if text.isascii():
+        return text.lower() if text.isalpha() else None
+    if not max(text) < "\u0250" or not (lower := text.lower()).isalpha():
+        return None
+    return lower.encode().decode("latin-1").translate(_BYTE_LETTERS)
 
 
 def word_bpe(path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Token ids of each of many words, as little-endian unsigned 32-bit numbers.
 
     The vocabulary's pre-tokenizer ends a token at white space, so a text's ids
-    are those of its words one after the other. Words of letters only are given
-    to the tokenizer as one text, which is faster: each ends with its only token
-    that ends a word. A stop or comma after a letter is a token of its own.
+    are those of its words one after the other. Words of Latin letters only need
+    none of the rules for splitting: they are given to the vocabulary's own merges
+    as one text, which is faster: each ends with its only token that ends a word.
+    Marks at a word's end are tokens of their own, which are looked up apart from
+    what stands before them.
     """
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
+    merges = Tokenizer(tokenizer.model)
+    merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
     ends_word = np.zeros(tokenizer.get_vocab_size() + 1, bool)
     ends_word[[k for token, k in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [f.ids for f in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(texts: list[str], by: Tokenizer = tokenizer) -> list[list[int]]:
+        return [f.ids for f in by.encode_batch_fast(texts, add_special_tokens=False)]
+
+    tails: dict[bytes, bytes] = {}
 
-    stops = {mark: array("I", encode([mark.decode()])[0]).tobytes() for mark in (b".", b",")}
+    def of_tail(marks: bytes) -> bytes:
+        found = tails.get(marks)
+        if found is None:
+            if len(tails) >= 10_000:
+                tails.clear()
+            found = tails[marks] = array("I", encode([marks.decode()])[0]).tobytes()
+        return found
 
     def ids(words: list[bytes]) -> list[bytes]:
-        cut = {w: m.groups() for w in words if b"<|" not in w and (m := _STOPPED.fullmatch(w))}
+        cut = {w: parts for w in words if w[-1] in _MARKS and (parts := _stem_and_marks(w))}
         wanted = list({cut[w][0] if w in cut else w for w in words})
         texts = [w.decode("utf-8", "replace") for w in wanted]
-        plain = [k for k, t in enumerate(texts) if _LETTERS.fullmatch(t)]
+        letters = list(map(_letters, texts))
+        plain = [k for k, t in enumerate(letters) if t]
         out: dict[bytes, bytes] = {}
-        for start in range(0, len(plain), 4000):
-            part = plain[start:start + 4000]
-            whole = np.array(encode([" ".join([texts[k] for k in part])])[0], "<u4")
-            edges = [0, *(np.flatnonzero(ends_word[whole]) + 1).tolist()]
+        for start in range(0, len(plain), 1000):
+            part = plain[start:start + 1000]
+            whole = np.array(encode([" ".join([letters[k] for k in part])], merges)[0], "<u4")
+            edges = [0, *(4 * np.flatnonzero(ends_word[whole]) + 4).tolist()]
             if len(edges) == len(part) + 1:
                 data = whole.tobytes()
-                out.update((wanted[k], data[4 * edges[n]:4 * edges[n + 1]]) for n, k in enumerate(part))
+                out.update(zip([wanted[k] for k in part], [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
         rest = [k for k, w in enumerate(wanted) if w not in out]
         out.update((wanted[k], array("I", f).tobytes()) for k, f in zip(rest, encode([texts[k] for k in rest]), strict=True))
-        return [out[cut[w][0]] + stops[cut[w][1]] if w in cut else out[w] for w in words]
+        return [out[cut[w][0]] + of_tail(cut[w][1]) if w in cut else out[w] for w in words]
 
     return ids
 
@@ -157,12 +200,14 @@ class TokenTable:
         keys = distinct.tolist()
         found = list(map(self.known.get, keys))
         missing = [k for k, f in enumerate(found) if f is None]
-        new = [k for k in missing if keys[k] not in self.old]
-        words = [whole[starts[at]:starts[at] + sizes[at]].lower() for at in first[new]]
-        self.known.update((keys[k], self.old[keys[k]]) for k in missing if keys[k] in self.old)
-        self.known.update(zip([keys[k] for k in new], self.make(words), strict=True))
-        for k in missing:
-            found[k] = self.known[keys[k]]
+        for k, f in zip(missing, map(self.old.get, [keys[k] for k in missing]), strict=True):
+            found[k] = f
+        new = [k for k in missing if found[k] is None]
+        begin, end = starts[first[new]], (starts + sizes)[first[new]]
+        made = self.make([whole[a:b].lower() for a, b in zip(begin.tolist(), end.tolist(), strict=True)])
+        for k, f in zip(new, made, strict=True):
+            found[k] = f
+        self.known.update((keys[k], found[k]) for k in missing)
         return found
 
 

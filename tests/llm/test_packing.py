@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from granary.llm import packing
+from granary.llm import packing, vocabularies
 from granary.llm.packing import Capacity, best_fit
 from granary.llm.vocabularies import TokenTable, vocabulary_path
 from tests.llm.cases import DOCS, awkward, with_clashes
@@ -93,3 +93,14 @@ def test_capacities_other_than_tokens_bind(spark, capacity, sequences):
         held[r.sequence_id].append(r.length)
     assert len(held) == sequences
     assert all(len(x) <= capacity.documents and sum(n * n for n in x) <= capacity.attention for x in held.values())
+
+
+def test_words_of_letters_and_marks_are_looked_up_apart(tokenizer):
+    """Latin letters go to the merges alone and marks at the end by themselves; whatever a mark may join stays whole."""
+    cut, letters = vocabularies._stem_and_marks, vocabularies._letters
+    assert cut("redhe$$$".encode()) == (b"redhe", b"$$$") and cut("été,###".encode()) == ("été".encode(), b",###")
+    assert cut("aİ.".encode()) is None and cut("日.".encode()) is None and cut(b"x<|.") is None and cut(b"3.") is None
+    assert letters("Redhe") == "redhe" and letters("é") == "Ã©" and letters("İ") is letters("日") is letters("a1") is letters("") is None
+    words = [w.encode() for w in "redhe$$$ été,### aİ. İ,' K!! Åb Straße ÀñŞ don't. x's, ς. Σας ǅ!! naïve&& 日本. 2.0. a.b ﬁx ª º² à-b,".split()]
+    wanted = [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert vocabularies.word_bpe(vocabulary_path("word_bpe_49k.json"))(words) == wanted
