@@ -6,7 +6,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -46,6 +46,18 @@ class Shape:
         return zlib.crc32(word[-2:]) % self.tails
 
 
+class Tails(dict):
+    """Code of the tail class by a word's last two bytes, worked out once for each."""
+
+    def __init__(self, shape: Shape):
+        super().__init__()
+        self.shape = shape
+
+    def __missing__(self, last: bytes) -> int:
+        found = self[last] = self.shape.words + self.shape.tail(last)
+        return found
+
+
 def tokens(text: bytes | None) -> list[bytes]:
     """Words split at ASCII white space, A-Z in lower case."""
     return text.lower().split() if text else []
@@ -67,17 +79,43 @@ def initial(shape: Shape, class_counts: np.ndarray, word_counts: np.ndarray, see
     return {k: v.astype(np.float32) for k, v in out.items()}
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _thirds(p: dict[str, np.ndarray], k: str) -> list[np.ndarray]:
+    """Weights of update gate, reset gate and candidate by themselves; those of the gates are halved.
+
+    A gate, 1 / (1 + exp(-a)), is then (1 + tanh(a / 2)) / 2.
+    """
+    size = p["u"].shape[0]
+    z, r, n = (p[k][:, j * size:(j + 1) * size] for j in range(3))
+    return [z * np.float32(0.5), r * np.float32(0.5), n.copy()]
 
 
-def _step(h: np.ndarray, x: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Next state of each lane, and update gate, reset gate, candidate and its recurrent part."""
-    size, a = h.shape[1], h @ u
-    gates = _sigmoid(x[:, :2 * size] + a[:, :2 * size])
-    z, r, part = gates[:, :size], gates[:, size:], a[:, 2 * size:]
-    n = np.tanh(x[:, 2 * size:] + r * part)
-    return n + z * (h - n), z, r, n, part
+def _gate(a: np.ndarray) -> np.ndarray:
+    """A gate from half of its argument, in place."""
+    np.tanh(a, out=a)
+    a += 1
+    a *= 0.5
+    return a
+
+
+def _step(h: np.ndarray, x: list[np.ndarray], u: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Next state of each lane, and update gate, reset gate, candidate and its recurrent part; ``x`` and ``u`` in thirds."""
+    z, r, part = h @ u[0], h @ u[1], h @ u[2]
+    z += x[0]
+    r += x[1]
+    _gate(z), _gate(r)
+    n = r * part
+    n += x[2]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, z, r, n, part
+
+
+def _spread(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether exp of ``h @ weights + bias`` can be summed as it is, for any state: none is too large, and the largest not too small."""
+    reach = np.abs(weights).sum(axis=-2)
+    return bool((bias + reach).max() < 60 and (bias - reach).max(axis=-1).min() > -60)
 
 
 def output(shape: Shape, p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -88,12 +126,15 @@ def output(shape: Shape, p: dict[str, np.ndarray], h: np.ndarray, target: np.nda
     """
     word = target < shape.words
     group = np.where(word, target // shape.in_class, target - shape.words + shape.heads)
-    logits = h @ p["c"] + p["cb"]
-    logits -= logits.max(axis=1, keepdims=True)
+    logits = h @ p["c"]
+    logits += p["cb"]
+    if not _spread(p["c"], p["cb"]):
+        logits -= logits.max(axis=1, keepdims=True)
     row = np.arange(len(h))
-    share = np.exp(logits)
-    total = share.sum(axis=1)
-    out = logits[row, group] - np.log(total)
+    out = logits[row, group]
+    share = np.exp(logits, out=logits)
+    total = share @ np.ones(share.shape[1], share.dtype)
+    out -= np.log(total)
     dh = None
     if grads is not None:
         share /= total[:, None]
@@ -104,14 +145,18 @@ def output(shape: Shape, p: dict[str, np.ndarray], h: np.ndarray, target: np.nda
     at = np.flatnonzero(word)
     at = at[np.argsort(group[at], kind="stable")]
     edges = np.flatnonzero(np.r_[True, np.diff(group[at]) != 0, True]) if len(at) else np.zeros(1, int)
+    spread, ones = _spread(p["w"], p["wb"]), np.ones(shape.in_class, h.dtype)
     for start, end in zip(edges[:-1], edges[1:], strict=True):
         rows, g = at[start:end], group[at[start]]
-        inner = h[rows] @ p["w"][g] + p["wb"][g]
-        inner -= inner.max(axis=1, keepdims=True)
+        inner = h[rows] @ p["w"][g]
+        inner += p["wb"][g]
+        if not spread:
+            inner -= inner.max(axis=1, keepdims=True)
         place, k = target[rows] % shape.in_class, np.arange(len(rows))
-        part = np.exp(inner)
-        sums = part.sum(axis=1)
-        out[rows] += inner[k, place] - np.log(sums)
+        wanted = inner[k, place]
+        part = np.exp(inner, out=inner)
+        sums = part @ ones
+        out[rows] += wanted - np.log(sums)
         if grads is not None:
             part /= sums[:, None]
             part[k, place] -= 1
@@ -121,53 +166,6 @@ def output(shape: Shape, p: dict[str, np.ndarray], h: np.ndarray, target: np.nda
     return out, dh
 
 
-def lanes(docs: list[np.ndarray], width: int, begin: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Documents laid one after the other into ``width`` lanes of about the same length, the longest lane first.
-
-    Gives by step and lane: input code, target code (-1 past a lane's end),
-    document, and by lane its length. A document's first input is ``begin``.
-    """
-    order = sorted(range(len(docs)), key=lambda k: (-len(docs[k]), k))
-    load, held = np.zeros(width, np.int64), [[] for _ in range(width)]
-    for k in order:
-        lane = int(load.argmin())
-        held[lane].append(k)
-        load[lane] += len(docs[k])
-    rank = np.argsort(-load, kind="stable")
-    load = load[rank]
-    steps = int(load.max()) if len(docs) else 0
-    given, wanted, owner = (np.full((steps, width), -1, np.int32) for _ in range(3))
-    for lane, source in enumerate(rank):
-        at = 0
-        for k in held[source]:
-            n = len(docs[k])
-            wanted[at:at + n, lane], owner[at:at + n, lane] = docs[k], k
-            given[at, lane], given[at + 1:at + n, lane] = begin, docs[k][:-1]
-            at += n
-    return given, wanted, owner, load
-
-
-def score(shape: Shape, p: dict[str, np.ndarray], docs: list[np.ndarray], width: int = 256, window: int = 64) -> np.ndarray:
-    """Log probability (natural) of each whole document, given as codes; the state goes on from window to window."""
-    out = np.zeros(len(docs))
-    begin = shape.words + shape.tails
-    given, wanted, owner, load = lanes(docs, max(1, min(width, len(docs))), begin)
-    h = np.zeros((given.shape[1], shape.hidden), np.float32)
-    for start in range(0, len(given), window):
-        states, targets, owners = [], [], []
-        for t in range(start, min(start + window, len(given))):
-            live = int(np.searchsorted(-load, -t, side="left"))  # lanes with more than t tokens come first
-            x = given[t, :live]
-            h = h[:live] * (x != begin)[:, None]
-            h = _step(h, p["x"][x], p["u"])[0]
-            states.append(h)
-            targets.append(wanted[t, :live])
-            owners.append(owner[t, :live])
-        got, _ = output(shape, p, np.concatenate(states), np.concatenate(targets))
-        out += np.bincount(np.concatenate(owners), weights=got, minlength=len(docs))
-    return out
-
-
 def flow(docs: Iterable[np.ndarray], width: int, window: int, begin: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Whole documents laid into at most ``width`` lanes, ``window`` steps at a time.
 
@@ -202,6 +200,86 @@ def flow(docs: Iterable[np.ndarray], width: int, window: int, begin: int) -> Ite
         held, still = [held[k] for k in used], np.arange(len(used))
 
 
+def lanes(docs: list[np.ndarray], width: int, begin: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents laid one after the other into ``width`` lanes of about the same length, the longest lane first.
+
+    Gives by step and lane: input code, target code (-1 past a lane's end),
+    document, and by lane its length. A document's first input is ``begin``.
+    """
+    order = sorted(range(len(docs)), key=lambda k: (-len(docs[k]), k))
+    load, held = np.zeros(width, np.int64), [[] for _ in range(width)]
+    for k in order:
+        lane = int(load.argmin())
+        held[lane].append(k)
+        load[lane] += len(docs[k])
+    rank = np.argsort(-load, kind="stable")
+    load = load[rank]
+    steps = int(load.max()) if len(docs) else 0
+    given, wanted, owner = (np.full((steps, width), -1, np.int32) for _ in range(3))
+    for lane, source in enumerate(rank):
+        at = 0
+        for k in held[source]:
+            n = len(docs[k])
+            wanted[at:at + n, lane], owner[at:at + n, lane] = docs[k], k
+            given[at, lane], given[at + 1:at + n, lane] = begin, docs[k][:-1]
+            at += n
+    return given, wanted, owner, load
+
+
+def score_flow(shape: Shape, p: dict[str, np.ndarray], docs: Iterable[np.ndarray], width: int = 256, window: int = 64) -> Iterator[tuple[int, float]]:
+    """Place and log probability (natural) of each document, given as codes, as soon as it is known.
+
+    The state goes on from window to window. Documents are taken as lanes get
+    free, so that a long one holds up no other; one without codes comes with 0.
+    """
+    begin, left, sums, empty, n_docs = shape.words + shape.tails, {}, {}, [], 0
+
+    def numbered() -> Iterator[np.ndarray]:
+        nonlocal n_docs
+        for doc in docs:
+            if len(doc):
+                left[len(places)], sums[len(places)] = len(doc), 0.0
+                places.append(n_docs)
+            else:
+                empty.append(n_docs)
+            n_docs += 1
+            yield doc
+
+    places: list[int] = []  # of the documents with codes, in the order in which lanes take them
+    x, u, taken = _thirds(p, "x"), _thirds(p, "u"), 0
+    h, carried = np.zeros((width, shape.hidden), np.float32), np.zeros(width, np.int64)
+    for given, wanted, still in flow(numbered(), width, window, begin):
+        h, live = h[still], given >= 0
+        begins = given == begin
+        # Lane by lane, documents begin in the order in which they were taken.
+        within = begins.cumsum(axis=0)
+        first = taken + np.r_[0, within[-1, :-1].cumsum()]
+        owner = np.where(within == 0, carried[still], first + within - 1)
+        taken, carried = taken + int(within[-1].sum()), owner[-1]
+        codes, goes_on, states = np.where(live, given, begin), ~begins[:, :, None], np.empty((*given.shape, shape.hidden), np.float32)
+        for t in range(len(given)):
+            h = states[t] = _step(h * goes_on[t], [part[codes[t]] for part in x], u)[0]
+        got, _ = output(shape, p, states[live], wanted[live])
+        low, owners = int(owner.min()), owner[live]
+        cells = np.bincount(owners - low)
+        added = np.bincount(owners - low, weights=got)
+        for k in np.flatnonzero(cells).tolist():
+            left[low + k] -= int(cells[k])
+            sums[low + k] += float(added[k])
+            if not left[low + k]:
+                del left[low + k]
+                yield places[low + k], sums.pop(low + k)
+    yield from ((k, 0.0) for k in empty)
+
+
+def score(shape: Shape, p: dict[str, np.ndarray], docs: list[np.ndarray], width: int = 256, window: int = 64) -> np.ndarray:
+    """Log probability (natural) of each whole document, given as codes."""
+    out = np.zeros(len(docs))
+    for k, found in score_flow(shape, p, docs, max(1, min(width, len(docs))), window):
+        out[k] = found
+    return out
+
+
 def train(shape: Shape, p: dict[str, np.ndarray], docs: Iterable[np.ndarray], updates: int, rate: float,
           width: int = 64, window: int = 32, seed: int = 0) -> dict[str, np.ndarray]:
     """Weights after Adam steps of truncated backpropagation over windows, by every token of all texts.
@@ -234,29 +312,34 @@ def train(shape: Shape, p: dict[str, np.ndarray], docs: Iterable[np.ndarray], up
             texts = [docs[k] for k in draw.permutation(len(docs))]
         h = np.zeros((width, size), np.float32)
         for given, wanted, still in flow(texts, width, window, begin):
-            h, kept = h[still], []
+            h = h[still]
             live = given >= 0
             codes = np.where(live, given, begin)
-            inputs, goes_on = p["x"][codes], (codes != begin)[:, :, None]
+            goes_on, x, u = (codes != begin)[:, :, None], _thirds(p, "x"), _thirds(p, "u")
+            befores, zs, rs, ns, parts, states = (np.empty((*live.shape, size), np.float32) for _ in range(6))
             for t in range(len(given)):
-                before = h * goes_on[t]
-                h, z, r, n, part = _step(before, inputs[t], p["u"])
-                kept.append((before, z, r, n, part, h))
-            states = np.stack([k[5] for k in kept])
+                np.multiply(h, goes_on[t], out=befores[t])
+                h, zs[t], rs[t], ns[t], parts[t] = _step(befores[t], [w[codes[t]] for w in x], u)
+                states[t] = h
             _, part_dh = output(shape, p, states[live], wanted[live], grads)
             by_state, back = np.zeros_like(states), np.zeros_like(h)
             by_state[live] = part_dh
-            by_input, by_part = (np.empty((*live.shape, 3 * size), np.float32) for _ in range(2))
-            for t in range(len(kept) - 1, -1, -1):
-                before, z, r, n, part, _ = kept[t]
-                dh = by_state[t] + back
-                keep = dh * (1 - z)
-                dn = keep * (1 - n * n)
-                by_input[t, :, :size], by_input[t, :, 2 * size:] = dh * (before - n) * z * (1 - z), dn
-                by_input[t, :, size:2 * size] = dn * part * r * (1 - r)
-                by_part[t, :, :2 * size], by_part[t, :, 2 * size:] = by_input[t, :, :2 * size], dn * r
-                back = (dh * z + by_part[t] @ p["u"].T) * goes_on[t]
-            grads["u"] += np.concatenate([k[0] for k in kept]).T @ by_part.reshape(-1, 3 * size)
+            by_part, dns, back_u = np.empty((*live.shape, 3 * size), np.float32), np.empty_like(states), np.ascontiguousarray(p["u"].T)
+            # What the way back multiplies by, for all steps at once.
+            to_n, to_z, to_r = (1 - zs) * (1 - ns * ns), (befores - ns) * zs * (1 - zs), parts * rs * (1 - rs)
+            for t in range(len(given) - 1, -1, -1):
+                dh, dn = by_state[t], dns[t]
+                dh += back
+                np.multiply(dh, to_n[t], out=dn)
+                np.multiply(dh, to_z[t], out=by_part[t, :, :size])
+                np.multiply(dn, to_r[t], out=by_part[t, :, size:2 * size])
+                np.multiply(dn, rs[t], out=by_part[t, :, 2 * size:])
+                back = by_part[t] @ back_u
+                back += dh * zs[t]
+                back *= goes_on[t]
+            grads["u"] += befores.reshape(-1, size).T @ by_part.reshape(-1, 3 * size)
+            by_input = by_part
+            by_input[:, :, 2 * size:] = dns
             order = np.argsort(codes, axis=None, kind="stable")
             sorted_codes = codes.reshape(-1)[order]
             edges = np.flatnonzero(np.r_[True, np.diff(sorted_codes) != 0])
@@ -354,10 +437,11 @@ def count_tokens(train_rows: DataFrame, shape: Shape, limit: int = 400_000) -> D
         yield frame(total)
 
     def frame(total: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"word": list(total), "tail": [shape.tail(w) for w in total], "c": list(total.values())})
+        return pd.DataFrame({"word": list(total), "c": list(total.values())})
 
-    return (train_rows.select("text").mapInPandas(counted, "word binary, tail int, c long")
-            .groupBy("word", "tail").agg(F.sum("c").alias("c")))
+    tail = F.crc32(F.when(F.length("word") > 2, F.substring("word", -2, 2)).otherwise(F.col("word"))) % shape.tails
+    return (train_rows.select("text").mapInPandas(counted, "word binary, c long")
+            .groupBy("word").agg(F.sum("c").alias("c")).select("word", tail.cast("int").alias("tail"), "c"))
 
 
 def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape: Shape = Shape(), listed: int = 131_072,
@@ -411,28 +495,43 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
         {w: k for k, w in enumerate(top["word"])}, code, np.log10(top["c"].to_numpy(float) + 1),
         np.log10(tail_c + tail_v + 1.0)))
 
-    def coded(text: bytes | None, place: dict, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def coded(text: bytes | None, place: dict, codes: np.ndarray, tails: Tails) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Codes with the end, places in the list (-1: not in it), and the words not in it."""
         words = tokens(text)
-        at = np.fromiter((place.get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
         out = np.zeros(len(words) + 1, np.int32)
         if len(codes):
             out[:-1] = codes[at]
-        rare = [words[k] for k in np.flatnonzero(at < 0)]
-        out[:-1][at < 0] = [shape.words + shape.tail(w) for w in rare]
+        unlisted = np.flatnonzero(at < 0)
+        rare = [words[k] for k in unlisted.tolist()]
+        out[unlisted] = np.fromiter(map(tails.__getitem__, [w[-2:] for w in rare]), np.int32, len(rare))
         return out, at, rare
 
     parts, a_round = shards_for(int(train_tokens), shards, rounds, shard_tokens)
     kind_of_code = "<u2" if shape.words + shape.tails < 1 << 16 else "<u4"
 
+    end_base = float(np.log10(ends + 1))
+
     def as_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, codes, _, _ = table.value
+        place, codes, log_c, log_tail = table.value
+        tails = Tails(shape)
         for batch in batches:
-            yield pd.DataFrame({"copy": batch["copy"], "codes": [coded(t, place, codes)[0].astype(kind_of_code).tobytes() for t in batch["text"]]})
-
-    texts = (learned.select("copy", "text").mapInPandas(as_codes, "copy long, codes binary")
-             .withColumn("part", F.pmod(F.xxhash64("copy", F.lit("part")), F.lit(parts))))
-    training = stage(texts, "training")
+            out = []
+            for text in batch["text"]:
+                code_of, at, rare = coded(text, place, codes, tails)
+                in_tail = code_of[code_of >= shape.words] - shape.words
+                listed_at, count = at[at >= 0], Counter(rare)
+                # What is the same for a word wherever it stands: its count, and for a tail word its class's total.
+                inner = float(log_c[listed_at[listed_at >= own]].sum()) - float(log_tail[in_tail].sum())
+                out.append((len(code_of), len(listed_at) + (ends > 0), float(log_c[listed_at].sum()) + end_base, inner,
+                            list(count), list(count.values()), code_of.astype(kind_of_code).tobytes()))
+            made = pd.DataFrame(out, columns=["n_tokens", "n_listed", "base", "inner", "words", "times", "codes"])
+            yield made.assign(**{c: batch[c].to_numpy() for c in ("id", "copy", "held_out")})
+
+    counted = "id string, copy long, held_out boolean, n_tokens long, n_listed long, base double, inner double"
+    # Read once for training and for scoring.
+    texts = stage(rows.mapInPandas(as_codes, f"{counted}, words array<binary>, times array<long>, codes binary"), "codes")
+    training = texts.where(~F.col("held_out")).select("copy", "codes", F.pmod(F.xxhash64("copy", F.lit("part")), F.lit(parts)).alias("part"))
 
     def local_training(now: Broadcast, turn: int) -> Callable:
         def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -454,34 +553,33 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, shape
             for k in sorted(p):
                 p[k], at = flat[at:at + p[k].size].reshape(p[k].shape), at + p[k].size
     final = spark.sparkContext.broadcast(p)
-    end_base = float(np.log10(ends + 1))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, codes, log_c, log_tail = table.value
-        for whole_batch in batches:
-            for first in range(0, len(whole_batch), 2048):
-                batch = whole_batch.iloc[first:first + 2048]
-                texts, out = [], []
-                for text in batch["text"]:
-                    code_of, at, rare = coded(text, place, codes)
-                    texts.append(code_of)
-                    tails = code_of[code_of >= shape.words] - shape.words
-                    listed_at, count = at[at >= 0], Counter(rare)
-                    # What is the same for a word wherever it stands: its count, and for a tail word its class's total.
-                    inner = float(log_c[listed_at[listed_at >= own]].sum()) - float(log_tail[tails].sum())
-                    out.append((len(code_of), len(listed_at) + (ends > 0), float(log_c[listed_at].sum()) + end_base, inner,
-                                list(count), list(count.values())))
-                made = pd.DataFrame(out, columns=["n_tokens", "n_listed", "base", "inner", "words", "times"])
-                made["inner"] += score(shape, final.value, texts) / np.log(10)
-                yield made.assign(**{c: batch[c].to_numpy() for c in ("id", "copy", "held_out")})
-
-    parts = stage(rows.mapInPandas(
-        scored, "id string, copy long, held_out boolean, n_tokens long, n_listed long, base double, inner double, words array<binary>, times array<long>"), "scored")
-    rare = parts.select("copy", F.explode(F.arrays_zip("words", "times")).alias("w")).select("copy", "w.words", "w.times")
+        names, waiting, out = [f.split()[0] for f in counted.split(", ")], {}, []
+
+        def docs() -> Iterator[np.ndarray]:
+            n = 0
+            for batch in batches:
+                for row, codes in zip(batch[names].itertuples(index=False, name=None), batch["codes"], strict=True):
+                    waiting[n] = row
+                    n += 1
+                    yield np.frombuffer(codes, kind_of_code).astype(np.int32)
+
+        for k, found in score_flow(shape, final.value, docs()):
+            row = waiting.pop(k)
+            out.append((*row[:-1], row[-1] + found / np.log(10)))
+            if len(out) >= 1000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    parts = stage(texts.select(*[f.split()[0] for f in counted.split(", ")], "codes").mapInPandas(scored, counted), "scored")
+    rare = texts.select("copy", F.explode(F.arrays_zip("words", "times")).alias("w")).select("copy", "w.words", "w.times")
     rare = (rare.join(counts.select(F.col("word").alias("words"), "c"), "words")
             .groupBy("copy").agg(F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("log_rare")))
     zero = F.lit(0.0)
-    return parts.drop("words", "times").join(rare, "copy", "left").select(
+    return parts.join(rare, "copy", "left").select(
         F.col("id").cast(kind).alias(id_col), "held_out", "n_tokens", (F.col("n_listed") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("log_rare", zero) - F.col("n_tokens") * float(log_base)).alias("base_score"),

@@ -168,3 +168,59 @@ def test_scores_as_by_a_plain_loop(small):
                 total += math.log(share(h @ p["w"][group] + p["wb"][group])[word % 4])
             before = word
         assert math.isclose(got, total, rel_tol=1e-4, abs_tol=1e-4)
+
+
+def test_a_long_text_holds_up_no_other(small):
+    """Short texts are scored and given while a long one still goes on; each as if it were alone."""
+    shape, p = small
+    draw = np.random.default_rng(6)
+    docs = [draw.integers(0, 11, n).astype(np.int32) for n in (900, *[10] * 60, 0, 25)]
+    taken = []
+    got = list(recurrent_lm.score_flow(shape, p, (taken.append(k) or d for k, d in enumerate(docs)), width=4, window=8))
+    assert sorted(k for k, _ in got) == list(range(len(docs)))
+    assert [k for k, _ in got].index(0) > 55
+    steps = []
+    plain, recurrent_lm._step = recurrent_lm._step, lambda *a: steps.append(1) or plain(*a)
+    try:
+        for k, found in got:
+            assert math.isclose(found, score(shape, p, [docs[k]])[0], rel_tol=1e-5, abs_tol=1e-5)
+        steps.clear()
+        list(recurrent_lm.score_flow(shape, p, [np.ones(100, np.int32), *[np.ones(10, np.int32)] * 10] * 9, width=9, window=10))
+    finally:
+        recurrent_lm._step = plain
+    assert len(steps) <= 300
+
+
+def test_far_apart_logits_are_shifted(small):
+    """Where exp of the logits would overflow or vanish, the largest is taken off first; either way the same."""
+    shape, p = small
+    assert recurrent_lm._spread(p["c"], p["cb"]) and recurrent_lm._spread(p["w"], p["wb"])
+    h, target = np.random.default_rng(7).normal(size=(11, 4)).clip(-1, 1).astype(np.float32), np.arange(11)
+    expected = output(shape, p, h, target)[0]
+    for shift in (-500, 500):
+        moved = {k: v + np.float32(shift) if k in ("cb", "wb") else v for k, v in p.items()}
+        assert not recurrent_lm._spread(moved["c"], moved["cb"])
+        assert np.allclose(output(shape, moved, h, target)[0], expected, atol=1e-3)
+
+
+def test_texts_are_coded_once(spark, monkeypatch):
+    """Training and scoring read the codes that were written, not the texts again."""
+    seen, write = {}, recurrent_lm.stage
+
+    def noted(df, name):
+        seen[name] = df._jdf.queryExecution().analyzed().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(recurrent_lm, "stage", noted)
+    shape = Shape(hidden=4, words=64, in_class=8, tails=4)
+    docs = spark.createDataFrame([(k, f"a b c d{k}") for k in range(20)], "doc_id long, text string")
+    check(recurrent_lm.score_documents(docs, shape=shape, rounds=1, updates=3, shards=2).collect(), docs.collect())
+    assert "text" in seen["codes"] and not any("text" in seen[k] for k in ("weights", "scored"))
+
+
+def test_words_of_any_length_have_their_tail(spark):
+    shape = Shape(hidden=4, words=64, in_class=8, tails=48)
+    words = ["a", "bc", "def", "é", "xy€", "x" * 300]
+    got = recurrent_lm.count_tokens(spark.createDataFrame([(" ".join(words).encode(),)], "text binary"), shape).collect()
+    assert {(bytes(r.word), r.tail, r.c) for r in got} == {(w.encode(), shape.tail(w.encode()), 1) for w in words}
+    assert all(recurrent_lm.Tails(shape)[w.encode()[-2:]] == shape.words + shape.tail(w.encode()) for w in words)
