@@ -126,22 +126,25 @@ def output(shape: Shape, p: dict[str, np.ndarray], h: np.ndarray, target: np.nda
     """
     word = target < shape.words
     group = np.where(word, target // shape.in_class, target - shape.words + shape.heads)
-    logits = h @ p["c"]
-    logits += p["cb"]
-    if not _spread(p["c"], p["cb"]):
-        logits -= logits.max(axis=1, keepdims=True)
-    row = np.arange(len(h))
-    out = logits[row, group]
-    share = np.exp(logits, out=logits)
-    total = share @ np.ones(share.shape[1], share.dtype)
-    out -= np.log(total)
-    dh = None
-    if grads is not None:
-        share /= total[:, None]
-        share[row, group] -= 1
-        grads["c"] += h.T @ share
-        grads["cb"] += share.sum(axis=0)
-        dh = share @ p["c"].T
+    out, dh = np.empty(len(h), h.dtype), None if grads is None else np.empty_like(h)
+    spread, ones = _spread(p["c"], p["cb"]), np.ones(shape.classes, h.dtype)
+    for start in range(0, len(h), 2048):  # as many rows as stay in a processor's cache
+        some = slice(start, start + 2048)
+        logits = h[some] @ p["c"]
+        logits += p["cb"]
+        if not spread:
+            logits -= logits.max(axis=1, keepdims=True)
+        row, own = np.arange(len(logits)), group[some]
+        out[some] = logits[row, own]
+        share = np.exp(logits, out=logits)
+        total = share @ ones
+        out[some] -= np.log(total)
+        if grads is not None:
+            share /= total[:, None]
+            share[row, own] -= 1
+            grads["c"] += h[some].T @ share
+            grads["cb"] += share.sum(axis=0)
+            dh[some] = share @ p["c"].T
     at = np.flatnonzero(word)
     at = at[np.argsort(group[at], kind="stable")]
     edges = np.flatnonzero(np.r_[True, np.diff(group[at]) != 0, True]) if len(at) else np.zeros(1, int)
