@@ -46,6 +46,15 @@ def test_first_batch_loads_everything(spark, folder):
     assert ranked == [("CU1", 2), ("CU2", 1)]
 
 
+def test_source_totals_are_those_of_the_newest_versions_without_a_division(spark):
+    rows = [("A", "20240101", "5"), ("A", "2024-01-02", "-3"), ("B", None, "7"), ("B", "soon", "9"), ("C", "20240101", None), ("C", "20240101", "-4"),
+            (None, "20240101", "1"), (None, None, "2"), ("D", "99991231", "-99999999999999.9999"), ("E", "20240105", None), ("E", "20240101", "3")]
+    raw = spark.createDataFrame([(k, d, a and D(a)) for k, d, a in rows], "TXN_ID string, TXN_DT string, NET_AMT decimal(18,4)")
+    totals = source_totals(raw)
+    assert tuple(totals.first()) == (7, D("-3") + 9 - 4 + 1 + 2 - D("99999999999999.9999"))
+    assert "pmod" not in plan(totals)
+
+
 def test_nothing_staged_is_left_behind(spark, folder):
     from granary.session import scratch_path
 

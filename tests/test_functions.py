@@ -38,6 +38,26 @@ def test_dates_in_text(spark, text, day):
     assert df.select(parse_date(F.col("t"))).first()[0] == day
 
 
+def test_dates_are_read_as_the_patterns_read_them(spark):
+    """Also years of other lengths and signs, white space and line ends."""
+    texts = ["20240229", "2024-02-29", "20230229", "+120140613", "-00010101", "00000101", "+12014-06-13", "20140613\n",
+             " 20140613", "2014-6-13", "2014-06-13T00:00:00", "201406131", "15/06/2014", "2014.06.15", "-", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = F.coalesce(F.try_to_date("t", "yyyyMMdd"), F.try_to_date("t", "yyyy-MM-dd"))
+    got = df.select("t", parse_date(F.col("t")).cast("string").alias("a"), slow.cast("string").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and sum(r.a is not None for r in got) == 6
+
+
+def test_text_that_is_no_date_does_not_reach_the_pattern(spark):
+    """Under this setting a text stops the query that the pattern's parser refuses and the one before Spark 3 reads."""
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "EXCEPTION")
+    try:
+        df = spark.createDataFrame([("2014-06-13 and more",), ("20140613 ",), ("20140613",)], "t string")
+        assert [str(r[0]) for r in df.select(parse_date(F.col("t"))).collect()] == ["None", "None", "2014-06-13"]
+    finally:
+        spark.conf.unset("spark.sql.legacy.timeParserPolicy")
+
+
 def test_date_key_and_minutes(spark):
     df = spark.sql(
         "select date'2024-01-01' d, timestamp_ntz'2024-01-01 00:00:59' a,"

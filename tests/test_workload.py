@@ -26,6 +26,12 @@ def test_transactions_sent_again_hold_the_rules_of_a_batch(spark, folder):
     assert [tuple(map(str, r)) for r in again.sort("transaction_bk").collect()] == [("1-1", "1001.0000", "1001.0000"), ("2-1", "1001.0000", "1081.0000")]
 
 
+def test_transactions_and_those_sent_again_come_from_one_read(spark, sf_dir):
+    """The transactions are a join of the two largest tables: it is made once."""
+    made = plan(queries._restated(spark, sf_dir))
+    assert made.count("FileScan parquet") == 2
+
+
 def test_rows_are_worked_out_once_to_be_compared(spark, sf_dir):
     """Both sides, their fingerprints and their ends read the newest versions as written, not from the source again."""
     assert "l_orderkey" not in plan(queries.dq_reconcile_rows(spark, sf_dir))
