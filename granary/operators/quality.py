@@ -355,6 +355,13 @@ def fact_rules() -> list[Rule]:
     ]
 
 
+#: Columns of a flagged fact that :func:`fact_suite` reads, so that others need not be written for it.
+SUITE_COLUMNS = [
+    "transaction_bk", "time_sk", "customer_sk", "product_sk", "gross_amount", "net_amount",
+    "fee_amount", "transaction_type", "transaction_status", "reasons",
+]
+
+
 def fact_suite(
     flagged: DataFrame,
     valid: Column,

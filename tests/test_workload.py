@@ -46,6 +46,13 @@ def test_a_clustered_table_is_worked_out_once(spark, sf_dir, monkeypatch):
     assert len(seen) == 2 and not any("l_orderkey" in p for p in seen)
 
 
+def test_the_suite_writes_the_columns_it_reads(spark, sf_dir, monkeypatch):
+    seen, write = {}, queries.stage
+    monkeypatch.setattr(queries, "stage", lambda df, name: seen.setdefault(name, df.columns) and write(df, name))
+    assert queries._suite(spark, sf_dir).count() == 17
+    assert seen["fact"] == quality.SUITE_COLUMNS
+
+
 def test_the_suite_writes_the_fact_and_the_source_totals_side_by_side(spark, sf_dir, monkeypatch):
     """Each waits for the other to begin: one after the other would break the barrier."""
     both, write = threading.Barrier(2, timeout=30), queries.stage

@@ -771,8 +771,9 @@ def dq_single_pass(spark, sf_dir):
 
 def _suite(spark, sf_dir) -> DataFrame:
     tables = _facts(spark, sf_dir, "dim_time")
+    checked = facts.flag_rejects(tables["fact_transactions"]).select(*quality.SUITE_COLUMNS)
     flagged, totals = at_once(
-        lambda: stage(facts.flag_rejects(tables["fact_transactions"]), "fact"),
+        lambda: stage(checked, "fact"),
         lambda: stage(source_totals(given.source(spark, sf_dir, "FACT_TXN")), "source-totals"),
     )
     return quality.fact_suite(
